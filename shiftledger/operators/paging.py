@@ -1,0 +1,55 @@
+"""Lists of bounded length.
+
+A group may hold any number of rows, so collecting it whole could overload one
+task. Groups beyond ``page_size`` rows are spread over pages by a hash of the
+row id: a usual group is page 0 alone, and no row is lost for a huge one.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from shiftledger.functions.text import hash_slot
+
+
+def paged_lists(
+    rows: DataFrame,
+    by: list[str],
+    row_id: str,
+    item: Column,
+    page_size: int,
+    alias: str = "items",
+    counts: DataFrame | None = None,
+) -> DataFrame:
+    """Columns ``by``, ``page``, ``page_count`` and the sorted list of items.
+
+    ``counts`` (columns ``by`` and ``count``) may be given where the caller has
+    group sizes already.
+    """
+    if page_size < 1:
+        raise ValueError("page_size must be positive")
+    # Counts pre-aggregate before their shuffle; only oversized groups remain.
+    if counts is None:
+        counts = rows.groupBy(*by).count()
+    oversized = (
+        counts.where(F.col("count") > page_size)
+        .select(*by, F.ceil(F.col("count") / page_size).cast("int").alias("page_count"))
+    )
+    placed = (
+        rows.select(*by, row_id, item.alias("_item"))
+        .join(oversized, by, "left")
+        .withColumn("page_count", F.coalesce("page_count", F.lit(1)))
+        .withColumn(
+            "page",
+            F.when(F.col("page_count") == 1, 0)
+            .otherwise(hash_slot(F.col(row_id), F.col("page_count"))),
+        )
+    )
+    # Without this the collect would reuse the join's partitioning on ``by`` and
+    # put all pages of a huge group back into one task.
+    return (
+        placed.repartition(*by, "page")
+        .groupBy(*by, "page", "page_count")
+        .agg(F.sort_array(F.collect_list("_item")).alias(alias))
+    )
