@@ -227,6 +227,20 @@ def unassigned_hours(rows: DataFrame, users: DataFrame) -> DataFrame:
     )
 
 
+def unassigned_lists(rows: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
+    """Per user and page, the entries of :func:`unassigned_rows` by date."""
+    return paged_lists(
+        rows,
+        ["user_id"],
+        "source_id",
+        F.struct("date", "description", "duration_hours"),
+        page_size,
+        alias="entries",
+        # Same sums as the totals, so Spark reuses their shuffle.
+        counts=unassigned_totals(rows).withColumnRenamed("entry_count", "count"),
+    )
+
+
 def unassigned_time(
     entries: DataFrame,
     users: DataFrame,
@@ -242,13 +256,4 @@ def unassigned_time(
     ``unassigned_hours`` is the user's whole total on every page.
     """
     rows = unassigned_rows(entries, projects, day, tz, cycle_day)
-    lists = paged_lists(
-        rows,
-        ["user_id"],
-        "source_id",
-        F.struct("date", "description", "duration_hours"),
-        page_size,
-        alias="entries",
-        counts=unassigned_totals(rows).withColumnRenamed("entry_count", "count"),
-    )
-    return unassigned_hours(rows, users).join(lists, "user_id")
+    return unassigned_hours(rows, users).join(unassigned_lists(rows, page_size), "user_id")

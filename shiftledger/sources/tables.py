@@ -49,16 +49,29 @@ class Tables:
         """Newest snapshot of users, clients or projects; empty before the first."""
         schema = _SCHEMAS[name]
         path = f"{self.root}/{name}"
-        if not self._exists(path):
+        if not self._exists(path) or not self._newest(path):
             return self.spark.createDataFrame([], schema)
-        all_runs = self.spark.read.schema(f"{_ddl(schema)}, {SNAPSHOT} STRING").parquet(path)
-        newest = all_runs.agg(F.max(SNAPSHOT)).first()[0]
-        return all_runs.where(F.col(SNAPSHOT) == newest).drop(SNAPSHOT)
+        return self.spark.read.schema(schema).parquet(f"{path}/{SNAPSHOT}={self._newest(path)}")
 
     def publish(self, name: str, df: DataFrame, run_id: str) -> None:
-        """Write the next snapshot. ``run_id`` must sort after earlier ones."""
+        """Write the next snapshot from a staged state.
+
+        ``run_id`` must not sort before the newest one; the same id again
+        replaces the snapshot of an interrupted run.
+        """
         columns = [f.name for f in _SCHEMAS[name].fields]
-        df.select(*columns).write.mode("overwrite").parquet(f"{self.root}/{name}/{SNAPSHOT}={run_id}")
+        path = f"{self.root}/{name}"
+        newest = self._newest(path) if self._exists(path) else ""
+        if run_id < newest:
+            raise ValueError(f"run {run_id} is older than the stored {name} ({newest})")
+        df.select(*columns).write.mode("overwrite").parquet(f"{path}/{SNAPSHOT}={run_id}")
+
+    def _newest(self, path: str) -> str:
+        """Id of the newest complete snapshot."""
+        folder, system = self._folder(path)
+        runs = [str(status.getPath().getName()) for status in system.listStatus(folder)]
+        done = [r for r in runs if r.startswith(f"{SNAPSHOT}=") and self._exists(f"{path}/{r}/_SUCCESS")]
+        return max(done, default=f"{SNAPSHOT}=").removeprefix(f"{SNAPSHOT}=")
 
     # -- entries --
 
