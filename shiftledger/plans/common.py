@@ -44,7 +44,7 @@ def merge_references(tables: Tables, extracts: Extracts, run: str, run_ts: datet
 
     def publish(name: str, merged: upsert.Upserted) -> DataFrame:
         changes = stage(spark, merged.changes.withColumn("table", F.lit(name)), f"changes_{name}", run)
-        tables.publish(name, stage(spark, merged.table, name, run), run)
+        tables.publish(name, merged.table, run)
         return changes
 
     def incoming(name: str) -> DataFrame:

@@ -49,7 +49,7 @@ def run_nudge(
 
     matched = stage(spark, identity.match_identity(people, load_roster()), "matched", run)
     found = identity.discovered_ids(matched)
-    tables.publish("users", stage(spark, set_column(users, found, "id", "chat_id"), "users", run), run)
+    tables.publish("users", set_column(users, found, "id", "chat_id"), run)
 
     nudges = stage(spark, identity.nudge_rows(matched, ag.unassigned_lists(rows)), "nudges", run)
     unmatched = identity.unmatched_people(matched)

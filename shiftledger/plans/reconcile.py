@@ -56,7 +56,7 @@ def link_references(
         resolved = stage(spark, rf.with_created_ids(rf.resolve_links(missing, records), name), f"links_{name}", run)
         if send is not None:
             send(name, "create", resolved.where(F.col("action") == rf.CREATE).select("link_id", "name"))
-        tables.publish(name, stage(spark, rf.write_back(tables.read(name), resolved), name, run), run)
+        tables.publish(name, rf.write_back(tables.read(name), resolved), run)
         return reports.conflict_rows(resolved).unionByName(reports.heal_rows(resolved, name))
 
     user_names, project_names = ag.names_of(names, "user"), ag.names_of(names, "project")
@@ -169,5 +169,5 @@ def heal_dead_links(tables: Tables, message: str, run_ts: datetime) -> DataFrame
     if dead.isEmpty():
         return None
     for name in ("users", "projects", "clients"):
-        tables.publish(name, stage(spark, clear_dead_links(tables.read(name), dead), name, run), run)
+        tables.publish(name, clear_dead_links(tables.read(name), dead), run)
     return reports.dead_link_rows(dead)

@@ -1,12 +1,11 @@
 """Stored tables as Parquet folders, staged before they are published.
 
-A plan never overwrites a path it reads: the next state is written to a staging
-folder first and published from there. If a publish is cut short, running it
-again from the staged data completes it.
+A plan never overwrites a path it reads. Entries are staged first and published
+from there: if a publish is cut short, running it again completes it.
 
 Entries are partitioned by the UTC month of their start; publishing replaces
-only the months present in the staged data. The small reference tables are
-replaced as a whole, one folder per run.
+only the months concerned. The reference tables are small next to them; each run writes
+a new snapshot folder and readers take the newest complete one.
 """
 
 from __future__ import annotations
@@ -49,29 +48,39 @@ class Tables:
         """Newest snapshot of users, clients or projects; empty before the first."""
         schema = _SCHEMAS[name]
         path = f"{self.root}/{name}"
-        if not self._exists(path) or not self._newest(path):
+        newest = self._newest(path)
+        if newest is None:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{path}/{SNAPSHOT}={self._newest(path)}")
+        return self.spark.read.schema(schema).parquet(f"{path}/{SNAPSHOT}={newest}")
 
     def publish(self, name: str, df: DataFrame, run_id: str) -> None:
-        """Write the next snapshot from a staged state.
+        """Write the next snapshot.
 
-        ``run_id`` must not sort before the newest one; the same id again
-        replaces the snapshot of an interrupted run.
+        ``run_id`` must not sort before the newest one. Each attempt gets a
+        folder of its own, so ``df`` may read any earlier snapshot, and a
+        repeated run never overwrites what it reads.
         """
         columns = [f.name for f in _SCHEMAS[name].fields]
         path = f"{self.root}/{name}"
-        newest = self._newest(path) if self._exists(path) else ""
-        if run_id < newest:
+        taken = self._snapshots(path)
+        newest = max(taken, default="")
+        if f"{run_id}.999" < newest:
             raise ValueError(f"run {run_id} is older than the stored {name} ({newest})")
-        df.select(*columns).write.mode("overwrite").parquet(f"{path}/{SNAPSHOT}={run_id}")
+        attempt = sum(t.startswith(f"{run_id}.") for t in taken)
+        df.select(*columns).write.mode("errorifexists").parquet(f"{path}/{SNAPSHOT}={run_id}.{attempt:03d}")
 
-    def _newest(self, path: str) -> str:
-        """Id of the newest complete snapshot."""
+    def _snapshots(self, path: str) -> list[str]:
+        """Ids of all snapshots, complete or not."""
+        if not self._exists(path):
+            return []
         folder, system = self._folder(path)
-        runs = [str(status.getPath().getName()) for status in system.listStatus(folder)]
-        done = [r for r in runs if r.startswith(f"{SNAPSHOT}=") and self._exists(f"{path}/{r}/_SUCCESS")]
-        return max(done, default=f"{SNAPSHOT}=").removeprefix(f"{SNAPSHOT}=")
+        names = [str(status.getPath().getName()) for status in system.listStatus(folder)]
+        return [n.removeprefix(f"{SNAPSHOT}=") for n in names if n.startswith(f"{SNAPSHOT}=")]
+
+    def _newest(self, path: str) -> str | None:
+        """Id of the newest complete snapshot."""
+        done = [r for r in self._snapshots(path) if self._exists(f"{path}/{SNAPSHOT}={r}/_SUCCESS")]
+        return max(done, default=None)
 
     # -- entries --
 
