@@ -130,8 +130,7 @@ def users_default_name(spark, sf):
 
 @query
 def flat_entries(spark, sf):
-    checked = extracts.validate(tb.raw_entries(spark, sf), extracts.entry_rules(), extracts.QUARANTINE)
-    flat = extracts.flatten_entries(checked.valid)
+    flat = extracts.check_entries(tb.raw_entries(spark, sf), extracts.QUARANTINE).valid
     return flat.select(
         "source_id",
         "description",
@@ -144,8 +143,8 @@ def flat_entries(spark, sf):
 
 @query
 def rejected_entries(spark, sf):
-    checked = extracts.validate(tb.raw_entries(spark, sf), extracts.entry_rules(), extracts.QUARANTINE)
-    return checked.rejected.select("id", F.array_join("reasons", ",").alias("reasons"))
+    rejected = extracts.check_entries(tb.raw_entries(spark, sf), extracts.QUARANTINE).rejected
+    return rejected.select("id", F.array_join("reasons", ",").alias("reasons"))
 
 
 @query

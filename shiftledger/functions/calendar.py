@@ -120,5 +120,6 @@ def lookback_start(run_ts: datetime, window: timedelta) -> datetime:
 
 def parse_instant(text: Column) -> Column:
     """UTC instant from ISO text; null when it is not one (see INSTANT_PATTERN)."""
-    with_seconds = F.regexp_replace(text, r"T(\d\d:\d\d)Z$", "T$1:00Z")
-    return F.when(text.rlike(INSTANT_PATTERN), F.try_to_timestamp(with_seconds))
+    # Seconds may be left out, which Spark's cast does not accept.
+    with_seconds = F.when(F.length(text) == 17, F.concat(F.substring(text, 1, 16), F.lit(":00Z"))).otherwise(text)
+    return F.when(text.rlike(INSTANT_PATTERN), with_seconds.try_cast("timestamp"))

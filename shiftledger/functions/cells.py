@@ -14,7 +14,8 @@ NULL = "null"
 NUMBER = "number"
 OTHER = "other"
 
-_NUMERIC = "^(BIGINT|DECIMAL|DOUBLE|FLOAT|INT|SMALLINT|TINYINT)"
+# Type names of a numeric cell; a whole number may arrive as any of them.
+_NUMERIC = ("TINYINT", "SMALLINT", "INT", "BIGINT", "FLOAT", "DOUBLE")
 
 
 def cell(fields: Column, name: str, as_type: str = "variant") -> Column:
@@ -24,18 +25,19 @@ def cell(fields: Column, name: str, as_type: str = "variant") -> Column:
 
 def cell_kind(fields: Column, name: str) -> Column:
     """absent, null, number or other."""
-    value = cell(fields, name)
+    held = F.schema_of_variant(cell(fields, name))
     return (
-        F.when(value.isNull(), ABSENT)
-        .when(F.is_variant_null(value), NULL)
-        .when(F.schema_of_variant(value).rlike(_NUMERIC), NUMBER)
+        F.when(held.isNull(), ABSENT)
+        .when(held == "VOID", NULL)
+        .when(held.isin(*_NUMERIC) | held.startswith("DECIMAL"), NUMBER)
         .otherwise(OTHER)
     )
 
 
 def cell_number(fields: Column, name: str) -> Column:
     """Numeric value; text that merely looks like a number counts as none."""
-    return F.when(cell_kind(fields, name) == NUMBER, cell(fields, name, "double"))
+    held = F.schema_of_variant(cell(fields, name))
+    return F.when(held.isin(*_NUMERIC) | held.startswith("DECIMAL"), cell(fields, name, "double"))
 
 
 def cell_text(fields: Column, name: str) -> Column:

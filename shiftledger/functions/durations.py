@@ -10,16 +10,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_NUM = r"(-?\d+(?:\.\d+)?)"
+# Signs are allowed on every part, a fraction on the seconds.
 _DURATION = (
-    rf"^P(?!$)(?:{_NUM}W)?(?:{_NUM}D)?"
-    rf"(?:T(?=[-\d])(?:{_NUM}H)?(?:{_NUM}M)?(?:{_NUM}S)?)?$"
+    r"^P(?!$)(-?\d{1,6}W)?(-?\d{1,6}D)?"
+    r"(T(?=[-\d])(-?\d{1,9}H)?(-?\d{1,9}M)?(-?\d{1,9}(\.\d{1,6})?S)?)?$"
 )
-# Microseconds in a week, day, hour, minute and second.
-_UNITS_US = (604_800_000_000, 86_400_000_000, 3_600_000_000, 60_000_000, 1_000_000)
-
 US_PER_SECOND = 1_000_000
 US_PER_HOUR = 3_600_000_000
+_US_PER_DAY = 86_400_000_000
 
 
 def is_iso_duration(text: Column) -> Column:
@@ -31,14 +29,27 @@ def is_iso_duration(text: Column) -> Column:
 
 
 def parse_iso_duration(text: Column) -> Column:
-    """Microseconds of an ISO-8601 duration; null for null or malformed text."""
-    split_up = F.split(F.regexp_replace(text, _DURATION, "$1,$2,$3,$4,$5"), ",")
-    total = F.lit(0).cast("decimal(38,6)")
-    for i, unit in enumerate(_UNITS_US):
-        part = F.try_element_at(split_up, F.lit(i + 1))
-        amount = F.coalesce(part.try_cast("decimal(18,6)"), F.lit(0).cast("decimal(18,6)"))
-        total = total + amount * F.lit(unit).cast("decimal(12,0)")
-    return F.when(is_iso_duration(text), F.round(total, 0).cast("bigint"))
+    """Microseconds of an ISO-8601 duration; null for null or malformed text.
+
+    One pattern match decides. The time part is then read by Spark's own interval
+    cast, which wants words for the unit letters; adding it to the epoch gives
+    its microseconds. Weeks and days are rare and looked for only where present.
+    """
+    words = F.substring_index(text, "T", -1)
+    for letter, word in (("H", " hours "), ("M", " minutes "), ("S", " seconds ")):
+        words = F.replace(words, F.lit(letter), F.lit(word))
+    time_us = F.unix_micros(F.timestamp_micros(F.lit(0)) + words.try_cast("interval"))
+
+    def count(unit: str) -> Column:
+        found = F.nullif(F.regexp_extract(text, rf"(-?\d+){unit}", 1), F.lit(""))
+        return F.coalesce(found.cast("bigint"), F.lit(0))
+
+    days_us = (count("W") * 7 + count("D")) * _US_PER_DAY
+    return F.when(
+        is_iso_duration(text),
+        F.when(text.contains("T"), time_us).otherwise(0)
+        + F.when(text.contains("D") | text.contains("W"), days_us).otherwise(0),
+    )
 
 
 def iso_duration_us(text: Column) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from shiftledger import model
 from shiftledger.functions.calendar import parse_instant
-from shiftledger.functions.durations import is_iso_duration, iso_duration_us, parse_iso_duration
+from shiftledger.functions.durations import is_iso_duration, parse_iso_duration
 
 FAIL = "fail"
 QUARANTINE = "quarantine"
@@ -130,7 +130,11 @@ def load_projects(spark: SparkSession, path: str, mode: str = FAIL) -> Validated
 
 
 def entry_rules() -> dict[str, Column]:
-    """What a time entry must satisfy."""
+    """What a nested time entry must satisfy.
+
+    The rules test the texts by pattern and leave their parsing to the rows kept:
+    a filter is planned below the projection, so what both need runs twice.
+    """
     start, end, duration = (F.col(f"timeInterval.{x}") for x in ("start", "end", "duration"))
     return {
         "id": F.col("id").isNotNull(),
@@ -141,24 +145,33 @@ def entry_rules() -> dict[str, Column]:
     }
 
 
-def load_time_entries(spark: SparkSession, path: str, mode: str = FAIL) -> Validated:
-    """Nested entries as flat rows, durations in microseconds."""
-    checked = _load(spark, path, model.ENTRY_EXTRACT, entry_rules(), mode)
-    return Validated(flatten_entries(checked.valid, strict=mode == FAIL), checked.rejected)
+def check_entries(
+    raw: DataFrame, mode: str = FAIL, rules: dict[str, Column] | None = None, keep: tuple[str, ...] = ()
+) -> Validated:
+    """Nested entries as flat rows, durations in microseconds.
 
-
-def flatten_entries(raw: DataFrame, strict: bool = True) -> DataFrame:
-    """Flat rows of nested entries; ``strict`` fails on malformed durations."""
-    duration = F.col("timeInterval.duration")
-    return raw.select(
+    ``rules`` are checked besides those of entries; ``keep`` names further
+    columns to carry along.
+    """
+    checked = validate(raw, {**(rules or {}), **entry_rules()}, mode)
+    interval = F.col("timeInterval")
+    flat = checked.valid.select(
         F.col("id").alias("source_id"),
         "description",
-        parse_instant(F.col("timeInterval.start")).alias("start_time"),
-        parse_instant(F.col("timeInterval.end")).alias("end_time"),
-        (iso_duration_us(duration) if strict else parse_iso_duration(duration)).alias("duration_us"),
+        parse_instant(interval["start"]).alias("start_time"),
+        parse_instant(interval["end"]).alias("end_time"),
+        parse_iso_duration(interval["duration"]).alias("duration_us"),
         F.col("userId").alias("user_source_id"),
         F.col("projectId").alias("project_source_id"),
+        *keep,
     )
+    return Validated(flat, checked.rejected)
+
+
+def load_time_entries(spark: SparkSession, path: str, mode: str = FAIL) -> Validated:
+    """Time entries of an extract as flat rows."""
+    raw = read_json_lines(spark, path, model.ENTRY_EXTRACT)
+    return check_entries(raw, mode, {"json": F.col(CORRUPT).isNull()})
 
 
 def split_failed_users(entries: Validated) -> DataFrame:

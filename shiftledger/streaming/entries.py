@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from shiftledger import model
 from shiftledger.operators.upsert import unique_rows
 from shiftledger.plans.common import merge_entries, run_id
-from shiftledger.sources.extracts import CORRUPT, QUARANTINE, entry_rules, flatten_entries, validate
+from shiftledger.sources.extracts import CORRUPT, QUARANTINE, check_entries
 from shiftledger.sources.tables import Tables, stage
 
 ARRIVAL = "arrival"
@@ -48,11 +48,11 @@ def merge_batch(
     run_ts = clock()
     run = f"stream-{batch_id:012d}"
     raw = stage(tables.spark, batch, "raw", run)
-    rules = {"json": F.col(CORRUPT).isNull(), **entry_rules()}
-    checked = validate(raw, rules, QUARANTINE)
+    json_fine = {"json": F.col(CORRUPT).isNull()}
+    checked = check_entries(raw, QUARANTINE, json_fine, keep=(ARRIVAL,))
     checked.rejected.write.mode("overwrite").parquet(f"{rejected_path}/batch={batch_id}")
-    last = unique_rows(checked.valid, "id", F.col(ARRIVAL))
-    extract = stage(tables.spark, flatten_entries(last), "extract", run)
+    last = unique_rows(checked.valid, "source_id", F.col(ARRIVAL)).drop(ARRIVAL)
+    extract = stage(tables.spark, last, "extract", run)
     if not extract.isEmpty():
         merge_entries(tables, extract, f"{run}-{run_id(run_ts, 'merge')}", run_ts)
 
