@@ -61,7 +61,7 @@ def iso_duration_us(text: Column) -> Column:
 
 def sum_duration(duration_us: Column) -> list[Column]:
     """Aggregates ``sum_s`` and ``sum_us`` of a microsecond column."""
-    whole = F.call_function("div", duration_us, F.lit(US_PER_SECOND))
+    whole = _div(duration_us, US_PER_SECOND)
     return [
         F.sum(whole).alias("sum_s"),
         F.sum(duration_us - whole * F.lit(US_PER_SECOND)).alias("sum_us"),
@@ -73,21 +73,37 @@ def resum_duration() -> list[Column]:
     return [F.sum("sum_s").alias("sum_s"), F.sum("sum_us").alias("sum_us")]
 
 
-def total_us(sum_s: Column, sum_us: Column) -> Column:
-    """Exact microseconds of a summed pair, wide enough for any group."""
-    wide = "decimal(30,0)"
-    return sum_s.cast(wide) * F.lit(US_PER_SECOND).cast("decimal(7,0)") + sum_us.cast(wide)
+def is_positive(sum_s: Column, sum_us: Column) -> Column:
+    """Whether a summed pair is more than nothing."""
+    seconds, rest = _normalised(sum_s, sum_us)
+    return (seconds > 0) | ((seconds == 0) & (rest > 0))
 
 
-def hours_2dp(micros: Column) -> Column:
-    """Hours as DECIMAL(20,2), halves rounded away from zero.
+def hours_2dp(sum_s: Column, sum_us: Column) -> Column:
+    """Hours of a summed pair as DECIMAL(20,2), halves rounded away from zero.
 
-    Done on whole numbers, so no intermediate scale can round a second time.
+    Whole-number steps on longs: no intermediate scale that could round a second
+    time, and no wide decimals.
     """
-    wide = micros.cast("decimal(34,0)")
-    half = F.lit(US_PER_HOUR // 2).cast("decimal(12,0)")
-    cents = F.call_function(
-        "div", F.abs(wide) * F.lit(100).cast("decimal(3,0)") + half, F.lit(US_PER_HOUR).cast("decimal(12,0)")
-    )
-    signed = cents * F.signum(wide.cast("double")).cast("bigint")
-    return (signed.cast("decimal(20,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(20,2)")
+    seconds, rest = _normalised(sum_s, sum_us)
+    # A hundredth of an hour is 36 seconds.
+    left = F.pmod(seconds, F.lit(36))
+    tie = F.lit(18 * US_PER_SECOND) - F.when(seconds < 0, 1).otherwise(0)
+    rounded = _div(left * US_PER_SECOND + rest + tie, 36 * US_PER_SECOND)
+    cents = _div(seconds - left, 36) + rounded
+    return (cents.cast("decimal(18,0)") * F.lit("0.01").cast("decimal(2,2)")).cast("decimal(20,2)")
+
+
+def entry_hours_2dp(duration_us: Column) -> Column:
+    """Hours of a single duration."""
+    return hours_2dp(F.lit(0).cast("bigint"), duration_us)
+
+
+def _normalised(sum_s: Column, sum_us: Column) -> tuple[Column, Column]:
+    """The same amount with 0 to 999999 left-over microseconds."""
+    rest = F.pmod(sum_us, F.lit(US_PER_SECOND))
+    return sum_s + _div(sum_us - rest, US_PER_SECOND), rest
+
+
+def _div(number: Column, by: int) -> Column:
+    return F.call_function("div", number, F.lit(by))

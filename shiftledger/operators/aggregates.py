@@ -8,7 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shiftledger.functions import calendar as cal
-from shiftledger.functions.durations import hours_2dp, resum_duration, sum_duration, total_us
+from shiftledger.functions.durations import (
+    entry_hours_2dp,
+    hours_2dp,
+    is_positive,
+    resum_duration,
+    sum_duration,
+)
 from shiftledger.functions.text import is_filled
 from shiftledger.model import (
     DEFAULT_CYCLE_DAY,
@@ -89,7 +95,7 @@ def roll_up(buckets: DataFrame, users: DataFrame, projects: DataFrame, bucket: s
             F.coalesce("raw_project_link", sentinel_link).alias("project_link"),
             F.coalesce("raw_project_name", F.lit(SENTINEL_NAME)).alias("project_name"),
             label.alias("month"),
-            hours_2dp(total_us(F.col("sum_s"), F.col("sum_us"))).alias("total_hours"),
+            hours_2dp(F.col("sum_s"), F.col("sum_us")).alias("total_hours"),
             "raw_project_link",
         )
     )
@@ -195,14 +201,14 @@ def unassigned_rows(
         "duration_us",
         cal.iso_day(cal.local_date(F.col("start_time"), tz)).alias("date"),
         F.coalesce("description", F.lit(NO_DESCRIPTION)).alias("description"),
-        hours_2dp(F.col("duration_us")).alias("duration_hours"),
+        entry_hours_2dp(F.col("duration_us")).alias("duration_hours"),
     )
 
 
 def unassigned_totals(rows: DataFrame) -> DataFrame:
     """Per-user sums and entry counts of :func:`unassigned_rows`, positive sums only."""
     totals = rows.groupBy("user_id").agg(*sum_duration(F.col("duration_us")), F.count("*").alias("entry_count"))
-    return totals.where(total_us(F.col("sum_s"), F.col("sum_us")) > 0)
+    return totals.where(is_positive(F.col("sum_s"), F.col("sum_us")))
 
 
 def unassigned_hours(rows: DataFrame, users: DataFrame) -> DataFrame:
@@ -221,7 +227,7 @@ def unassigned_hours(rows: DataFrame, users: DataFrame) -> DataFrame:
             "user_name",
             "user_email",
             "chat_id",
-            hours_2dp(total_us(F.col("sum_s"), F.col("sum_us"))).alias("unassigned_hours"),
+            hours_2dp(F.col("sum_s"), F.col("sum_us")).alias("unassigned_hours"),
             "entry_count",
         )
     )

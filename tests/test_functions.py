@@ -1,4 +1,6 @@
+import random
 from datetime import date, timedelta
+from fractions import Fraction
 
 import pytest
 from conftest import utc
@@ -38,15 +40,30 @@ def test_malformed_duration_fails(rows, bad):
         df.select(durations.iso_duration_us(F.col("d"))).collect()
 
 
-@pytest.mark.parametrize("seconds, hours", [(18, "0.01"), (17, "0.00"), (36, "0.01"), (0, "0.00"), (90000, "25.00"), (-18, "-0.01")])
+@pytest.mark.parametrize("seconds, hours", [(18, "0.01"), (17, "0.00"), (36, "0.01"), (0, "0.00"), (90000, "25.00"), (-18, "-0.01"), (-17, "0.00"), (-54, "-0.02")])
 def test_hours_round_half_away(rows, seconds, hours):
-    assert str(one(rows("s BIGINT", (seconds,)), durations.hours_2dp(F.col("s") * 1_000_000))[0]) == hours
+    assert str(one(rows("s BIGINT", (seconds,)), durations.entry_hours_2dp(F.col("s") * 1_000_000))[0]) == hours
+
+
+def test_hours_of_pairs_match_exact_arithmetic(rows):
+    rng = random.Random(7)
+    pairs = [(rng.randrange(-10**6, 10**6), rng.randrange(-10**10, 10**10)) for _ in range(2000)]
+    pairs += [(36 * k + 18, d) for k in range(-5, 5) for d in (-1, 0, 1)] + [(0, 0), (10**15, 5), (-18, 1), (18, -1)]
+    df = rows("s BIGINT, us BIGINT", *pairs)
+    got = df.select(
+        "s", "us", durations.hours_2dp(F.col("s"), F.col("us")).alias("h"), durations.is_positive(F.col("s"), F.col("us")).alias("p")
+    ).collect()
+    for r in got:
+        exact = Fraction(r["s"] * 10**6 + r["us"], 36 * 10**6)
+        cents = int(abs(exact) + Fraction(1, 2)) * (1 if exact >= 0 else -1)
+        assert (int(r["h"] * 100), r["p"]) == (cents, exact > 0), (r["s"], r["us"])
 
 
 def test_sum_does_not_overflow(rows):
     big = 9_000_000_000_000_000_000
     total = rows("d BIGINT", (big,), (big,), (big,)).agg(*durations.sum_duration(F.col("d")))
-    assert int(one(total, durations.total_us(F.col("sum_s"), F.col("sum_us")))[0]) == 3 * big
+    sum_s, sum_us = one(total, "sum_s", "sum_us")
+    assert sum_s * 1_000_000 + sum_us == 3 * big
 
 
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Tokyo"])
