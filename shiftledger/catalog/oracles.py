@@ -148,6 +148,17 @@ CTES = {
     SELECT user_id, count(*) FILTER (sync_action IN ('updated', 'inserted')) AS upserted,
            count(*) FILTER (sync_action = 'deleted') AS deleted, count(*) FILTER (sync_changed) AS changed
     FROM sync_t WHERE sync_action <> 'kept' GROUP BY user_id""",
+    "report_t": """
+    SELECT *, upserted + deleted AS synced,
+           upserted > 0 OR deleted > 0 OR new_users > 0 OR renamed_users > 0 OR new_projects > 0 AS has_changes FROM (
+      SELECT CAST((SELECT sum(upserted) FROM sync_stats_t) AS BIGINT) AS upserted,
+             CAST((SELECT sum(deleted) FROM sync_stats_t) AS BIGINT) AS deleted,
+             CAST((SELECT sum(changed) FROM sync_stats_t) AS BIGINT) AS changed,
+             (SELECT count(*) FROM user_changes_t WHERE kind = 'added') AS new_users,
+             (SELECT count(*) FROM user_changes_t WHERE kind = 'renamed') AS renamed_users,
+             (SELECT count(*) FROM project_changes_t) AS new_projects,
+             (SELECT count(*) FROM client_changes_t) AS new_clients,
+             (SELECT count(*) FROM scanned_t) AS users_scanned)""",
     "name_records_t": """
     SELECT 'recU' || c_custkey AS id, upper(c_name) || ' ' AS name FROM customer
     UNION ALL
@@ -359,17 +370,22 @@ _STATEMENTS = {
            CASE WHEN source_id IN (SELECT source_id FROM ghosts_t) THEN {_RUN} END AS updated_at FROM stored_t""",
     "window_sync": f"SELECT {_ENTRY}, deleted_at, updated_at, sync_action, sync_changed FROM sync_t",
     "window_sync_stats": "SELECT * FROM sync_stats_t",
-    "sync_report": """
-    SELECT *, upserted + deleted AS synced,
-           upserted > 0 OR deleted > 0 OR new_users > 0 OR renamed_users > 0 OR new_projects > 0 AS has_changes FROM (
-      SELECT CAST((SELECT sum(upserted) FROM sync_stats_t) AS BIGINT) AS upserted,
-             CAST((SELECT sum(deleted) FROM sync_stats_t) AS BIGINT) AS deleted,
-             CAST((SELECT sum(changed) FROM sync_stats_t) AS BIGINT) AS changed,
-             (SELECT count(*) FROM user_changes_t WHERE kind = 'added') AS new_users,
-             (SELECT count(*) FROM user_changes_t WHERE kind = 'renamed') AS renamed_users,
-             (SELECT count(*) FROM project_changes_t) AS new_projects,
-             (SELECT count(*) FROM client_changes_t) AS new_clients,
-             (SELECT count(*) FROM scanned_t) AS users_scanned)""",
+    "sync_report": "SELECT * FROM report_t",
+    "sync_report_text": """
+    SELECT 'sync_report' AS kind, 'Sync report' AS title, CAST(page AS INTEGER) AS page,
+           concat_ws(E'\\n', '*Changes:*', coalesce(lines, '_No changes detected._'), cleanup) AS body
+    FROM (SELECT 0 AS page, '*Status:* SUCCESS' || E'\\n' || '*Cleanup stats:*' || E'\\n' || '- Time entries updated: ' || upserted
+                 || E'\\n' || '- Time entries deleted: ' || deleted || E'\\n' || '- Total users scanned: ' || users_scanned AS cleanup
+          FROM report_t)
+    FULL OUTER JOIN (
+      SELECT page, string_agg(line, E'\\n' ORDER BY rank) AS lines FROM (
+        SELECT rank, page, '- ' || label || ': ' || max(n) || ' (' || string_agg(text, ', ' ORDER BY text) || ')' AS line FROM (
+          SELECT *, count(*) OVER (PARTITION BY rank) AS n, CAST('0x' || substr(md5(text), 1, 8) AS BIGINT)
+                 % CAST(ceil(count(*) OVER (PARTITION BY rank) / 1000.0) AS BIGINT) AS page FROM (
+            SELECT 0 AS rank, 'New Users' AS label, text FROM user_changes_t WHERE kind = 'added'
+            UNION ALL SELECT 1, 'Renamed Users', text FROM user_changes_t WHERE kind = 'renamed'
+            UNION ALL SELECT 2, 'New Projects', text FROM project_changes_t
+            UNION ALL SELECT 3, 'New Clients', text FROM client_changes_t)) GROUP BY rank, label, page) GROUP BY page) USING (page)""",
     "backfill": _merged_entries("window_t"),
     "name_state": "SELECT * FROM name_state_t",
     "missing_users": """
@@ -387,6 +403,17 @@ _STATEMENTS = {
     "new_assignment_rows": """
     SELECT project_link, month_date, CAST(0 AS DOUBLE) AS commitment_hours, CAST(0 AS DOUBLE) AS hours_to_be_paid,
            CAST(0 AS DOUBLE) AS original_invoice_amount FROM missing_pairs_t""",
+    "complete_assignments": "SELECT project_link, month_date, assignment_id FROM full_index_t",
+    "write_back": "SELECT id, name, link_id FROM resolved_t",
+    "heal_dead_links": """
+    SELECT c_custkey, CASE WHEN c_custkey IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 5 < 3 AND o_orderkey % 3 <> 0)
+                           THEN NULL ELSE 'rec' || lpad(CAST(c_custkey AS VARCHAR), 14, '0') END AS link_id FROM customer""",
+    "heal_report": """
+    SELECT 'auto_heal' AS kind, 'Auto-heal applied: all' AS title, CAST(page AS INTEGER) AS page,
+           '*Healed Records (' || max(n) || '):*' || E'\\n' || string_agg(line, E'\\n' ORDER BY line) AS body FROM (
+      SELECT '- *' || name || '* → ' || link_id AS line, count(*) OVER () AS n,
+             CAST('0x' || substr(md5(id), 1, 8) AS BIGINT) % CAST(ceil(count(*) OVER () / 1000.0) AS BIGINT) AS page
+      FROM resolved_t WHERE action = 'heal') GROUP BY page""",
     "payroll_actions": """
     SELECT outcome, record_id, user_link, user_name, project_link AS project_id, project_name, month, hours,
            CASE WHEN outcome = 'update' THEN hours END AS set_actual FROM pay_judged_t

@@ -372,14 +372,22 @@ def window_sync_stats(spark, sf):
     return _sync(spark, sf).stats
 
 
-@query
-def sync_report(spark, sf):
-    changes = (
+def _changes(spark, sf):
+    return (
         upsert.upsert_users(_stored_users(spark, sf), _user_extract(spark, sf)).changes.withColumn("table", F.lit("users"))
         .unionByName(_upsert_projects(spark, sf).changes.withColumn("table", F.lit("projects")))
         .unionByName(client_changes(spark, sf).withColumn("table", F.lit("clients")))
     )
-    return ws.sync_report(_sync(spark, sf).stats, changes, _scanned(spark, sf))
+
+
+@query
+def sync_report(spark, sf):
+    return ws.sync_report(_sync(spark, sf).stats, _changes(spark, sf), _scanned(spark, sf))
+
+
+@query
+def sync_report_text(spark, sf):
+    return reports.sync_report_rows(sync_report(spark, sf), _changes(spark, sf))
 
 
 @query
@@ -458,6 +466,27 @@ def new_assignment_rows(spark, sf):
     return references.new_assignment_rows(missing).drop("assignment_id")
 
 
+@query
+def complete_assignments(spark, sf):
+    index = _previous_index(spark, sf)
+    created = _created(references.missing_assignments(_current_monthly(spark, sf), index))
+    return references.complete_assignments(index, created)
+
+
+def _created(missing):
+    """Assignments with the id the destination would have given them."""
+    return missing.withColumn(
+        "assignment_id",
+        F.concat(F.lit("new"), F.substring(F.md5(F.concat_ws("|", "project_link", "month_date")), 1, 14)),
+    )
+
+
+@query
+def write_back(spark, sf):
+    table = tb.unlinked_rows(spark, sf).withColumn("link_id", F.lit(None).cast("string"))
+    return references.write_back(table, resolve_links(spark, sf))
+
+
 # --- reconcile --------------------------------------------------------------
 
 
@@ -478,17 +507,12 @@ def _payroll_diff(spark, sf):
 
 
 def _assignment_diff(spark, sf):
-    """Assignments missing so far get the id the destination would have given."""
     current = _stored(spark, _current_monthly(spark, sf), "monthly")
     previous = _stored(spark, _previous_monthly(spark, sf), "previous")
     index = references.assignment_index(
         reconcile.destination_cells(tb.assignment_records(previous), model.PROJECT_ASSIGNMENT)
     )
-    created = references.missing_assignments(current, index).withColumn(
-        "assignment_id",
-        F.concat(F.lit("new"), F.substring(F.md5(F.concat_ws("|", "project_link", "month_date")), 1, 14)),
-    )
-    complete = references.complete_assignments(index, created)
+    complete = references.complete_assignments(index, _created(references.missing_assignments(current, index)))
     records = _stored(spark, tb.person_records(previous), "person_records")
     return reconcile.calculate_diff(current, records, model.ASSIGNMENT, index=complete)
 
@@ -555,6 +579,15 @@ def dead_links(spark, sf):
     return found.where(F.col("link_id").isNotNull()).select("error_id", "link_id")
 
 
+@query
+def heal_dead_links(spark, sf):
+    dead = reconcile.extract_dead_links(tb.destination_errors(spark, sf))
+    numbered = tb.table(spark, sf, "customer").select(
+        "c_custkey", F.concat(F.lit("rec"), F.lpad(F.col("c_custkey").cast("string"), 14, "0")).alias("link_id")
+    )
+    return upsert.clear_dead_links(numbered, dead.where(F.col("link_id").isNotNull()))
+
+
 # --- identity ---------------------------------------------------------------
 
 
@@ -598,3 +631,8 @@ def unmatched_report(spark, sf):
 @query
 def conflict_report(spark, sf):
     return reports.conflict_rows(resolve_links(spark, sf))
+
+
+@query
+def heal_report(spark, sf):
+    return reports.heal_rows(resolve_links(spark, sf), "all")
