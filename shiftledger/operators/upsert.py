@@ -37,24 +37,15 @@ class UpsertedEntries(NamedTuple):
 def unique_rows(rows: DataFrame, key: str, order_by: Column | None = None) -> DataFrame:
     """One row per key: the last by ``order_by``, or an error on repeated keys.
 
-    A plain pre-aggregating group-by, so a key repeated very often is reduced
-    before the shuffle.
+    A pre-aggregating group-by, so a key repeated very often is reduced before
+    the shuffle; the merge that follows joins on the same key and needs no other.
     """
     whole = F.struct(*[F.col(c) for c in rows.columns])
     if order_by is not None:
-        picked = rows.groupBy(key).agg(F.max_by(whole, order_by).alias("_row"))
-    else:
-        picked = (
-            rows.groupBy(key)
-            .agg(F.any_value(whole).alias("_row"), F.count("*").alias("_n"))
-            .withColumn(
-                "_row",
-                F.when(F.col("_n") == 1, F.col("_row")).otherwise(
-                    F.raise_error(F.concat(F.lit(f"Repeated {key} in one upsert: "), F.col(key).cast("string")))
-                ),
-            )
-        )
-    return picked.select("_row.*")
+        return rows.groupBy(key).agg(F.max_by(whole, order_by).alias("_row")).select("_row.*")
+    counted = rows.groupBy(key).agg(F.any_value(whole).alias("_row"), F.count("*").alias("_n"))
+    repeated = F.raise_error(F.concat(F.lit(f"Repeated {key} in one upsert: "), F.col(key).cast("string")))
+    return counted.select(F.when(F.col("_n") == 1, F.col("_row")).otherwise(repeated).alias("_row")).select("_row.*")
 
 
 def upsert(

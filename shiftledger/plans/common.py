@@ -61,10 +61,10 @@ def merge_references(tables: Tables, extracts: Extracts, run: str, run_ts: datet
 
 
 def affected(tables: Tables, extract: DataFrame, start: datetime | None) -> tuple[DataFrame, list]:
-    """Stored entries of the months a merge can touch, and those months."""
+    """Stored entries of the days a merge can touch, and those days."""
     stored = tables.read_entries()
-    months = tables.months_of(extract, stored, start)
-    return stored.where(F.col(PARTITION).isin(months)), months
+    days = tables.days_of(extract, stored, start)
+    return stored.where(F.col(PARTITION).isin(days)), days
 
 
 def merge_entries(
@@ -72,10 +72,10 @@ def merge_entries(
 ) -> dict[str, int]:
     """Upsert a staged extract, without a ghost pass; counts of the merge."""
     users, projects = tables.read("users"), tables.read("projects")
-    target, months = affected(tables, extract, None)
+    target, days = affected(tables, extract, None)
     merged = upsert.upsert_entries(target.drop(PARTITION), extract, users, projects, run_ts, order_by)
     staged = stage(tables.spark, merged.entries, "entries", run)
-    tables.publish_entries(staged, months)
+    tables.publish_entries(staged, days)
     skipped = merged.skipped.select("source_id").distinct().count()
     total = extract.select("source_id").distinct().count()
     return {"upserted": total - skipped, "skipped": skipped}

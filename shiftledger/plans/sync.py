@@ -60,12 +60,12 @@ def run_sync(
         failed.select(F.col("user_source_id").alias("source_id")), "source_id", "left_anti"
     ).select(F.col("id").alias("user_id"))
 
-    target, months = affected(tables, extract, start)
+    target, days = affected(tables, extract, start)
     sync = ws.sync_window(
         target.drop(windows.PARTITION), extract, users, projects, scanned, start, run_ts
     )
     merged = stage(spark, sync.merged, "entries", run)
-    tables.publish_entries(merged, months)
+    tables.publish_entries(merged, days)
 
     stats = stage(spark, ws.sync_stats(merged), "stats", run)
     summary = stage(spark, ws.sync_report(stats, changes, scanned), "report", run)

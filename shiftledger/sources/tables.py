@@ -3,14 +3,15 @@
 A plan never overwrites a path it reads. Entries are staged first and published
 from there: if a publish is cut short, running it again completes it.
 
-Entries are partitioned by the UTC month of their start; publishing replaces
-only the months concerned. The reference tables are small next to them; each run writes
-a new snapshot folder and readers take the newest complete one.
+Entries are partitioned by the UTC day of their start, so an hourly sync rewrites
+two days of data and not a month; publishing replaces only the days concerned. The
+reference tables are small next to them; each run writes a new snapshot folder and
+readers take the newest complete one.
 """
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import UTC, date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -91,32 +92,32 @@ class Tables:
             return with_partition(self.spark.createDataFrame([], model.ENTRIES))
         return self.spark.read.schema(f"{_ddl(model.ENTRIES)}, {PARTITION} DATE").parquet(path)
 
-    def months_of(self, extract: DataFrame, stored: DataFrame, start: datetime | None) -> list[date]:
+    def days_of(self, extract: DataFrame, stored: DataFrame, start: datetime | None) -> list[date]:
         """Partitions a merge can touch.
 
-        Months of incoming rows, months where an incoming id is stored now (an
-        edit may move an entry), and months of the ghost window. The middle part
-        scans only the key column. The result is one row per month.
+        Days of incoming rows, days where an incoming id is stored now (an edit
+        may move an entry), and days of the ghost window. The middle part scans
+        only the key column. The result is one row per day.
         """
         moved = stored.select("source_id", PARTITION).join(extract.select("source_id"), "source_id", "left_semi")
-        months = with_partition(extract).select(PARTITION).distinct().unionByName(moved.select(PARTITION).distinct())
+        days = with_partition(extract).select(PARTITION).distinct().unionByName(moved.select(PARTITION).distinct())
         if start is not None:
-            first = start.date().replace(day=1)
-            months = months.unionByName(stored.where(F.col(PARTITION) >= F.lit(first)).select(PARTITION).distinct())
-        return [row[0] for row in months.distinct().collect()]
+            first = start.astimezone(UTC).date()
+            days = days.unionByName(stored.where(F.col(PARTITION) >= F.lit(first)).select(PARTITION).distinct())
+        return [row[0] for row in days.distinct().collect()]
 
-    def publish_entries(self, staged: DataFrame, months: list[date], rows_per_file: int = ROWS_PER_FILE) -> None:
-        """Replace ``months`` by the staged rows, which are their complete next state.
+    def publish_entries(self, staged: DataFrame, days: list[date], rows_per_file: int = ROWS_PER_FILE) -> None:
+        """Replace ``days`` by the staged rows, which are their complete next state.
 
-        Each month is cut into slices by a hash of the id, one file per slice: no
-        tiny files, and a month holding a large part of all rows is many tasks.
+        Each day is cut into slices by a hash of the id, one file per slice: no
+        tiny files, and a day holding a large part of all rows is many tasks.
         """
         columns = [f.name for f in model.ENTRIES.fields]
         rows = with_partition(staged.select(*columns))
         sizes = rows.groupBy(PARTITION).agg(F.ceil(F.count("*") / rows_per_file).alias("_slices"))
         filled = {row[0] for row in sizes.select(PARTITION).collect()}
         (
-            # One row per month: a bounded side.
+            # One row per day: a bounded side.
             rows.join(F.broadcast(sizes), PARTITION)
             .withColumn("_slice", F.pmod(F.xxhash64("source_id"), F.col("_slices")))
             .repartition(PARTITION, "_slice")
@@ -126,10 +127,10 @@ class Tables:
             .partitionBy(PARTITION)
             .parquet(f"{self.root}/entries")
         )
-        # A dynamic overwrite leaves months alone that have no new rows; a month
-        # whose last entry moved elsewhere has to go.
-        for month in sorted(set(months) - filled):
-            self._remove(f"{self.root}/entries/{PARTITION}={month.isoformat()}")
+        # A dynamic overwrite leaves days alone that have no new rows; a day whose
+        # last entry moved elsewhere has to go.
+        for day in sorted(set(days) - filled):
+            self._remove(f"{self.root}/entries/{PARTITION}={day.isoformat()}")
 
     def _folder(self, path: str):
         folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

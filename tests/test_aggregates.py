@@ -169,7 +169,7 @@ def test_paged_lists_counts_for_itself(rows):
 
 def test_plan_prunes_and_pre_aggregates(spark, rows, dims, tmp_path):
     e = with_partition(entries(rows, ("1", "2026-01-10T08:00:00", H, "u1", None, None)))
-    e.write.partitionBy("start_month").parquet(str(tmp_path / "e"))
+    e.write.partitionBy("start_day").parquet(str(tmp_path / "e"))
     stored = spark.read.parquet(str(tmp_path / "e"))
 
     def plan(df):
@@ -180,5 +180,5 @@ def test_plan_prunes_and_pre_aggregates(spark, rows, dims, tmp_path):
     assert "description" not in monthly
     assert "CartesianProduct" not in monthly and "BroadcastNestedLoopJoin" not in monthly
     unassigned = plan(ag.unassigned_rows(stored, dims[1], date(2026, 2, 1)))
-    assert "start_month" in unassigned.split("PartitionFilters")[1].split("]")[0]
+    assert "start_day" in unassigned.split("PartitionFilters")[1].split("]")[0]
     assert "GreaterThanOrEqual(start_time" in unassigned

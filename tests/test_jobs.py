@@ -88,8 +88,8 @@ def test_sync_from_nothing_then_edit_move_and_delete(tables, load):
     assert "New Users: 3 (Ann Lee, Bob, Cy)" in body and "Time entries updated: 5" in body
 
     second = [
-        entry("e1", "2026-02-15T08:00:00Z", 7),  # edited and moved to another month
-        entry("e3", "2026-03-01T08:00:00Z", 3, user="u2", project="p2"),  # leaves its month empty but for e1
+        entry("e1", "2026-02-15T08:00:00Z", 7),  # edited and moved to another day
+        entry("e3", "2026-03-01T08:00:00Z", 3, user="u2", project="p2"),  # leaves its day empty
         entry("e5", "2026-03-09T08:00:00Z", 5, user="u2"),
     ]
     users = [{**USERS[0], "name": "Ann Smith"}, *USERS[1:]]
@@ -103,7 +103,7 @@ def test_sync_from_nothing_then_edit_move_and_delete(tables, load):
     assert back.report["changed"] == 1 and state(tables)["e2"] == (2, False)
 
 
-def test_an_emptied_month_disappears(tables, load):
+def test_an_emptied_day_disappears(tables, load):
     run_sync(tables, load([entry("e1", "2026-02-20T08:00:00Z", 1), entry("e2", "2026-03-05T08:00:00Z", 1)]), NOW, 30)
     run_sync(
         tables,
@@ -112,7 +112,7 @@ def test_an_emptied_month_disappears(tables, load):
     )
     stored = tables.read_entries()
     assert ids(stored) == ["e1", "e2"]
-    assert {r[0] for r in stored.select("start_month").distinct().collect()} == {date(2026, 3, 1)}
+    assert {r[0] for r in stored.select("start_day").distinct().collect()} == {date(2026, 3, 2), date(2026, 3, 5)}
 
 
 def test_short_window_leaves_older_entries_alone(tables, load):
