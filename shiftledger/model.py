@@ -35,6 +35,8 @@ BATCH_SIZE = 10
 TOLERANCE = 0.01
 MAX_INSPECT_ROWS = 100_000
 DEFAULT_LOOKBACK_DAYS = 1
+FAST = "FAST"
+DEEP = "DEEP"
 DEFAULT_BACKFILL_START = "2026-01-01T00:00:00Z"
 
 MONTH_NAMES = (
@@ -110,7 +112,7 @@ def lookback_window(lookback_days: int | None) -> tuple[timedelta, str]:
     days = DEFAULT_LOOKBACK_DAYS if lookback_days is None else lookback_days
     if isinstance(days, bool) or not isinstance(days, int) or days <= 0:
         raise ValueError("lookback_days must be a positive integer")
-    return timedelta(days=days), ("DEEP" if days > 1 else "FAST")
+    return timedelta(days=days), (DEEP if days > 1 else FAST)
 
 
 # --- stored tables ----------------------------------------------------------

@@ -53,3 +53,17 @@ def paged_lists(
         .groupBy(*by, "page", "page_count")
         .agg(F.sort_array(F.collect_list("_item")).alias(alias))
     )
+
+
+def paged_list(rows: DataFrame, row_id: str, item: Column, page_size: int, alias: str = "items") -> DataFrame:
+    """The whole table as pages: ``page``, ``page_count``, ``count`` and the sorted items."""
+    if page_size < 1:
+        raise ValueError("page_size must be positive")
+    total = rows.agg(F.count("*").alias("count")).scalar()
+    pages = F.ceil(total / page_size).cast("int")
+    return (
+        rows.select(hash_slot(F.col(row_id), pages).alias("page"), item.alias("_item"))
+        .groupBy("page")
+        .agg(F.sort_array(F.collect_list("_item")).alias(alias))
+        .select("page", pages.alias("page_count"), total.alias("count"), alias)
+    )

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shiftledger.functions.text import empty_to_null
-from shiftledger.operators.paging import paged_lists
+from shiftledger.operators.paging import paged_list, paged_lists
 from shiftledger.operators.references import CONFLICT, HEAL, healed_lines
 
 PAGE_SIZE = 1000
@@ -28,11 +28,12 @@ def listing(
     rows: DataFrame, kind: str, title: str, row_id: str, line: Column, header: Column, page_size: int = PAGE_SIZE
 ) -> DataFrame:
     """A text listing all rows; ``header`` may use the column ``count``."""
-    lines = rows.select(F.lit(kind).alias("kind"), F.col(row_id).alias("_id"), line.alias("_line"))
-    counts = lines.groupBy("kind").count()
-    pages = paged_lists(lines, ["kind"], "_id", F.col("_line"), page_size, alias="_lines", counts=counts)
-    return pages.join(counts, "kind").select(
-        "kind", F.lit(title).alias("title"), "page", F.concat(header, F.lit("\n"), F.array_join("_lines", "\n")).alias("body")
+    pages = paged_list(rows, row_id, line, page_size, alias="_lines")
+    return pages.select(
+        F.lit(kind).alias("kind"),
+        F.lit(title).alias("title"),
+        "page",
+        F.concat(header, F.lit("\n"), F.array_join("_lines", "\n")).alias("body"),
     )
 
 
@@ -78,7 +79,9 @@ def sync_report_rows(
             F.lit("\n- Total users scanned: "), F.col("users_scanned").cast("string"),
         ).alias("_cleanup"),
     )
-    return cleanup.join(lines, "page", "full_outer").select(
+    # The counts close the first page, which exists even without any change.
+    parts = lines.unionByName(cleanup, allowMissingColumns=True)
+    return parts.groupBy("page").agg(F.max("_lines").alias("_lines"), F.max("_cleanup").alias("_cleanup")).select(
         F.lit("sync_report").alias("kind"),
         F.lit("Sync report").alias("title"),
         "page",

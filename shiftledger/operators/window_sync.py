@@ -178,11 +178,9 @@ def sync_report(stats: DataFrame, changes: DataFrame, scanned_users: DataFrame)
         *[F.count_if((F.col("table") == t) & (F.col("kind") == k)).alias(n) for n, t, k in is_kind]
     )
     scanned = scanned_users.agg(F.countDistinct("user_id").alias("users_scanned"))
-    # Three one-row tables side by side; each is a global aggregate.
-    one = F.lit(1).alias("_one")
-    report = (
-        totals.select("*", one).join(counts.select("*", one), "_one").join(scanned.select("*", one), "_one").drop("_one")
-    )
+    # Three one-row tables as one: stacked, then the one value of each column.
+    stacked = totals.unionByName(counts, allowMissingColumns=True).unionByName(scanned, allowMissingColumns=True)
+    report = stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
     noteworthy = ["upserted", "deleted", "new_users", "renamed_users", "new_projects"]
     has_changes = F.lit(False)
     for c in noteworthy:

@@ -19,13 +19,16 @@ from shiftledger.sources.tables import Tables, stage
 
 
 class SyncResult(NamedTuple):
-    """Outcome of a run: mode, report totals, per-user stats and report rows."""
+    """Outcome of a run: mode, report totals, per-user stats, changes by name.
+
+    ``reports`` is None for short look-backs and for runs without changes.
+    """
 
     mode: str
     report: dict
     stats: DataFrame
     changes: DataFrame
-    reports: DataFrame
+    reports: DataFrame | None
 
 
 def run_sync(
@@ -70,11 +73,13 @@ def run_sync(
     stats = stage(spark, ws.sync_stats(merged), "stats", run)
     summary = stage(spark, ws.sync_report(stats, changes, scanned), "report", run)
     report = summary.first().asDict()
-    text = reports.sync_report_rows(summary, changes, "SUCCESS" if failed.isEmpty() else "FAILURE")
 
     broken = failed.count()
     if broken:
         raise RunFailed(f"sync completed with errors for {broken} user(s)")
     if report["synced"] > 0 and downstream is not None:
         downstream()
+    # Only the long look-back is an audit worth telling about.
+    noteworthy = mode == model.DEEP and report["has_changes"]
+    text = reports.sync_report_rows(summary, changes) if noteworthy else None
     return SyncResult(mode, report, stats, changes, text)

@@ -27,3 +27,11 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", sorted(contract.queries()))
 def test_query(spark, duck, name):
     assert compare(contract.queries()[name](spark, SF), duck, contract.oracle_sql()[name]) is None
+
+
+@pytest.mark.parametrize("name", sorted(contract.queries()))
+def test_plan(spark, name):
+    """No cross join, no all-pairs join, no Python in any plan."""
+    plan = contract.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    for operator in ("CartesianProduct", "NestedLoopJoin", "Python", "Arrow"):
+        assert operator not in plan
