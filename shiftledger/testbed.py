@@ -359,7 +359,9 @@ def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(
         _text("su", key).alias("id"),
         F.when(key % 3 != 0, F.col("c_name")).when(key % 9 == 0, F.lit("")).alias("name"),
-        F.when(key % 5 != 0, F.concat(F.lower(F.replace("c_name", F.lit("#"), F.lit("."))), F.lit("@example.com"))).alias("email"),
+        F.when(
+            key % 5 != 0, F.concat(F.lower(F.replace("c_name", F.lit("#"), F.lit("."))), F.lit("@example.com"))
+        ).alias("email"),
         F.col("c_mktsegment").alias("status"),
     )
 
