@@ -184,13 +184,19 @@ def upsert_entries(
     order_by: Column | None = None,
 ) -> UpsertedEntries:
     """Merge an extract; rows of unknown users are left out and returned."""
-    resolved = resolve_entries(extract, users, projects).where(F.col("user_id").isNotNull())
-    merged = upsert(
-        entries, resolved, cols=ENTRY_COLUMNS, run_ts=run_ts, touch="updated_at", order_by=order_by
-    )
+    merged = merge_resolved(entries, resolve_entries(extract, users, projects), run_ts, order_by)
     return UpsertedEntries(merged, skipped_entries(extract, users))
 
 
+def merge_resolved(
+    entries: DataFrame, resolved: DataFrame, run_ts: datetime, order_by: Column | None = None
+) -> DataFrame:
+    """Merge resolved rows. A job stages them first, so that their true size is
+    known when Spark decides whether to broadcast them."""
+    known = resolved.where(F.col("user_id").isNotNull())
+    return upsert(entries, known, cols=ENTRY_COLUMNS, run_ts=run_ts, touch="updated_at", order_by=order_by)
+
+
 # --- single columns ---------------------------------------------------------
 
 

@@ -67,15 +67,26 @@ def sync_window(
     """Merge, ghost search and soft delete in one plan over all users.
 
     Only users in ``scanned_users`` (column ``user_id``) can lose entries: an
-    extract that is incomplete for somebody must not delete their rows. The
-    stored rows pass one join against the increment; both outcomes of that join
-    (matched: update, unmatched: possible ghost) are decided in one projection.
+    extract that is incomplete for somebody must not delete their rows.
     """
-    incoming = (
-        resolve_entries(unique_rows(extract, "source_id", order_by), users, projects)
-        .select("source_id", *[F.col(c).alias(f"_new_{c}") for c in ENTRY_COLUMNS])
-        .withColumn("_in", F.lit(True))
-    )
+    resolved = resolve_entries(unique_rows(extract, "source_id", order_by), users, projects)
+    return merge_window(entries, resolved, scanned_users, start, run_ts)
+
+
+def merge_window(
+    entries: DataFrame, resolved: DataFrame, scanned_users: DataFrame, start: datetime, run_ts: datetime
+) -> WindowSync:
+    """The same from resolved rows, one per id.
+
+    A job stages ``resolved`` first: Spark overrates the size of a join's result,
+    and only with the true size does it plan to broadcast the increment rather
+    than shuffle the stored rows. Those pass one join against the increment, and
+    both outcomes (matched: update, unmatched: possible ghost) are decided in one
+    projection.
+    """
+    incoming = resolved.select(
+        "source_id", *[F.col(c).alias(f"_new_{c}") for c in ENTRY_COLUMNS]
+    ).withColumn("_in", F.lit(True))
     scanned = scanned_users.select("user_id").distinct().withColumn("_scanned", F.lit(True))
     stamp = instant_literal(run_ts)
 

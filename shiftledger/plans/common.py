@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shiftledger.operators import upsert
+from shiftledger.operators.upsert import unique_rows
 from shiftledger.operators.windows import PARTITION
 from shiftledger.sources.extracts import Validated, require_clean
 from shiftledger.sources.tables import Tables, stage
@@ -71,11 +72,14 @@ def merge_entries(
     tables: Tables, extract: DataFrame, run: str, run_ts: datetime, order_by: Column | None = None
 ) -> dict[str, int]:
     """Upsert a staged extract, without a ghost pass; counts of the merge."""
-    users, projects = tables.read("users"), tables.read("projects")
-    target, days = affected(tables, extract, None)
-    merged = upsert.upsert_entries(target.drop(PARTITION), extract, users, projects, run_ts, order_by)
-    staged = stage(tables.spark, merged.entries, "entries", run)
-    tables.publish_entries(staged, days)
-    skipped = merged.skipped.select("source_id").distinct().count()
-    total = extract.select("source_id").distinct().count()
-    return {"upserted": total - skipped, "skipped": skipped}
+    rows = unique_rows(extract, "source_id", order_by)
+    resolved = stage(
+        tables.spark, upsert.resolve_entries(rows, tables.read("users"), tables.read("projects")), "resolved", run
+    )
+    target, days = affected(tables, resolved, None)
+    merged = upsert.merge_resolved(target.drop(PARTITION), resolved, run_ts)
+    tables.publish_entries(stage(tables.spark, merged, "entries", run), days)
+    upserted = F.count_if(F.col("user_id").isNotNull())
+    return resolved.agg(
+        upserted.alias("upserted"), F.count_if(F.col("user_id").isNull()).alias("skipped")
+    ).first().asDict()

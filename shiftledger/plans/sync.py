@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from shiftledger import model
 from shiftledger.functions.calendar import lookback_start
-from shiftledger.operators import reports, windows
+from shiftledger.operators import reports, upsert, windows
 from shiftledger.operators import window_sync as ws
 from shiftledger.plans.common import Extracts, RunFailed, affected, merge_references, run_id
 from shiftledger.sources.extracts import split_failed_users
@@ -53,20 +53,16 @@ def run_sync(
     users, projects = tables.read("users"), tables.read("projects")
 
     failed = stage(spark, split_failed_users(extracts.entries), "failed_users", run)
-    extract = stage(
-        spark,
-        windows.within(extracts.entries.valid, start).join(failed, "user_source_id", "left_anti"),
-        "extract_entries",
-        run,
-    )
+    extract = windows.within(extracts.entries.valid, start).join(failed, "user_source_id", "left_anti")
     scanned = users.join(
         failed.select(F.col("user_source_id").alias("source_id")), "source_id", "left_anti"
     ).select(F.col("id").alias("user_id"))
 
-    target, days = affected(tables, extract, start)
-    sync = ws.sync_window(
-        target.drop(windows.PARTITION), extract, users, projects, scanned, start, run_ts
+    resolved = stage(
+        spark, upsert.resolve_entries(upsert.unique_rows(extract, "source_id"), users, projects), "resolved", run
     )
+    target, days = affected(tables, resolved, start)
+    sync = ws.merge_window(target.drop(windows.PARTITION), resolved, scanned, start, run_ts)
     merged = stage(spark, sync.merged, "entries", run)
     tables.publish_entries(merged, days)
 

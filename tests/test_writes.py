@@ -254,3 +254,28 @@ def test_deleting_parents(rows, users, projects):
     assert ids(integrity.delete_users(users, entries, rows("id STRING", ("u2",)))) == ["s1"]
     with pytest.raises(integrity.IntegrityError):
         integrity.delete_users(users, entries, rows("id STRING", ("u1",)))
+
+
+def test_small_increment_leaves_the_target_unshuffled(spark, rows, users, projects, case, tmp_path):
+    before, more, scanned = case
+    for name, df in (("before", before), ("more", more), ("users", users), ("projects", projects)):
+        df.write.parquet(str(tmp_path / name))
+    stored, extracted, people, work = (
+        spark.read.parquet(str(tmp_path / n)) for n in ("before", "more", "users", "projects")
+    )
+    upsert.resolve_entries(upsert.unique_rows(extracted, "source_id"), people, work).write.parquet(str(tmp_path / "r"))
+    resolved, everyone = spark.read.parquet(str(tmp_path / "r")), people.select(F.col("id").alias("user_id"))
+    sync = ws.merge_window(stored, resolved, everyone, START, RUN)
+    plan = sync.merged._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan
+    # The only shuffle is the distinct of the scanned users.
+    shuffled = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(shuffled) == 1 and "user_id" in shuffled[0]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        beyond = ws.merge_window(stored, resolved, everyone, START, RUN)
+        plan = beyond.merged._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+        assert sorted(map(str, beyond.merged.collect())) == sorted(map(str, sync.merged.collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
