@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Entries kept per Python worker; beyond it the cache starts anew, which changes nothing but speed.
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 500_000
 #: Distinct stretches encoded in one call.
 STRETCHES = 1000
 #: A space with white space on both sides, or at the end after white space, is no place to cut.
@@ -158,7 +158,7 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 16 << 20) -> list[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 4 << 20) -> list[pa.RecordBatch]:
     """Parts of a batch of about ``most_bytes`` of text each, so that long texts do not add up."""
     sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
     group = np.cumsum(sizes) // most_bytes
