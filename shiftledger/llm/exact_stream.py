@@ -26,6 +26,8 @@ from shiftledger.llm.common import SPACE, scratch, stage
 STATE_STORE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Files take the room that they fill; by default each store sets aside some megabytes.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 #: Bytes of digest files taken into one micro-batch.
 BATCH_BYTES = 1 << 30
@@ -50,7 +52,9 @@ def stream_digests(
     With the same ``state`` and ``log`` folders a later call takes up only new files and goes on from the kept state.
     """
     own = spark.newSession()
-    for key, value in STATE_STORE.items():
+    # A new session starts from defaults; the number of state partitions is the caller's.
+    partitions = {"spark.sql.shuffle.partitions": spark.conf.get("spark.sql.shuffle.partitions")}
+    for key, value in {**STATE_STORE, **partitions}.items():
         own.conf.set(key, value)
     rows = own.readStream.schema(schema).option("maxBytesPerTrigger", batch_bytes).parquet(source)
     seen = rows.groupBy("digest").agg(F.min("locator").alias("first"), F.count("*").alias("n"))
