@@ -25,6 +25,9 @@ from shiftledger.llm.common import rank_within, stage
 from shiftledger.llm.tokens import encoder, slices
 
 CAPACITY = 2048
+#: Packing follows other stages in a pipeline, whose memory the executors still hold: it works in smaller portions.
+CACHE_ENTRIES = 150_000
+SLICE = 1 << 20
 
 Pattern = tuple[list[int], int]
 
@@ -45,9 +48,9 @@ def tokenized_pieces(
     )
 
     def cut(batches):
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer, CACHE_ENTRIES).encode
         for whole in batches:
-            for batch in slices(whole, "_text"):
+            for batch in slices(whole, "_text", SLICE):
                 ids, counts = encode(batch.column("_text"))
                 ids = np.insert(ids, np.cumsum(counts), end_id)
                 counts = counts + 1
@@ -63,6 +66,7 @@ def tokenized_pieces(
                 kept = [batch.column(c).take(pa.array(owner)) for c in keep]
                 arrays = [*kept, pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), blob]
                 yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in schema])
+            pa.default_memory_pool().release_unused()
 
     rows = docs.select(*keep, F.coalesce(F.col("text"), F.lit("")).alias("_text"))
     return rows.mapInArrow(cut, schema)

@@ -41,7 +41,7 @@ def byte_lengths(vocabulary: dict[str, int], suffix: str) -> np.ndarray:
 class Encoder:
     """Encodes Arrow string arrays; keeps the ids of stretches it has met."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int = CACHE_ENTRIES):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -52,6 +52,7 @@ class Encoder:
         #: Vocabularies with word ends drop white space; the others keep it with the next word.
         self.keeps_space = not model.get("end_of_word_suffix")
         self.lengths = byte_lengths(model["vocab"], model.get("end_of_word_suffix") or "")
+        self.most = most
         self._forget()
 
     def _forget(self) -> None:
@@ -137,7 +138,7 @@ class Encoder:
             place = np.zeros(2 * len(coded.dictionary), dtype=np.int64)
             place[present] = np.arange(len(present))
             codes = place[codes]
-        if len(self.known) > CACHE_ENTRIES:
+        if len(self.known) > self.most:
             self._forget()
         known = self.known
         if missing := [name for name in names if name not in known]:
@@ -153,9 +154,9 @@ class Encoder:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str) -> Encoder:
-    """One per file and Python worker."""
-    return Encoder(path)
+def encoder(path: str, most: int = CACHE_ENTRIES) -> Encoder:
+    """One per file and Python worker; ``most`` trades its memory for speed."""
+    return Encoder(path, most)
 
 
 def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 4 << 20) -> list[pa.RecordBatch]:
