@@ -16,7 +16,7 @@ def _cents(seconds: str) -> str:
 
 
 _PROJECT_KEY = (
-    "CASE WHEN o_orderkey % 23 = 0 THEN NULL WHEN o_orderkey % 10 = 0 THEN 0 ELSE (o_orderkey * 7) % 200 END"
+    "CASE WHEN o_orderkey % 23 = 0 THEN NULL WHEN o_orderkey % 10 = 0 THEN 0 ELSE o_custkey + o_orderkey % 40 END"
 )
 _START = "(o_orderdate + to_seconds((o_orderkey * 7919) % 86400))"
 _SECS = "CASE WHEN o_orderkey % 13 <> 0 THEN CAST(floor(o_totalprice) AS BIGINT) % 36000 END"
@@ -300,9 +300,10 @@ _STATEMENTS = {
     FROM orders""",
     "unassigned_hours": "SELECT * FROM unassigned_hours_t",
     "unassigned_time": """
-    SELECT h.*, CAST(0 AS INTEGER) AS page, CAST(1 AS INTEGER) AS page_count, l.entries FROM unassigned_hours_t h JOIN (
-      SELECT user_id, string_agg(date || '|' || description || '|' || rtrim(rtrim(printf('%.2f', duration_hours), '0'), '.'), ';'
-             ORDER BY date, description, duration_hours) AS entries FROM unassigned_t GROUP BY user_id) l USING (user_id)""",
+    SELECT h.*, t.source_id, t.date, t.description, t.duration_hours FROM unassigned_hours_t h JOIN unassigned_t t USING (user_id)""",
+    "entry_items_json": """
+    SELECT source_id, user_id, '{"date":"' || date || '","description":' || to_json(description) || ',"hours":'
+           || printf('%.2f', duration_hours) || '}' AS item FROM unassigned_t""",
     "unassigned_entries": "SELECT source_id, user_id, date, description, duration_hours FROM unassigned_t",
     "users_default_name": """
     SELECT source_id, coalesce(name, email, 'Unknown User') AS name, email, status FROM (
@@ -372,20 +373,14 @@ _STATEMENTS = {
     "window_sync_stats": "SELECT * FROM sync_stats_t",
     "sync_report": "SELECT * FROM report_t",
     "sync_report_text": """
-    SELECT 'sync_report' AS kind, 'Sync report' AS title, CAST(page AS INTEGER) AS page,
-           concat_ws(E'\\n', '*Changes:*', coalesce(lines, '_No changes detected._'), cleanup) AS body
-    FROM (SELECT 0 AS page, '*Status:* SUCCESS' || E'\\n' || '*Cleanup stats:*' || E'\\n' || '- Time entries updated: ' || upserted
-                 || E'\\n' || '- Time entries deleted: ' || deleted || E'\\n' || '- Total users scanned: ' || users_scanned AS cleanup
-          FROM report_t)
-    FULL OUTER JOIN (
-      SELECT page, string_agg(line, E'\\n' ORDER BY rank) AS lines FROM (
-        SELECT rank, page, '- ' || label || ': ' || max(n) || ' (' || string_agg(text, ', ' ORDER BY text) || ')' AS line FROM (
-          SELECT *, count(*) OVER (PARTITION BY rank) AS n, CAST('0x' || substr(md5(text), 1, 8) AS BIGINT)
-                 % CAST(ceil(count(*) OVER (PARTITION BY rank) / 1000.0) AS BIGINT) AS page FROM (
-            SELECT 0 AS rank, 'New Users' AS label, text FROM user_changes_t WHERE kind = 'added'
-            UNION ALL SELECT 1, 'Renamed Users', text FROM user_changes_t WHERE kind = 'renamed'
-            UNION ALL SELECT 2, 'New Projects', text FROM project_changes_t
-            UNION ALL SELECT 3, 'New Clients', text FROM client_changes_t)) GROUP BY rank, label, page) GROUP BY page) USING (page)""",
+    SELECT 'sync_report' AS kind, 'What the last run did' AS title, section, text FROM (
+      SELECT 'users ' || kind AS section, text FROM user_changes_t
+      UNION ALL SELECT 'projects ' || kind, text FROM project_changes_t
+      UNION ALL SELECT 'clients ' || kind, text FROM client_changes_t
+      UNION ALL SELECT 'run', 'outcome: SUCCESS'
+      UNION ALL SELECT 'run', 'merged entries: ' || upserted FROM report_t
+      UNION ALL SELECT 'run', 'removed entries: ' || deleted FROM report_t
+      UNION ALL SELECT 'run', 'people looked at: ' || users_scanned FROM report_t)""",
     "backfill": _merged_entries("window_t"),
     "name_state": "SELECT * FROM name_state_t",
     "missing_users": """
@@ -409,11 +404,8 @@ _STATEMENTS = {
     SELECT c_custkey, CASE WHEN c_custkey IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 5 < 3 AND o_orderkey % 3 <> 0)
                            THEN NULL ELSE 'rec' || lpad(CAST(c_custkey AS VARCHAR), 14, '0') END AS link_id FROM customer""",
     "heal_report": """
-    SELECT 'auto_heal' AS kind, 'Auto-heal applied: all' AS title, CAST(page AS INTEGER) AS page,
-           '*Healed Records (' || max(n) || '):*' || E'\\n' || string_agg(line, E'\\n' ORDER BY line) AS body FROM (
-      SELECT '- *' || name || '* → ' || link_id AS line, count(*) OVER () AS n,
-             CAST('0x' || substr(md5(id), 1, 8) AS BIGINT) % CAST(ceil(count(*) OVER () / 1000.0) AS BIGINT) AS page
-      FROM resolved_t WHERE action = 'heal') GROUP BY page""",
+    SELECT 'auto_heal' AS kind, 'Links found again' AS title, 'all' AS section, name || ' is linked to ' || link_id AS text
+    FROM resolved_t WHERE action = 'heal'""",
     "payroll_actions": """
     SELECT outcome, record_id, user_link, user_name, project_link AS project_id, project_name, month, hours,
            CASE WHEN outcome = 'update' THEN hours END AS set_actual FROM pay_judged_t
@@ -435,11 +427,10 @@ _STATEMENTS = {
     SELECT user_link AS person, assignment_id AS project_assignment, hours AS actual_hours, CAST(0 AS DOUBLE) AS assigned_hours
     FROM asg_judged_t WHERE outcome = 'insert'""",
     "action_batches": """
-    SELECT bucket, batch, count(*) AS rows, min(record_id) AS first_id, max(record_id) AS last_id FROM (
-      SELECT record_id, bucket, CAST((row_number() OVER (PARTITION BY bucket ORDER BY record_id) - 1) // 10 AS INTEGER) AS batch FROM (
-        SELECT record_id, CAST(CAST('0x' || substr(md5(record_id), 1, 8) AS BIGINT)
-               % greatest(1, CAST(ceil((SELECT count(*) FROM pay_deduped_t) / 10000.0) AS BIGINT)) AS INTEGER) AS bucket
-        FROM pay_deduped_t)) GROUP BY bucket, batch""",
+    SELECT batch, count(*) AS rows, min(record_id) AS first_id, max(record_id) AS last_id FROM (
+      SELECT record_id, (row_number() OVER (
+        ORDER BY CAST('0x' || substr(md5(record_id), 1, 8) AS BIGINT) % 1024, record_id) - 1) // 10 AS batch
+      FROM pay_deduped_t) GROUP BY batch""",
     "dead_links": """
     SELECT 'x' || o_orderkey AS error_id, 'rec' || lpad(CAST(o_orderkey AS VARCHAR), 14, '0') AS link_id
     FROM orders WHERE o_orderkey % 5 < 3 AND o_orderkey % 3 <> 0""",
@@ -452,24 +443,17 @@ _STATEMENTS = {
            count(*) FILTER (matched_chat_id IS NOT NULL) AS matched FROM matched_t""",
     "nudge_rows": """
     SELECT m.matched_chat_id AS chat_id, h.user_id, split_part(h.user_name, ' ', 1) AS first_name,
-           rtrim(rtrim(printf('%.2f', h.unassigned_hours), '0'), '.') AS hours, CAST(0 AS INTEGER) AS page,
-           CAST(1 AS INTEGER) AS page_count, l.entry_list
-    FROM unassigned_hours_t h JOIN matched_t m USING (user_id) JOIN (
-      SELECT user_id, string_agg('• *' || date || '*: ' || description || ' (' || rtrim(rtrim(printf('%.2f', duration_hours), '0'), '.')
-             || 'h)', E'\\n' ORDER BY date, description, duration_hours) AS entry_list FROM unassigned_t GROUP BY user_id) l
-      ON l.user_id = h.user_id
+           rtrim(rtrim(printf('%.2f', h.unassigned_hours), '0'), '.') AS hours, t.date, t.source_id,
+           t.date || ' ' || rtrim(rtrim(printf('%.2f', t.duration_hours), '0'), '.') || 'h ' || t.description AS text
+    FROM unassigned_hours_t h JOIN matched_t m USING (user_id) JOIN unassigned_t t ON t.user_id = h.user_id
     WHERE m.matched_chat_id IS NOT NULL""",
     "unmatched_report": """
-    SELECT 'unmatched_people' AS kind, 'People without a chat account' AS title, CAST(page AS INTEGER) AS page,
-           'No chat account was found for:' || E'\\n'
-           || string_agg(line, E'\\n' ORDER BY line) AS body FROM (
-      SELECT '• ' || user_name || ' (' || coalesce(user_email, 'No Email') || ')' AS line,
-             CAST('0x' || substr(md5(user_id), 1, 8) AS BIGINT) % CAST(ceil(count(*) OVER () / 1000.0) AS BIGINT) AS page
-      FROM matched_t WHERE matched_chat_id IS NULL) GROUP BY page""",
+    SELECT 'unmatched_people' AS kind, 'Not on the roster' AS title, 'people' AS section,
+           user_name || ', ' || coalesce(nullif(user_email, ''), 'address unknown') AS text
+    FROM matched_t WHERE matched_chat_id IS NULL""",
     "conflict_report": """
-    SELECT 'conflict' AS kind, 'Destination data conflict' AS title, CAST(0 AS INTEGER) AS page,
-           'Multiple records found in the destination for *' || name
-           || '*. Cannot safely auto-heal or sync. Please delete the duplicates.' AS body
+    SELECT 'conflict' AS kind, 'Ambiguous name' AS title, name AS section,
+           'Several records answer to this name, so none was linked; one of them has to stay alone.' AS text
     FROM resolved_t WHERE action = 'conflict'""",
 }
 

@@ -110,8 +110,12 @@ def unassigned_hours(spark, sf):
 @query
 def unassigned_time(spark, sf):
     rows = ag.unassigned_time(tb.entries(spark, sf), tb.users(spark, sf), tb.projects(spark, sf), NUDGE_DAY)
-    items = F.transform("entries", lambda e: F.concat_ws("|", e["date"], e["description"], number_text(e["duration_hours"])))
-    return _real(rows.withColumn("entries", F.array_join(items, ";")), "unassigned_hours")
+    return _real(rows, "unassigned_hours", "duration_hours")
+
+
+@query
+def entry_items_json(spark, sf):
+    return ag.entry_json(_unassigned_rows(spark, sf)).select("source_id", "user_id", "item")
 
 
 @query
@@ -568,7 +572,7 @@ def assignment_inserts(spark, sf):
 def action_batches(spark, sf):
     updates = reconcile.dedupe_updates(_payroll_diff(spark, sf).updates)
     batched = reconcile.batch_actions(updates.select("record_id"), "record_id")
-    return batched.groupBy("bucket", "batch").agg(
+    return batched.groupBy("batch").agg(
         F.count("*").alias("rows"), F.min("record_id").alias("first_id"), F.max("record_id").alias("last_id")
     )
 
@@ -617,10 +621,10 @@ def matched_count(spark, sf):
 
 @query
 def nudge_rows(spark, sf):
-    paged = ag.unassigned_time(tb.entries(spark, sf), tb.users(spark, sf), tb.projects(spark, sf), NUDGE_DAY)
-    people = ag.unassigned_hours(_unassigned_rows(spark, sf), tb.users(spark, sf))
+    rows = _unassigned_rows(spark, sf)
+    people = ag.unassigned_hours(rows, tb.users(spark, sf))
     matched = identity.match_identity(people, tb.roster(spark, sf))
-    return identity.nudge_rows(matched, paged.select("user_id", "page", "page_count", "entries"))
+    return identity.nudge_rows(matched, rows)
 
 
 @query

@@ -79,7 +79,7 @@ def month_label_to_date(label: Column) -> Column:
     return F.when(
         number > 0,
         F.concat(F.try_element_at(parts, F.lit(2)), F.lit("-"), F.lpad(number.cast("string"), 2, "0"), F.lit("-01")),
-    ).when(label.isNotNull(), F.raise_error(F.concat(F.lit("Could not parse month name: "), name)).cast("string"))
+    ).when(label.isNotNull(), F.raise_error(F.concat(F.lit("No such month: "), name)).cast("string"))
 
 
 def iso_day(day: Column) -> Column:

@@ -12,20 +12,32 @@ from pyspark.sql import functions as F
 
 # Signs are allowed on every part, a fraction on the seconds.
 _DURATION = (
-    r"^P(?!$)(-?\d{1,6}W)?(-?\d{1,6}D)?"
-    r"(T(?=[-\d])(-?\d{1,9}H)?(-?\d{1,9}M)?(-?\d{1,9}(\.\d{1,6})?S)?)?$"
+    r"^P(?!$)(-?\d+W)?(-?\d+D)?"
+    r"(T(?=[-\d])(-?\d+H)?(-?\d+M)?(-?\d+(\.\d+)?S)?)?$"
 )
+# Numbers too long for the quick path, which reads the time part as an interval.
+_LONG = r"\d{10,}|\.\d{7,}|\d{7,}[WD]"
 US_PER_SECOND = 1_000_000
 US_PER_HOUR = 3_600_000_000
 _US_PER_DAY = 86_400_000_000
 
 
 def is_iso_duration(text: Column) -> Column:
-    """True for ISO-8601 durations of fixed length.
+    """True for ISO-8601 durations of fixed length whose microseconds fit a BIGINT.
 
     Years and months are refused: they have no fixed number of seconds.
     """
-    return text.rlike(_DURATION)
+    return text.rlike(_DURATION) & (~text.rlike(_LONG) | _exact_us(text).isNotNull())
+
+
+def _exact_us(text: Column) -> Column:
+    """Microseconds by decimal arithmetic, rounded; null beyond a BIGINT."""
+    total = F.lit(0).cast("decimal(38,9)")
+    for unit, seconds in (("W", 604_800), ("D", 86_400), ("H", 3600), ("M", 60), ("S", 1)):
+        found = F.regexp_extract(text, rf"(-?\d+(?:\.\d+)?){unit}", 1)
+        number = F.when(found == "", F.lit("0")).otherwise(found).try_cast("decimal(28,9)")
+        total = F.try_add(total, F.try_multiply(number, F.lit(seconds)))
+    return F.try_multiply(F.round(total, 6), F.lit(US_PER_SECOND)).try_cast("bigint")
 
 
 def parse_iso_duration(text: Column) -> Column:
@@ -45,8 +57,8 @@ def parse_iso_duration(text: Column) -> Column:
         return F.coalesce(found.cast("bigint"), F.lit(0))
 
     days_us = (count("W") * 7 + count("D")) * _US_PER_DAY
-    return F.when(
-        is_iso_duration(text),
+    return F.when(text.rlike(_LONG), F.when(is_iso_duration(text), _exact_us(text))).when(
+        text.rlike(_DURATION),
         F.when(text.contains("T"), time_us).otherwise(0)
         + F.when(text.contains("D") | text.contains("W"), days_us).otherwise(0),
     )

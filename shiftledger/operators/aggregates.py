@@ -23,10 +23,8 @@ from shiftledger.model import (
     SENTINEL_NAME,
     SENTINEL_SOURCE_ID,
 )
-from shiftledger.operators.paging import paged_lists
 from shiftledger.operators.windows import within
 
-PAGE_SIZE = 1000
 
 
 def is_active() -> Column:
@@ -233,20 +231,6 @@ def unassigned_hours(rows: DataFrame, users: DataFrame) -> DataFrame:
     )
 
 
-def unassigned_lists(rows: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
-    """Per user and page, the entries of :func:`unassigned_rows` by date."""
-    return paged_lists(
-        rows,
-        ["user_id"],
-        "source_id",
-        F.struct("date", "description", "duration_hours"),
-        page_size,
-        alias="entries",
-        # Same sums as the totals, so Spark reuses their shuffle.
-        counts=unassigned_totals(rows).withColumnRenamed("entry_count", "count"),
-    )
-
-
 def unassigned_time(
     entries: DataFrame,
     users: DataFrame,
@@ -254,12 +238,18 @@ def unassigned_time(
     day: date,
     tz: str = DEFAULT_TZ,
     cycle_day: int = DEFAULT_CYCLE_DAY,
-    page_size: int = PAGE_SIZE,
 ) -> DataFrame:
-    """Who logged time without a project in the cycle, with the entries.
+    """Who logged time without a project in the cycle: one row per entry, with the person's total.
 
-    One row per user and page; ``page_count`` is 1 up to ``page_size`` entries.
-    ``unassigned_hours`` is the user's whole total on every page.
+    Put in order by (user_id, date, source_id); nothing is collected, however many entries a person has.
     """
     rows = unassigned_rows(entries, projects, day, tz, cycle_day)
-    return unassigned_hours(rows, users).join(unassigned_lists(rows, page_size), "user_id")
+    listed = rows.select("user_id", "source_id", "date", "description", "duration_hours")
+    return unassigned_hours(rows, users).join(listed, "user_id")
+
+
+def entry_json(rows: DataFrame) -> DataFrame:
+    """Add ``item``: date, description and hours of an entry as JSON text."""
+    return rows.withColumn(
+        "item", F.to_json(F.struct("date", "description", F.col("duration_hours").alias("hours")))
+    )

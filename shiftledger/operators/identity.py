@@ -67,35 +67,23 @@ def matched_count(matched: DataFrame) -> DataFrame:
     )
 
 
-def nudge_rows(matched: DataFrame, lists: DataFrame) -> DataFrame:
-    """One message per matched person and page of entries.
+def nudge_rows(matched: DataFrame, entries: DataFrame) -> DataFrame:
+    """One row per matched person and entry; rows of a ``chat_id`` in order of (date, source_id) make a message.
 
-    ``matched`` has one row per person with ``unassigned_hours``; ``lists`` the
-    paged entries of :func:`paged_lists`. A person with a usual number of
-    entries gets one message.
+    ``matched`` has one row per person with ``unassigned_hours``; ``entries`` has user_id, source_id, date, description and
+    duration_hours.
     """
-    line = F.transform(
-        "entries",
-        lambda e: F.concat(
-            F.lit("• *"),
-            e["date"],
-            F.lit("*: "),
-            e["description"],
-            F.lit(" ("),
-            number_text(e["duration_hours"]),
-            F.lit("h)"),
-        ),
-    )
+    text = F.concat_ws(" ", "date", F.concat(number_text(F.col("duration_hours")), F.lit("h")), "description")
     return (
         matched.where(F.col("matched_chat_id").isNotNull())
-        .join(lists, "user_id")
+        .join(entries, "user_id")
         .select(
             F.col("matched_chat_id").alias("chat_id"),
             "user_id",
             first_word(F.col("user_name")).alias("first_name"),
             number_text(F.col("unassigned_hours")).alias("hours"),
-            "page",
-            "page_count",
-            F.array_join(line, "\n").alias("entry_list"),
+            "date",
+            "source_id",
+            text.alias("text"),
         )
     )

@@ -320,27 +320,27 @@ def total_stats(stats: list[DataFrame]) -> DataFrame:
 # --- sending ----------------------------------------------------------------
 
 
-def batch_actions(
-    actions: DataFrame, id_col: str, size: int = BATCH_SIZE, bucket_rows: int = 10_000
-) -> DataFrame:
-    """Number rows into batches of at most ``size``: (bucket, batch) plus the row.
-
-    Rows are spread over ceil(count / bucket_rows) buckets by a hash of the
-    unique id and numbered within their bucket, so no task sorts more than a
-    bucket. Only the last batch of a bucket may be short.
+def batch_actions(actions: DataFrame, id_col: str, size: int = BATCH_SIZE, slices: int = 1024) -> DataFrame:
+    """Add ``batch`` (from 0): rows numbered over the whole table, ``size`` to a batch, so only the last may be short.
+
+    Rows are ordered by a hash slice of the unique id, then by the id. Each slice counts on from the rows of the
+    slices before it, so no task sorts more than a slice. A group of ``size`` consecutive numbers may span two slices.
     """
-    if size < 1 or bucket_rows < 1:
-        raise ValueError("size and bucket_rows must be positive")
-    buckets = actions.agg(F.greatest(F.lit(1), F.ceil(F.count("*") / bucket_rows)).alias("n")).scalar()
-    number = F.row_number().over(Window.partitionBy("bucket").orderBy(id_col))
-    return actions.withColumn("bucket", hash_slot(F.col(id_col), buckets)).withColumn(
-        "batch", F.floor((number - 1) / size).cast("int")
-    )
+    if size < 1 or slices < 1:
+        raise ValueError("size and slices must be positive")
+    sliced = actions.withColumn("_slice", hash_slot(F.col(id_col), F.lit(slices)))
+    counts = sliced.groupBy("_slice").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    bases = counts.select("_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    place = F.row_number().over(Window.partitionBy("_slice").orderBy(id_col)) - 1
+    numbered = sliced.withColumn("_place", place).join(F.broadcast(bases), "_slice")
+    batch = F.floor((F.col("_base") + F.col("_place")) / size).cast("bigint")
+    return numbered.withColumn("batch", batch).drop("_slice", "_place", "_base")
 
 
 def collect_batches(batched: DataFrame, payload: Column) -> DataFrame:
     """One row per batch with its payloads: never more than the batch size."""
-    return batched.groupBy("bucket", "batch").agg(F.collect_list(payload).alias("records"))
+    return batched.groupBy("batch").agg(F.collect_list(payload).alias("records"))
 
 
 # --- dead links -------------------------------------------------------------

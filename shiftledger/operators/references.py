@@ -162,8 +162,3 @@ def _column(field: str) -> str:
 def conflict_alerts(resolved: DataFrame) -> DataFrame:
     """Names somebody has to sort out in the destination."""
     return resolved.where(F.col("action") == CONFLICT).select("id", "name")
-
-
-def healed_lines(resolved: DataFrame) -> Column:
-    """Line of the heal report."""
-    return F.concat(F.lit("- *"), F.col("name"), F.lit("* → "), F.col("link_id"))

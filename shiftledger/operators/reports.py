@@ -1,7 +1,6 @@
-"""Report texts as rows (kind, title, page, body). Sending them is the caller's part.
+"""Reports as rows (kind, title, section, text), one row per line. Putting lines into messages is the sender's part.
 
-Every list in a text is paged, so a report of any length is many rows rather
-than one enormous string.
+No list is collected, so a report of any length is spread over as many tasks as its rows.
 """
 
 from __future__ import annotations
@@ -10,140 +9,52 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shiftledger.functions.text import empty_to_null
-from shiftledger.operators.paging import paged_list, paged_lists
-from shiftledger.operators.references import CONFLICT, HEAL, healed_lines
-
-PAGE_SIZE = 1000
-
-# Lines of the sync report, in order: label, table and kind of change.
-_CHANGE_LINES = (
-    ("New Users", "users", "added"),
-    ("Renamed Users", "users", "renamed"),
-    ("New Projects", "projects", "added"),
-    ("New Clients", "clients", "added"),
-)
-
-
-def listing(
-    rows: DataFrame, kind: str, title: str, row_id: str, line: Column, header: Column, page_size: int = PAGE_SIZE
-) -> DataFrame:
-    """A text listing all rows; ``header`` may use the column ``count``."""
-    pages = paged_list(rows, row_id, line, page_size, alias="_lines")
-    return pages.select(
-        F.lit(kind).alias("kind"),
-        F.lit(title).alias("title"),
-        "page",
-        F.concat(header, F.lit("\n"), F.array_join("_lines", "\n")).alias("body"),
+from shiftledger.operators.references import CONFLICT, HEAL
+
+SCHEMA = "kind STRING, title STRING, section STRING, text STRING"
+
+
+def _lines(rows: DataFrame, kind: str, title: str, section: Column, text: Column) -> DataFrame:
+    return rows.select(
+        F.lit(kind).alias("kind"), F.lit(title).alias("title"), section.alias("section"), text.alias("text")
     )
 
 
-def sync_report_rows(
-    report: DataFrame, changes: DataFrame, status: str = "SUCCESS", page_size: int = PAGE_SIZE
-) -> DataFrame:
-    """The sync report: what changed by name, and the counts of the run.
+def sync_report_rows(report: DataFrame, changes: DataFrame, status: str = "SUCCESS") -> DataFrame:
+    """What a run did: one line per changed name, and one per count.
 
-    ``report`` is the one-row :func:`window_sync.sync_report`, ``changes`` the
-    (table, kind, text) rows behind it.
+    ``report`` is the one-row :func:`window_sync.sync_report`, ``changes`` the (table, kind, text) rows behind it.
     """
-    rank = F.lit(None).cast("int")
-    label = F.lit(None).cast("string")
-    for i, (text, table, kind) in enumerate(_CHANGE_LINES):
-        here = (F.col("table") == table) & (F.col("kind") == kind)
-        rank = F.when(here, i).otherwise(rank)
-        label = F.when(here, text).otherwise(label)
-    keyed = changes.select("table", "kind", "text", F.col("text").alias("_id"))
-    counts = keyed.groupBy("table", "kind").count()
-    pages = paged_lists(keyed, ["table", "kind"], "_id", F.col("text"), page_size, counts=counts)
-    lines = (
-        pages.join(counts, ["table", "kind"])
-        .select(
-            "page",
-            F.struct(
-                rank.alias("rank"),
-                F.concat(
-                    F.lit("- "), label, F.lit(": "), F.col("count").cast("string"),
-                    F.lit(" ("), F.array_join("items", ", "), F.lit(")"),
-                ).alias("line"),
-            ).alias("_l"),
-        )
-        # At most one line per kind of change and page.
-        .groupBy("page")
-        .agg(F.sort_array(F.collect_list("_l")).alias("_ls"))
-        .select("page", F.array_join(F.col("_ls.line"), "\n").alias("_lines"))
-    )
-    cleanup = report.select(
-        F.lit(0).alias("page"),
-        F.concat(
-            F.lit(f"*Status:* {status}\n*Cleanup stats:*\n- Time entries updated: "), F.col("upserted").cast("string"),
-            F.lit("\n- Time entries deleted: "), F.col("deleted").cast("string"),
-            F.lit("\n- Total users scanned: "), F.col("users_scanned").cast("string"),
-        ).alias("_cleanup"),
-    )
-    # The counts close the first page, which exists even without any change.
-    parts = lines.unionByName(cleanup, allowMissingColumns=True)
-    return parts.groupBy("page").agg(F.max("_lines").alias("_lines"), F.max("_cleanup").alias("_cleanup")).select(
-        F.lit("sync_report").alias("kind"),
-        F.lit("Sync report").alias("title"),
-        "page",
-        F.concat_ws(
-            "\n", F.lit("*Changes:*"), F.coalesce("_lines", F.lit("_No changes detected._")), "_cleanup"
-        ).alias("body"),
-    )
+    kind, title = "sync_report", "What the last run did"
+    names = _lines(changes, kind, title, F.concat_ws(" ", "table", "kind"), F.col("text"))
+    facts = {"merged entries": "upserted", "removed entries": "deleted", "people looked at": "users_scanned"}
+    counts = [F.concat(F.lit(f"{label}: "), F.col(column).cast("string")) for label, column in facts.items()]
+    lines = report.select(F.explode(F.array(F.lit(f"outcome: {status}"), *counts)).alias("text"))
+    return names.unionByName(_lines(lines, kind, title, F.lit("run"), F.col("text")))
 
 
 def conflict_rows(resolved: DataFrame) -> DataFrame:
-    """One alert per name carried by several destination records."""
-    return resolved.where(F.col("action") == CONFLICT).select(
-        F.lit("conflict").alias("kind"),
-        F.lit("Destination data conflict").alias("title"),
-        F.lit(0).alias("page"),
-        F.concat(
-            F.lit("Multiple records found in the destination for *"),
-            F.col("name"),
-            F.lit("*. Cannot safely auto-heal or sync. Please delete the duplicates."),
-        ).alias("body"),
-    )
+    """One line per name carried by several destination records."""
+    text = F.lit("Several records answer to this name, so none was linked; one of them has to stay alone.")
+    return _lines(resolved.where(F.col("action") == CONFLICT), "conflict", "Ambiguous name", F.col("name"), text)
 
 
-def heal_rows(resolved: DataFrame, table: str, page_size: int = PAGE_SIZE) -> DataFrame:
-    """Which rows were linked to existing records."""
-    return listing(
-        resolved.where(F.col("action") == HEAL),
-        "auto_heal",
-        f"Auto-heal applied: {table}",
-        "id",
-        healed_lines(resolved),
-        F.concat(F.lit("*Healed Records ("), F.col("count").cast("string"), F.lit("):*")),
-        page_size,
-    )
+def heal_rows(resolved: DataFrame, table: str) -> DataFrame:
+    """One line per row that was linked to an existing record."""
+    text = F.concat(F.col("name"), F.lit(" is linked to "), F.col("link_id"))
+    return _lines(resolved.where(F.col("action") == HEAL), "auto_heal", "Links found again", F.lit(table), text)
 
 
 def dead_link_rows(dead: DataFrame) -> DataFrame:
-    """One report per link id the destination no longer has."""
-    return dead.where(F.col("link_id").isNotNull()).select("link_id").distinct().select(
-        F.lit("dead_link").alias("kind"),
-        F.lit("Dead link caught").alias("title"),
-        F.lit(0).alias("page"),
-        F.concat(
-            F.lit("Destination record *"),
-            F.col("link_id"),
-            F.lit(
-                "* was deleted or corrupted. The stored link has been cleared and will be "
-                "re-established on the next sync."
-            ),
-        ).alias("body"),
-    )
+    """One line per link id the destination no longer has."""
+    gone = dead.where(F.col("link_id").isNotNull()).select("link_id").distinct()
+    text = F.lit("No record has this id any more. The link is dropped; the next run looks for the name.")
+    return _lines(gone, "dead_link", "Link to nothing", F.col("link_id"), text)
 
 
-def unmatched_rows(unmatched: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
-    """People who could not be found in the roster."""
-    email = F.coalesce(empty_to_null(F.col("user_email")), F.lit("No Email"))
-    return listing(
-        unmatched,
-        "unmatched_people",
-        "People without a chat account",
-        "user_id",
-        F.concat(F.lit("• "), F.col("user_name"), F.lit(" ("), email, F.lit(")")),
-        F.lit("No chat account was found for:"),
-        page_size,
+def unmatched_rows(unmatched: DataFrame) -> DataFrame:
+    """One line per person who could not be found in the roster."""
+    email = F.coalesce(empty_to_null(F.col("user_email")), F.lit("address unknown"))
+    return _lines(
+        unmatched, "unmatched_people", "Not on the roster", F.lit("people"), F.concat_ws(", ", "user_name", email)
     )

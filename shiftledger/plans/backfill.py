@@ -50,5 +50,5 @@ def run_backfill(
     counts = merge_entries(tables, stage(tables.spark, rows, "extract_entries", run), run, run_ts)
     broken = failed.count()
     if broken:
-        raise RunFailed(f"backfill completed with errors for {broken} user(s)")
+        raise RunFailed(f"{broken} people have unreadable entries and were left as they are")
     return counts

@@ -26,6 +26,8 @@ class Extracts(NamedTuple):
     clients: Validated
     projects: Validated
     entries: Validated
+    #: Source ids (column source_id) of the users whose entries were fetched whole; by default those in ``users``.
+    scanned_users: DataFrame | None = None
 
 
 def run_id(run_ts: datetime, step: str) -> str:

@@ -16,7 +16,7 @@ from shiftledger.sources.tables import Tables, stage
 
 
 class NudgeResult(NamedTuple):
-    """Messages to send, people not found, report rows; ``nudged`` counts people."""
+    """Lines to send, people not found, report rows; ``nudged`` counts people."""
 
     nudged: int
     nudges: DataFrame | None
@@ -51,7 +51,7 @@ def run_nudge(
     found = identity.discovered_ids(matched)
     tables.publish("users", set_column(users, found, "id", "chat_id"), run)
 
-    nudges = stage(spark, identity.nudge_rows(matched, ag.unassigned_lists(rows)), "nudges", run)
+    nudges = stage(spark, identity.nudge_rows(matched, rows), "nudges", run)
     unmatched = identity.unmatched_people(matched)
     counts = identity.matched_count(matched).first()
     return NudgeResult(counts["matched"], nudges, unmatched, reports.unmatched_rows(unmatched))

@@ -20,7 +20,7 @@ from shiftledger.sources.tables import Tables, stage
 
 # send(table, kind, rows): deliver one staged set of actions; kind is
 # "create", "insert" or "update". Rows of inserts and updates carry
-# (bucket, batch), at most ten rows each.
+# batch, at most ten rows each.
 Sender = Callable[[str, str, DataFrame], None]
 
 
@@ -69,7 +69,7 @@ def link_references(
         texts.append(settle("projects", rf.missing_projects(projects, project_names), destination.projects))
         texts.append(settle("clients", clients, destination.clients))
     if not texts:
-        return spark.createDataFrame([], "kind STRING, title STRING, page INT, body STRING")
+        return spark.createDataFrame([], reports.SCHEMA)
     found = texts[0]
     for more in texts[1:]:
         found = found.unionByName(more)

@@ -14,7 +14,7 @@ from shiftledger.functions.calendar import lookback_start
 from shiftledger.operators import reports, upsert, windows
 from shiftledger.operators import window_sync as ws
 from shiftledger.plans.common import Extracts, RunFailed, affected, merge_references, run_id
-from shiftledger.sources.extracts import split_failed_users
+from shiftledger.sources.extracts import rejected_ids, split_failed_users
 from shiftledger.sources.tables import Tables, stage
 
 
@@ -31,6 +31,21 @@ class SyncResult(NamedTuple):
     reports: DataFrame | None
 
 
+def _searchable(tables: Tables, extracts: Extracts, users: DataFrame, failed: DataFrame) -> DataFrame:
+    """Users (user_id) whose missing entries are known to be gone: fetched whole, and without an unreadable row.
+
+    A rejected row that names no user could be anybody's, so then nobody is searched. Whoever owns an id that
+    was read in a rejected row is left out too, whatever user that row names.
+    """
+    nobody = failed.where(F.col("user_source_id").isNull()).limit(1).count() == 1
+    fetched = extracts.users.valid.select("source_id") if extracts.scanned_users is None else extracts.scanned_users
+    whole = users.join(fetched.select("source_id").distinct(), "source_id", "left_semi").join(
+        failed.select(F.col("user_source_id").alias("source_id")), "source_id", "left_anti"
+    )
+    owners = tables.read_entries().join(rejected_ids(extracts.entries), "source_id", "left_semi").select("user_id").distinct()
+    return whole.where(F.lit(not nobody)).select(F.col("id").alias("user_id")).join(owners, "user_id", "left_anti")
+
+
 def run_sync(
     tables: Tables,
     extracts: Extracts,
@@ -54,9 +69,7 @@ def run_sync(
 
     failed = stage(spark, split_failed_users(extracts.entries), "failed_users", run)
     extract = windows.within(extracts.entries.valid, start).join(failed, "user_source_id", "left_anti")
-    scanned = users.join(
-        failed.select(F.col("user_source_id").alias("source_id")), "source_id", "left_anti"
-    ).select(F.col("id").alias("user_id"))
+    scanned = stage(spark, _searchable(tables, extracts, users, failed), "scanned", run)
 
     resolved = stage(
         spark, upsert.resolve_entries(upsert.unique_rows(extract, "source_id"), users, projects), "resolved", run
@@ -72,7 +85,7 @@ def run_sync(
 
     broken = failed.count()
     if broken:
-        raise RunFailed(f"sync completed with errors for {broken} user(s)")
+        raise RunFailed(f"{broken} people have unreadable entries and were left as they are")
     if report["synced"] > 0 and downstream is not None:
         downstream()
     # Only the long look-back is an audit worth telling about.

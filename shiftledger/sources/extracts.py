@@ -175,10 +175,15 @@ def load_time_entries(spark: SparkSession, path: str, mode: str = FAIL) -> Valid
 
 
 def split_failed_users(entries: Validated) -> DataFrame:
-    """Users with at least one rejected entry (column ``user_source_id``)."""
+    """Users with at least one rejected entry (column ``user_source_id``); rejected rows may also name no user."""
     return entries.rejected.select(F.col("userId").alias("user_source_id")).distinct()
 
 
+def rejected_ids(entries: Validated) -> DataFrame:
+    """Ids that could be read in rejected rows (column ``source_id``): these entries are not gone."""
+    return entries.rejected.where(F.col("id").isNotNull()).select(F.col("id").alias("source_id")).distinct()
+
+
 # --- roster -----------------------------------------------------------------
 
 

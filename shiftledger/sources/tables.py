@@ -1,17 +1,19 @@
 """Stored tables as Parquet folders, staged before they are published.
 
-A plan never overwrites a path it reads. Entries are staged first and published
-from there: if a publish is cut short, running it again completes it.
+A plan never overwrites a path it reads. Entries are partitioned by the UTC day of
+their start, so an hourly sync rewrites two days of data and not a month. A publish
+writes the days concerned under a new version and then one small manifest, which says for each
+day which version holds it. Readers follow the newest complete manifest: until it is there
+they see the state before, so a publish that is cut short at any point changes nothing.
 
-Entries are partitioned by the UTC day of their start, so an hourly sync rewrites
-two days of data and not a month; publishing replaces only the days concerned. The
-reference tables are small next to them; each run writes a new snapshot folder and
+The reference tables are small next to them; each run writes a new snapshot folder and
 readers take the newest complete one.
 """
 
 from __future__ import annotations
 
 from datetime import UTC, date, datetime
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,8 +33,9 @@ def stage(spark: SparkSession, df: DataFrame, name: str, run_id: str) -> DataFra
     Later uses scan the staged files instead of repeating the work, survive lost
     executors, and are planned with the true size, which decides broadcasts.
     """
-    path = f"{shared_dir(spark)}/staged/{run_id}/{name}"
-    df.write.mode("overwrite").parquet(path)
+    # Each attempt of each store gets a folder of its own; nothing staged is ever overwritten.
+    path = f"{shared_dir(spark)}/staged/{run_id}/{name}-{uuid4().hex}"
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -87,10 +90,22 @@ class Tables:
 
     def read_entries(self) -> DataFrame:
         """Stored entries with the partition column; empty before the first publish."""
-        path = f"{self.root}/entries"
-        if not self._exists(path):
+        held = self._manifest()
+        if not held:
             return with_partition(self.spark.createDataFrame([], model.ENTRIES))
-        return self.spark.read.schema(f"{_ddl(model.ENTRIES)}, {PARTITION} DATE").parquet(path)
+        path = f"{self.root}/entries"
+        days = [f"{path}/version={version}/{PARTITION}={day.isoformat()}" for day, version in held.items()]
+        reader = self.spark.read.schema(f"{_ddl(model.ENTRIES)}, {PARTITION} DATE").option("basePath", path)
+        return reader.parquet(*days).drop("version")
+
+    def _manifest(self) -> dict[date, str]:
+        """Version that holds each day: one row per day."""
+        path = f"{self.root}/entries_manifest"
+        newest = self._newest(path)
+        if newest is None:
+            return {}
+        rows = self.spark.read.schema("day DATE, version STRING").parquet(f"{path}/{SNAPSHOT}={newest}")
+        return {r["day"]: r["version"] for r in rows.collect()}
 
     def days_of(self, extract: DataFrame, stored: DataFrame, start: datetime | None) -> list[date]:
         """Partitions a merge can touch.
@@ -116,30 +131,31 @@ class Tables:
         rows = with_partition(staged.select(*columns))
         sizes = rows.groupBy(PARTITION).agg(F.ceil(F.count("*") / rows_per_file).alias("_slices"))
         filled = {row[0] for row in sizes.select(PARTITION).collect()}
+        if None in filled:
+            raise ValueError("an entry without a start cannot be stored")
+        version = uuid4().hex
         (
             # One row per day: a bounded side.
             rows.join(F.broadcast(sizes), PARTITION)
             .withColumn("_slice", F.pmod(F.xxhash64("source_id"), F.col("_slices")))
             .repartition(PARTITION, "_slice")
             .select(*columns, PARTITION)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(PARTITION)
-            .parquet(f"{self.root}/entries")
+            .write.partitionBy(PARTITION)
+            .parquet(f"{self.root}/entries/version={version}")
         )
-        # A dynamic overwrite leaves days alone that have no new rows; a day whose
-        # last entry moved elsewhere has to go.
-        for day in sorted(set(days) - filled):
-            self._remove(f"{self.root}/entries/{PARTITION}={day.isoformat()}")
+        held = {day: v for day, v in self._manifest().items() if day not in set(days)}
+        held |= {day: version for day in filled}
+        path = f"{self.root}/entries_manifest"
+        number = max((int(n) for n in self._snapshots(path)), default=-1) + 1
+        self._manifest_rows(held).coalesce(1).write.parquet(f"{path}/{SNAPSHOT}={number:012d}")
+
+    def _manifest_rows(self, held: dict[date, str]) -> DataFrame:
+        return self.spark.createDataFrame(sorted(held.items()), "day DATE, version STRING")
 
     def _folder(self, path: str):
         folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         return folder, folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _remove(self, path: str) -> None:
-        folder, system = self._folder(path)
-        system.delete(folder, True)
-
     def _exists(self, path: str) -> bool:
         folder, system = self._folder(path)
         return system.exists(folder)

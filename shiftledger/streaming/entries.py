@@ -10,13 +10,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import UTC, datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shiftledger import model
 from shiftledger.operators.upsert import unique_rows
-from shiftledger.plans.common import merge_entries, run_id
+from shiftledger.plans.common import RunFailed, merge_entries, run_id
 from shiftledger.sources.extracts import CORRUPT, QUARANTINE, check_entries
 from shiftledger.sources.tables import Tables, stage
 
@@ -45,7 +46,7 @@ def merge_batch(
     Repeating a batch changes nothing: the merge is by key, and staged data and
     rejected rows are written under the batch id.
     """
-    run_ts = clock()
+    run_ts = _batch_time(tables.spark, f"{rejected_path}-times/batch={batch_id}", clock)
     run = f"stream-{batch_id:012d}"
     raw = stage(tables.spark, batch, "raw", run)
     json_fine = {"json": F.col(CORRUPT).isNull()}
@@ -57,6 +58,25 @@ def merge_batch(
         merge_entries(tables, extract, f"{run}-{run_id(run_ts, 'merge')}", run_ts)
 
 
+def _batch_time(spark: SparkSession, path: str, clock: Callable[[], datetime]) -> datetime:
+    """The time a batch was first tried: a repeated batch stamps its rows as the first attempt did."""
+    try:
+        found = spark.read.schema("run_ts TIMESTAMP").parquet(path).first()
+    except AnalysisException:
+        found = None
+    if found is None:
+        spark.createDataFrame([(clock(),)], "run_ts TIMESTAMP").coalesce(1).write.mode("overwrite").parquet(path)
+        found = spark.read.schema("run_ts TIMESTAMP").parquet(path).first()
+    return found["run_ts"].astimezone(UTC)
+
+
+def require_no_rejects(spark: SparkSession, rejected_path: str) -> None:
+    """Fail when any batch so far has rejected rows; call it after the stream has taken up what there is."""
+    rejects = spark.read.parquet(rejected_path).count()
+    if rejects:
+        raise RunFailed(f"{rejects} unreadable rows were set aside in {rejected_path}")
+
+
 def start_entry_sync(
     stream: DataFrame,
     tables: Tables,

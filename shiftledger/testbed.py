@@ -73,9 +73,9 @@ def projects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _project_key() -> Column:
-    """Project of an order: none, the sentinel, or one of the first parts."""
+    """Project of an order: none, the sentinel, or one of the parts, whose keys reach beyond those of customers."""
     key = F.col("o_orderkey")
-    return F.when(key % 23 == 0, None).when(key % 10 == 0, 0).otherwise((key * 7) % 200)
+    return F.when(key % 23 == 0, None).when(key % 10 == 0, 0).otherwise(F.col("o_custkey") + key % 40)
 
 
 def _order_start() -> Column:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from shiftledger import model
 from shiftledger.operators import aggregates as ag
-from shiftledger.operators.paging import paged_lists
 from shiftledger.operators.windows import with_partition
 
 H = 3_600_000_000
@@ -140,31 +139,20 @@ def test_unassigned_time(rows, dims):
         ("after", "2026-02-22T22:00:00", H, "u1", None, None),
         ("zero", "2026-02-01T08:00:00", 0, "u2", None, None),
     ).withColumn("description", F.when(F.col("id") == "first", "call"))
-    got = ag.unassigned_time(e, *dims, date(2026, 2, 22)).collect()
-    assert len(got) == 1
-    assert (got[0]["user_id"], str(got[0]["unassigned_hours"]), got[0]["page"], got[0]["page_count"]) == ("u1", "1.50", 0, 1)
-    assert [(x["date"], x["description"], str(x["duration_hours"])) for x in got[0]["entries"]] == [
+    got = ag.unassigned_time(e, *dims, date(2026, 2, 22)).orderBy("user_id", "date").collect()
+    assert {(r["user_id"], str(r["unassigned_hours"])) for r in got} == {("u1", "1.50")}
+    assert [(x["date"], x["description"], str(x["duration_hours"])) for x in got] == [
         ("2026-01-23", "call", "1.00"),
         ("2026-02-01", model.NO_DESCRIPTION, "0.50"),
     ]
 
 
-def test_many_entries_of_one_user_are_paged_and_complete(rows, dims):
-    e = entries(rows, *[(f"e{i}", "2026-02-01T08:00:00", H, "u1" if i else "u2", None, None) for i in range(301)])
-    pages = ag.unassigned_time(e, *dims, date(2026, 2, 1), page_size=50).collect()
-    hot = [p for p in pages if p["user_id"] == "u1"]
-    assert {p["page_count"] for p in hot} == {6}
-    assert sum(len(p["entries"]) for p in hot) == 300
-    assert {str(p["unassigned_hours"]) for p in hot} == {"300.00"}
-    assert max(len(p["entries"]) for p in hot) < 100
-    assert [len(p["entries"]) for p in pages if p["user_id"] == "u2"] == [1]
-
-
-def test_paged_lists_counts_for_itself(rows):
-    df = rows("k STRING, i STRING", *[("a", str(i)) for i in range(25)], ("b", "x"))
-    got = paged_lists(df, ["k"], "i", F.col("i"), 10).collect()
-    assert sorted(x for p in got if p["k"] == "a" for x in p["items"]) == sorted(str(i) for i in range(25))
-    assert [p["items"] for p in got if p["k"] == "b"] == [["x"]]
+def test_many_entries_of_one_user_are_a_row_each(rows, dims):
+    e = entries(rows, *[(f"e{i}", "2026-02-01T08:00:00", H, "u1" if i else "u2", None, None) for i in range(1501)])
+    got = ag.unassigned_time(e, *dims, date(2026, 2, 1)).collect()
+    hot = [r for r in got if r["user_id"] == "u1"]
+    assert len({r["source_id"] for r in hot}) == 1500 and {str(r["unassigned_hours"]) for r in hot} == {"1500.00"}
+    assert len(got) == 1501
 
 
 def test_plan_prunes_and_pre_aggregates(spark, rows, dims, tmp_path):

@@ -120,7 +120,7 @@ def test_month_label_to_date(rows):
     got = [r[0] for r in df.select(cal.month_label_to_date(F.col("m"))).collect()]
     assert got == ["2026-02-01", "1999-12-01", None]
     for bad in ("february 2026", "Smarch 2026", "23 Jan to 22 Feb 2026"):
-        with pytest.raises(Exception, match="Could not parse month"):
+        with pytest.raises(Exception, match="No such month"):
             rows("m STRING", (bad,)).select(cal.month_label_to_date(F.col("m"))).collect()
 
 
@@ -172,3 +172,15 @@ def test_cell_states(rows):
     name = model.FIELD_ACTUAL_HOURS
     got = [tuple(r) for r in df.select(cells.cell_kind(F.col("f"), name), cells.cell_number(F.col("f"), name)).collect()]
     assert got == [("number", 1.0), ("number", 0.0), ("null", None), ("other", None), ("absent", None)]
+
+
+def test_long_durations(spark):
+    from shiftledger.functions.durations import is_iso_duration, parse_iso_duration
+
+    cases = {
+        "PT0.1234567S": 123457, "PT1234567890S": 1234567890_000000, "P1234567D": 1234567 * 86_400_000_000,
+        "PT0.000000049S": 0, "P99999999999999999999D": None, "PT99999999999999999999H": None,
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "d STRING").select("d", parse_iso_duration(F.col("d")), is_iso_duration(F.col("d")))
+    assert {r[0]: r[1] for r in df.collect()} == cases
+    assert all(r[2] == (cases[r[0]] is not None) for r in df.collect())

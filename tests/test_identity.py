@@ -42,7 +42,7 @@ def test_discovered_unmatched_counts(people, roster):
     assert [r["user_id"] for r in identity.unmatched_people(matched).collect()] == ["5"]
     assert tuple(identity.matched_count(matched).first()) == (6, 1, 5)
     text = reports.unmatched_rows(identity.unmatched_people(matched)).collect()
-    assert [(r["page"], r["body"]) for r in text] == [(0, "No chat account was found for:\n• Nobody (no@x.org)")]
+    assert [(r["section"], r["text"]) for r in text] == [("people", "Nobody, no@x.org")]
 
 
 def test_nudge_text(rows):
@@ -51,49 +51,34 @@ def test_nudge_text(rows):
         ("1", "Ann Lee", "S1", Decimal("2.00")),
         ("2", "Bob", None, Decimal("1.00")),
     )
-    lists = rows(
-        "user_id STRING, page INT, page_count INT, entries ARRAY<STRUCT<date: STRING, description: STRING, duration_hours: DECIMAL(20,2)>>",
-        ("1", 0, 1, [("2026-02-01", "call", Decimal("1.50")), ("2026-02-02", "mail", Decimal("0.50"))]),
-        ("2", 0, 1, []),
+    entries = rows(
+        "user_id STRING, source_id STRING, date STRING, description STRING, duration_hours DECIMAL(20,2)",
+        ("1", "a", "2026-03-01", "plan", Decimal("1.25")), ("2", "b", "2026-03-02", "mail", Decimal("0.50")),
     )
-    got = [tuple(r) for r in identity.nudge_rows(matched, lists).collect()]
-    assert got == [("S1", "1", "Ann", "2", 0, 1, "• *2026-02-01*: call (1.5h)\n• *2026-02-02*: mail (0.5h)")]
+    got = [tuple(r) for r in identity.nudge_rows(matched, entries).collect()]
+    assert got == [("S1", "1", "Ann", "2", "2026-03-01", "a", "2026-03-01 1.25h plan")]
 
 
 REPORT = "upserted BIGINT, deleted BIGINT, users_scanned BIGINT"
 CHANGES = "table STRING, kind STRING, text STRING"
 
 
-def test_sync_report_text(rows):
-    changes = rows(CHANGES, ("clients", "added", "Z"), ("users", "added", "B"), ("users", "added", "A"), ("users", "renamed", "x ➔ y"))
-    got = reports.sync_report_rows(rows(REPORT, (5, 1, 3)), changes).collect()
-    assert [r["body"] for r in got] == [
-        "*Changes:*\n- New Users: 2 (A, B)\n- Renamed Users: 1 (x ➔ y)\n- New Clients: 1 (Z)\n"
-        "*Status:* SUCCESS\n*Cleanup stats:*\n- Time entries updated: 5\n- Time entries deleted: 1\n- Total users scanned: 3"
+def test_sync_report_has_a_row_per_line(rows):
+    changes = rows(CHANGES, *[("users", "added", "same name")] * 5000, ("clients", "added", "Z"))
+    got = [(r["section"], r["text"]) for r in reports.sync_report_rows(rows(REPORT, (7, 2, 4)), changes).collect()]
+    assert got.count(("users added", "same name")) == 5000 and ("clients added", "Z") in got
+    assert sorted(t for s, t in got if s == "run") == [
+        "merged entries: 7", "outcome: SUCCESS", "people looked at: 4", "removed entries: 2"
     ]
 
 
-def test_sync_report_without_changes(rows):
-    got = reports.sync_report_rows(rows(REPORT, (0, 0, 3)), rows(CHANGES, ("a", "b", "c")).limit(0))
-    assert "_No changes detected._" in got.first()["body"]
-
-
-def test_long_reports_are_paged(rows):
-    changes = rows(CHANGES, *[("users", "added", f"user {i}") for i in range(250)])
-    got = reports.sync_report_rows(rows(REPORT, (5, 1, 3)), changes, page_size=50).collect()
-    assert sorted(r["page"] for r in got) == [0, 1, 2, 3, 4]
-    names = [n for r in got for n in r["body"].split("(")[1].split(")")[0].split(", ")]
-    assert sorted(names) == sorted(f"user {i}" for i in range(250))
-    assert all("- New Users: 250 (" in r["body"] for r in got)
-
-
 def test_alert_rows(rows):
     resolved = rows(
         "id STRING, name STRING, action STRING, link_id STRING",
         ("1", "Alpha", "heal", "rec1"), ("2", "Beta", "conflict", None), ("3", "Gamma", "create", "rec3"),
     )
-    assert "*Beta*" in reports.conflict_rows(resolved).first()["body"]
+    assert [r["section"] for r in reports.conflict_rows(resolved).collect()] == ["Beta"]
     healed = reports.heal_rows(resolved, "users").collect()
-    assert [r["body"] for r in healed] == ["*Healed Records (1):*\n- *Alpha* → rec1"]
+    assert [r["text"] for r in healed] == ["Alpha is linked to rec1"]
     dead = rows("link_id STRING", ("rec1",), ("rec1",), (None,))
     assert reports.dead_link_rows(dead).count() == 1

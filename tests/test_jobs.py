@@ -92,8 +92,8 @@ def test_sync_from_nothing_then_edit_move_and_delete(tables, load):
     assert state(tables) == {"e1": (1, False), "e2": (2, False), "e3": (3, False), "e4": (4, False), "e5": (None, False)}
     assert ids(tables.read("projects")) == ["NO-PROJECT", "p1", "p2"]
     assert tables.read("projects").where("source_id = 'p1' AND client_id IS NOT NULL").count() == 1
-    body = "\n".join(r["body"] for r in first.reports.collect())
-    assert "New Users: 3 (Ann Lee, Bob, Cy)" in body and "Time entries updated: 5" in body
+    lines = {(r["section"], r["text"]) for r in first.reports.collect()}
+    assert {("users added", n) for n in ("Ann Lee", "Bob", "Cy")} | {("run", "merged entries: 5")} <= lines
 
     second = [
         entry("e1", "2026-02-15T08:00:00Z", 7),  # edited and moved to another day
@@ -140,7 +140,7 @@ def test_one_users_bad_rows_do_not_stop_the_others(tables, load):
     run_sync(tables, load(FIRST), NOW, 30)
     bad = [{**entry("e1", "2026-03-05T08:00:00Z", 8)}, entry("bad", "soon", 1), entry("e4", "2026-03-06T08:00:00Z", 6, user="u2")]
     called = []
-    with pytest.raises(RunFailed, match="1 user"):
+    with pytest.raises(RunFailed, match="1 people"):
         run_sync(tables, load(bad), NOW + timedelta(hours=1), 30, lambda: called.append(1))
     got = state(tables)
     assert got["e1"] == (1, False) and got["e2"] == (2, False)  # u1 untouched
@@ -216,7 +216,7 @@ class Base:
                 self.assignments[r["assignment_id"]] = {"Project": [r["project_link"]], "Month": r["month_date"]}
             elif kind == "insert":
                 found = self.records[strategies[table]]
-                cells = {k.replace("_", " ").title(): r[k] for k in r if k not in ("insert_id", "bucket", "batch")}
+                cells = {k.replace("_", " ").title(): r[k] for k in r if k not in ("insert_id", "batch")}
                 found[f"row{table[0]}{len(found)}"] = cells
             else:
                 cells = self.records[strategies[table]][r["record_id"]]
@@ -297,11 +297,11 @@ def test_nudge(spark, tables, load):
     )
     result = run_nudge(tables, lambda: roster, NOW)
     assert result.nudged == 1
-    assert [(r["chat_id"], r["first_name"], r["hours"], r["entry_list"]) for r in result.nudges.collect()] == [
-        ("S1", "Ann", "2", f"• *2026-03-05*: {model.NO_DESCRIPTION} (2h)")
+    assert [(r["chat_id"], r["first_name"], r["hours"], r["text"]) for r in result.nudges.collect()] == [
+        ("S1", "Ann", "2", f"2026-03-05 2h {model.NO_DESCRIPTION}")
     ]
     assert [r["user_name"] for r in result.unmatched.collect()] == ["Cy"]
-    assert "• Cy (No Email)" in result.reports.first()["body"]
+    assert result.reports.first()["text"] == "Cy, address unknown"
     assert {r["source_id"]: r["chat_id"] for r in tables.read("users").collect()} == {"u1": "S1", "u2": None, "u3": None}
 
 
@@ -374,3 +374,39 @@ def test_drop_repeats(spark, tmp_path):
     )
     assert query.awaitTermination(120)
     assert ids(spark.table("seen")) == ["a", "b"]
+
+
+# --- what a run may not lose ------------------------------------------------
+
+
+@pytest.mark.parametrize("line", ['{"id": "e1", "userId": "u1", "timeInt', '{"id": "e1", "timeInterval": {"start": "2026-03-05T08:00:00Z"}}'])
+def test_unreadable_line_of_nobody_deletes_nothing(spark, tables, load, tmp_path, line):
+    run_sync(tables, load(FIRST), NOW, 30)
+    broken = tmp_path / "broken.json"
+    broken.write_text(line)
+    extracts = load([])._replace(entries=ex.load_time_entries(spark, str(broken), ex.QUARANTINE))
+    with pytest.raises(RunFailed):
+        run_sync(tables, extracts, NOW + timedelta(hours=1), 30)
+    assert not any(deleted for _, deleted in state(tables).values())
+
+
+def test_only_scanned_users_lose_entries(spark, tables, load):
+    run_sync(tables, load(FIRST), NOW, 30)
+    scanned = spark.createDataFrame([("u1",)], "source_id STRING")
+    run_sync(tables, load([])._replace(scanned_users=scanned), NOW + timedelta(hours=1), 30)
+    got = state(tables)
+    assert got["e1"][1] and not got["e3"][1] and not got["e4"][1]
+
+
+def test_publish_cut_before_its_manifest_changes_nothing(tables, load, monkeypatch):
+    run_sync(tables, load(FIRST), NOW, 30)
+    before = state(tables)
+    moved = [entry("e1", "2026-03-04T08:00:00Z", 5), *FIRST[1:]]
+    with monkeypatch.context() as cut:
+        cut.setattr(Tables, "_manifest_rows", lambda *_: (_ for _ in ()).throw(OSError("cut")))
+        with pytest.raises(OSError):
+            run_sync(tables, load(moved), NOW + timedelta(hours=1), 30)
+    assert state(tables) == before
+    run_sync(tables, load(moved), NOW + timedelta(hours=1), 30)
+    rows = [r["source_id"] for r in tables.read_entries().collect()]
+    assert len(rows) == len(set(rows)) and state(tables)["e1"][0] == 5
