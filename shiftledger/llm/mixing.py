@@ -115,6 +115,8 @@ def _knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarra
 
 def _choose(group: pd.DataFrame) -> pd.DataFrame:
     """One source's lengths: how often each document is taken for sure, and how many of a length once more."""
+    # Rows arrive in any order; the choice must not depend on it.
+    group = group.sort_values("size", ignore_index=True)
     size, target = int(group["source_size"].iloc[0]), float(group["target"].iloc[0])
     sure = int(target // size)
     more = fill_budget(group["size"].to_numpy(), group["n"].to_numpy(), int(target) - sure * size)
