@@ -211,7 +211,8 @@ def test_mixing(spark, edge, nothing):
     assert first == again
     for source in range(4):
         part = [r for r in first if r[0] % 4 == source]
-        assert abs(sum(r[4] for r in part) - part[0][3]) <= 1
+        # Lengths of one source are equal modulo 4, so not every sum can be made.
+        assert 0 <= part[0][3] - sum(r[4] for r in part) < 4
     assert abs(sum({r[0] % 4: r[3] for r in first}.values()) - 1.5 * sum(r[1] for r in first)) < 1e-6
 
 
