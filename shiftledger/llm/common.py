@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -31,6 +33,24 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def arrow_batch_bytes(spark: SparkSession, most: str) -> Iterator[None]:
+    """Spark hands batches of about ``most`` bytes to the Arrow tasks of what is run inside, then the session is as before.
+
+    By number alone a batch of long texts takes many times the memory of one of short texts, in Spark and in Python.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, most)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def in_fold(doc_id: str, modulus: int, remainder: int) -> Column:
     """Whether crc32 of the id as text leaves ``remainder``; a null id counts as the empty text."""
     crc = F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary"))

@@ -21,13 +21,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shiftledger.llm.common import rank_within, stage
+from shiftledger.llm.common import arrow_batch_bytes, rank_within, stage
 from shiftledger.llm.tokens import encoder, slices
 
 CAPACITY = 2048
 #: Packing follows other stages in a pipeline, whose memory the executors still hold: it works in smaller portions.
 CACHE_ENTRIES = 150_000
 SLICE = 1 << 20
+BATCH_BYTES = "4m"
 
 Pattern = tuple[list[int], int]
 
@@ -221,7 +222,9 @@ def pack(pieces: DataFrame, seed: list[str], capacity: int = CAPACITY) -> DataFr
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY) -> DataFrame:
     """Pack whole documents: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     cut = tokenized_pieces(docs, tokenizer, end_id, capacity)
-    narrow = stage(cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), "pieces")
+    narrow = cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    with arrow_batch_bytes(docs.sparkSession, BATCH_BYTES):
+        narrow = stage(narrow, "pieces")
     return pack(narrow, ["doc_id", "piece", "ids_crc32"], capacity)
 
 
