@@ -3,7 +3,10 @@
 A linear classifier on the distinct words of a text is trained from texts confirmed as toxic and from unlabelled texts only.
 The class prior, the share of toxic texts among the labelled ones, corrects the risk: unlabelled texts count as clean ones, less
 the share of toxic texts among them. That difference may not fall below zero, which would mean that the classifier learns
-the sample by heart; then the step goes back. A proximal L1 step keeps most weights at exactly zero.
+the sample by heart; then the step goes back. A proximal L1 step keeps most weights at exactly zero; a word's penalty is at
+least the sampling noise of its slope, so that small samples do not learn chance. Labelled texts may hold more toxic ones than the
+rest: the scores bound the prior from above (no share of unlabelled texts above a score may be less than the prior times that of
+toxic ones), and where this bound is lower, training is repeated with it.
 
 Training is bounded: at most ``POSITIVES`` toxic and ``UNLABELLED`` other texts, chosen by a seeded hash of their ids, in the
 driver's numpy; scores are made over all documents in Arrow tasks.
@@ -57,6 +60,11 @@ class Model:
     weights: np.ndarray
     bias: float
 
+    def of_words(self, rows: list[np.ndarray]) -> np.ndarray:
+        """Scores of rows of distinct word hashes."""
+        known = [self.weights[np.isin(self.words, row, assume_unique=True)].sum() for row in rows]
+        return 1 / (1 + np.exp(-(np.array(known) + self.bias)))
+
     def scores(self, texts: pa.Array) -> np.ndarray:
         hashes, codes, owner = distinct_words(texts)
         weight = np.zeros(len(hashes))
@@ -81,6 +89,9 @@ def train_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior:
     column = number[column[kept[column]]]
     width = int(kept.sum())
     is_positive = np.arange(len(rows)) < len(positive)
+    seen = np.bincount(column[~is_positive[owner]], minlength=width) / max(1, len(unlabelled))
+    noise = prior * np.sqrt(seen * (1 - seen) * (1 / max(1, len(positive)) + 1 / max(1, len(unlabelled))))
+    penalty = np.maximum(L1, noise)
     share = np.where(is_positive, 1 / max(1, len(positive)), 1 / max(1, len(unlabelled)))
     weights, bias = np.zeros(width), float(np.log(prior / (1 - prior)))
     mean, spread = np.zeros(width + 1), np.zeros(width + 1)
@@ -98,12 +109,32 @@ def train_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior:
         spread = 0.99 * spread + 0.01 * gradient * gradient
         change = RATE * (mean / (1 - 0.9**step)) / (np.sqrt(spread / (1 - 0.99**step)) + 1e-5)
         weights, bias = weights - change[:-1], bias - float(change[-1])
-        shrink = RATE * L1 / (np.sqrt(spread[:-1] / (1 - 0.99**step)) + 1e-5)
+        shrink = RATE * penalty / (np.sqrt(spread[:-1] / (1 - 0.99**step)) + 1e-5)
         weights = np.sign(weights) * np.maximum(np.abs(weights) - shrink, 0.0)
     used = weights != 0
     return Model(vocabulary[kept][used], weights[used], bias)
 
 
+def train_bounded(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float) -> Model:
+    """Train with the given prior, and again if the scores show that it is too high."""
+    model = train_nnpu(positive, unlabelled, prior)
+    bound = prior_bound(model.of_words(positive), model.of_words(unlabelled))
+    return train_nnpu(positive, unlabelled, bound) if 0 < bound < prior else model
+
+
+def prior_bound(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+    """Upper bound of the share of toxic texts among unlabelled ones, from scores of both.
+
+    Of the unlabelled texts above any score, the toxic ones alone are the prior times the share of toxic texts above it. Each
+    share is given one standard error to the safe side.
+    """
+    at = np.unique(positive)
+    above = [1 - np.searchsorted(np.sort(x), at) / len(x) for x in (positive, unlabelled)]
+    error = [np.sqrt(a * (1 - a) / len(x)) for a, x in zip(above, (positive, unlabelled), strict=True)]
+    low, high = above[0] - error[0], above[1] + error[1]
+    return float(min(1.0, (high[low > 0] / low[low > 0]).min(initial=1.0)))
+
+
 def held_out() -> Column:
     return in_fold("doc_id", 4, 2)
 
@@ -134,7 +165,7 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
     if not sets[1] or not sets[0] or not 0 < prior < 1:
         chance = min(max(prior, 1e-9), 1 - 1e-9)
         return Model(np.zeros(0, np.uint64), np.zeros(0), float(np.log(chance / (1 - chance))))
-    return train_nnpu(sets[1], sets[0], prior)
+    return train_bounded(sets[1], sets[0], prior)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
