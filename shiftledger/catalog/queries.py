@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
-from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +21,6 @@ from shiftledger.operators import aggregates as ag
 from shiftledger.operators import identity, integrity, reconcile, references, reports, upsert, windows
 from shiftledger.operators import window_sync as ws
 from shiftledger.sources import destination, extracts, lookups
-from shiftledger.sources.tables import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -494,31 +492,18 @@ def write_back(spark, sf):
 # --- reconcile --------------------------------------------------------------
 
 
-def _stored(spark, df, name):
-    """A table of its own, as reports and destination records are in the job."""
-    return stage(spark, df, name, f"catalog-{uuid4().hex}")
-
-
 def _payroll_diff(spark, sf):
     users, projects = tb.users(spark, sf), tb.projects(spark, sf)
     previous = ag.payroll_hours(tb.stored_entries(spark, sf), users, projects)
     current = ag.payroll_hours(tb.current_entries(spark, sf), users, projects)
-    return reconcile.calculate_diff(
-        _stored(spark, current, "payroll"),
-        _stored(spark, tb.payroll_records(previous), "payroll_records"),
-        model.PAYROLL,
-    )
+    return reconcile.calculate_diff(current, tb.payroll_records(previous), model.PAYROLL)
 
 
 def _assignment_diff(spark, sf):
-    current = _stored(spark, _current_monthly(spark, sf), "monthly")
-    previous = _stored(spark, _previous_monthly(spark, sf), "previous")
-    index = references.assignment_index(
-        reconcile.destination_cells(tb.assignment_records(previous), model.PROJECT_ASSIGNMENT)
-    )
+    current, previous = _current_monthly(spark, sf), _previous_monthly(spark, sf)
+    index = _previous_index(spark, sf)
     complete = references.complete_assignments(index, _created(references.missing_assignments(current, index)))
-    records = _stored(spark, tb.person_records(previous), "person_records")
-    return reconcile.calculate_diff(current, records, model.ASSIGNMENT, index=complete)
+    return reconcile.calculate_diff(current, tb.person_records(previous), model.ASSIGNMENT, index=complete)
 
 
 @query

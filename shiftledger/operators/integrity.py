@@ -21,11 +21,6 @@ class IntegrityError(ValueError):
     """A write would break a constraint."""
 
 
-def _result(table: str, check: str, counted: DataFrame) -> DataFrame:
-    """``counted`` is a global aggregate with the single column ``violations``."""
-    return counted.select(F.lit(table).alias("table"), F.lit(check).alias("check"), "violations")
-
-
 def duplicate_keys(table: DataFrame, key: str = "source_id") -> DataFrame:
     """Key values held by more than one row."""
     return table.groupBy(key).agg(F.count("*").alias("rows")).where(F.col("rows") > 1)
@@ -38,26 +33,47 @@ def orphans(child: DataFrame, parent: DataFrame, column: str) -> DataFrame:
     return refs.join(parent.select(F.col("id").alias(column)), column, "left_anti")
 
 
+def _row_checks(name: str, table: DataFrame) -> DataFrame:
+    """Null and uniqueness checks of one table from one pass, grouped by its key."""
+    required = [f.name for f in _TABLES[name].fields if not f.nullable]
+    nulls = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in required])
+    keys = table.groupBy("source_id").agg(F.count("*").alias("rows"), F.count_if(nulls).alias("nulls"))
+    counted = keys.agg(
+        F.coalesce(F.sum("nulls"), F.lit(0)).alias("not_null"), F.count_if(F.col("rows") > 1).alias("unique_source_id")
+    )
+    return _by_check(name, counted)
+
+
+def _reference_checks(name: str, table: DataFrame, parents: dict[str, DataFrame]) -> DataFrame:
+    """Rows whose reference has no parent, for all reference columns from one pass.
+
+    Rows are counted per combination of references before any join, so a hot parent is one row there.
+    """
+    refs = table.groupBy(*parents).agg(F.count("*").alias("rows"))
+    broken = []
+    for column, parent in parents.items():
+        # Parents are made unique, lest one held twice counts rows twice.
+        held = parent.select(F.col("id").alias(column)).distinct().withColumn(f"held_{column}", F.lit(True))
+        refs = refs.join(held, column, "left")
+        lost = F.col(column).isNotNull() & F.col(f"held_{column}").isNull()
+        broken.append(F.coalesce(F.sum(F.when(lost, F.col("rows"))), F.lit(0)).alias(f"known_{column}"))
+    return _by_check(name, refs.agg(*broken))
+
+
+def _by_check(name: str, counted: DataFrame) -> DataFrame:
+    """One row per column of the one-row ``counted``."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("check"), F.col(c).alias("violations")) for c in counted.columns]))
+    return counted.select(pairs.alias("p")).select(F.lit(name).alias("table"), "p.check", "p.violations")
+
+
 def integrity_report(
     users: DataFrame, clients: DataFrame, projects: DataFrame, entries: DataFrame
 ) -> DataFrame:
-    """Violations per (table, check); all zero when the tables are sound."""
+    """Violations per (table, check); all zero when the tables are sound. Entries are read twice: by key and by reference."""
     tables = {"users": users, "clients": clients, "projects": projects, "entries": entries}
-    parts = []
-    for name, df in tables.items():
-        required = [f.name for f in _TABLES[name].fields if not f.nullable]
-        nulls = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in required])
-        parts.append(_result(name, "not_null", df.agg(F.count_if(nulls).alias("violations"))))
-        parts.append(
-            _result(name, "unique_source_id", duplicate_keys(df).agg(F.count("*").alias("violations")))
-        )
-    for name, df, parent, column in (
-        ("projects", projects, clients, "client_id"),
-        ("entries", entries, users, "user_id"),
-        ("entries", entries, projects, "project_id"),
-    ):
-        broken = orphans(df, parent, column).agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("violations"))
-        parts.append(_result(name, f"known_{column}", broken))
+    parts = [_row_checks(name, df) for name, df in tables.items()]
+    parts.append(_reference_checks("projects", projects, {"client_id": clients}))
+    parts.append(_reference_checks("entries", entries, {"user_id": users, "project_id": projects}))
     return reduce(DataFrame.unionByName, parts)
 
 

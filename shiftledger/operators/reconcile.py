@@ -201,32 +201,54 @@ def calculate_diff(
     """
     if strategy not in (PAYROLL, ASSIGNMENT):
         raise ValueError(f"Unknown strategy: {strategy}")
+    cells = destination_cells(records, strategy)
+    return diff_of_cells(source, cells, strategy, index, allow_inserts, tolerance, merge_duplicate_keys)
+
+
+def diff_of_cells(
+    source: DataFrame,
+    cells: DataFrame,
+    strategy: str,
+    index: DataFrame | None = None,
+    allow_inserts: bool = True,
+    tolerance: float = TOLERANCE,
+    merge_duplicate_keys: bool = False,
+) -> Diff:
+    """:func:`calculate_diff` on typed cells, which a job stages because they are read twice.
+
+    One full outer join on the key judges the source rows and shows the last records that no row meets.
+    Records that are not the last of their key are never met; they are told apart by record id, which has no hot values.
+    """
     if strategy == ASSIGNMENT and index is None:
         raise ValueError("the assignment strategy needs the assignment index")
 
-    cells = destination_cells(records, strategy)
     rows = source_rows(source, strategy, index)
     if merge_duplicate_keys:
         rows = _merged(rows, strategy)
-    matched = rows.join(destination_index(cells, strategy), key_columns(strategy), "left")
+    last = destination_index(cells, strategy)
+    matched = rows.withColumn("is_row", F.lit(True)).join(last, key_columns(strategy), "full")
 
+    is_row = F.col("is_row").isNotNull()
+    stale = (F.col("actual_kind") != c.ABSENT) & ~F.coalesce(F.col("actual") == 0, F.lit(False))
     differs = hours_differ(F.col("hours"), F.col("actual_kind"), F.col("actual"), tolerance)
     unassigned = F.col("assigned_kind") == c.ABSENT if strategy == ASSIGNMENT else F.lit(False)
+    # A skipped row has no project, so no assignment key: it meets no record.
     skipped = F.col("project_id").isNull() if strategy == ASSIGNMENT else F.lit(False)
     insertable = F.lit(allow_inserts) & F.col("user_id").isNotNull()
     if strategy == ASSIGNMENT:
         insertable = insertable & F.col("assignment_id").isNotNull()
 
     outcome = (
-        F.when(skipped, SKIPPED)
+        F.when(~is_row, ZEROED)
+        .when(skipped, SKIPPED)
         .when(F.col("record_id").isNotNull(), F.when(differs | unassigned, UPDATE).otherwise(UNCHANGED))
         .when(insertable, INSERT)
         .otherwise(MISSING)
     )
-    judged = matched.withColumn("outcome", outcome).select(
+    updated = F.col("outcome") == UPDATE
+    judged = matched.where(is_row | stale).withColumn("outcome", outcome).select(
         "outcome",
-        # A skipped row touches nothing, even where its key would match.
-        F.when(F.col("outcome").isin(UPDATE, UNCHANGED), F.col("record_id")).alias("record_id"),
+        "record_id",
         "user_name",
         "project_name",
         "raw_project_link",
@@ -236,19 +258,16 @@ def calculate_diff(
         "assignment_id",
         "month",
         "hours",
-        F.when((F.col("outcome") == UPDATE) & differs, F.col("hours")).alias("set_actual"),
-        F.when((F.col("outcome") == UPDATE) & unassigned, F.lit(0.0)).alias("set_assigned"),
+        F.when(F.col("outcome") == ZEROED, F.lit(0.0)).when(updated & differs, F.col("hours")).alias("set_actual"),
+        F.when(updated & unassigned, F.lit(0.0)).alias("set_assigned"),
     )
-
-    # Stale records are told apart by record id, which is unique: no hot key.
-    touched = judged.where(F.col("record_id").isNotNull()).select(F.col("record_id").alias("id")).distinct()
-    stale = (
-        cells.where((F.col("actual_kind") != c.ABSENT) & ~F.coalesce(F.col("actual") == 0, F.lit(False)))
+    superseded = (
+        cells.where(stale)
         .select("id")
-        .join(touched, "id", "left_anti")
+        .join(last.select(F.col("record_id").alias("id")), "id", "left_anti")
         .select(F.lit(ZEROED).alias("outcome"), F.col("id").alias("record_id"), F.lit(0.0).alias("set_actual"))
     )
-    actions = judged.unionByName(stale, allowMissingColumns=True)
+    actions = judged.unionByName(superseded, allowMissingColumns=True)
     return Diff(actions, updates_of(actions), inserts_of(actions, strategy), diff_stats(actions))
 
 

@@ -110,9 +110,9 @@ def run_reconcile(
             index = None
             if job.strategy == model.ASSIGNMENT:
                 index = _complete_index(tables, destination, source, run, send if job.allow_inserts else None)
-            diff = rc.calculate_diff(
-                source, destination.records[job.strategy], job.strategy, index, job.allow_inserts, tolerance
-            )
+            typed = rc.destination_cells(destination.records[job.strategy], job.strategy)
+            cells = stage(spark, typed, f"cells_{job.source}", run)
+            diff = rc.diff_of_cells(source, cells, job.strategy, index, job.allow_inserts, tolerance)
             done = stage(spark, diff.actions, f"actions_{job.source}", run)
             actions[job.name] = done
             if send is not None:
