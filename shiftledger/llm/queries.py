@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiftledger.llm import exact_stream, language, mixing, ngram_join, packing, paragraphs, phrases, sharding, token_files, toxicity
+from shiftledger.llm import exact_stream, language, mixing, ngram_join, packing, paragraphs, passages, phrases, sharding
+from shiftledger.llm import token_files, toxicity
 from shiftledger.llm.common import documents
 from shiftledger.llm.tokens import tokenizer_path
 
@@ -29,6 +30,10 @@ def op5_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paragraphs.repeated_paragraphs(documents(spark, sf_dir))
 
 
+def op5_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(documents(spark, sf_dir))
+
+
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_documents(documents(spark, sf_dir))
 
@@ -57,6 +62,7 @@ QUERIES = {
         op3_toxicity,
         op4_token_orc,
         op5_paragraph_dedup,
+        op5_repeated_passages,
         op6_ngram_join,
         op7_mixing,
         op8_phrase_fingerprints,
