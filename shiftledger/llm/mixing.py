@@ -20,6 +20,8 @@ from shiftledger.llm.common import WORD, rank_within
 
 #: Largest remainder, in words, that the dynamic programme fills.
 DP_WIDTH = 1 << 16
+#: Largest remainder that it fills where very long documents keep the other steps from coming near.
+WIDE = 1 << 22
 
 
 def word_count(text: str = "text") -> Column:
@@ -66,7 +68,9 @@ def fill_budget(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndar
     taken = np.array([int(c) * budget // total for c in counts], dtype=np.int64)
     left = counts - taken
     rest = budget - int((taken * lengths).sum())
-    for i in np.argsort(-lengths, kind="stable"):
+    shared, open_budget = taken.copy(), rest
+    falling = np.argsort(-lengths, kind="stable")
+    for i in falling:
         # Long ones by count, until the programme below can reach the rest.
         if rest <= DP_WIDTH:
             break
@@ -74,7 +78,18 @@ def fill_budget(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndar
         if more > 0:
             taken[i], left[i] = taken[i] + more, left[i] - more
             rest -= more * int(lengths[i])
-    return taken + _knapsack(lengths, left, min(rest, DP_WIDTH * 2))
+    if rest > DP_WIDTH * 2:
+        # All left are longer than rest - DP_WIDTH / 2, so one more fits at most: the longest that does.
+        for i in falling:
+            if left[i] and lengths[i] <= rest:
+                taken[i], left[i] = taken[i] + 1, left[i] - 1
+                rest -= int(lengths[i])
+                break
+    result = taken + _knapsack(lengths, left, min(rest, DP_WIDTH * 2))
+    if budget - int((result * lengths).sum()) > DP_WIDTH // 2 and open_budget <= WIDE:
+        # Very long documents kept these steps from coming near: the programme alone finds the best sum.
+        result = shared + _knapsack(lengths, counts - shared, open_budget)
+    return result
 
 
 def _knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:

@@ -224,6 +224,18 @@ def test_knapsack_is_exact():
         assert (taken <= counts).all() and (taken * lengths).sum() == max(s for s in sums if s <= budget)
 
 
+def test_budget_of_very_long_documents():
+    lengths, ones = np.array([200_000, 200_001, 200_002]), np.ones(3, dtype=np.int64)
+    for budget, most in ((220_000, 200_002), (199_999, 0), (200_000, 200_000), (200_001, 200_001), (430_000, 400_003), (599_999, 400_003)):
+        taken = mixing.fill_budget(lengths, ones, budget)
+        assert (taken <= ones).all() and int((taken * lengths).sum()) == most
+    lengths = np.array([150_000, 150_001, 200_000])
+    assert mixing.fill_budget(lengths, ones, 300_001).tolist() == [1, 1, 0]
+    # A remainder beyond the widest programme.
+    huge = np.array([5_000_000, 5_000_001])
+    assert mixing.fill_budget(huge, ones[:2], 5_010_000).tolist() == [0, 1]
+
+
 def test_fingerprints(spark, edge, nothing):
     rows = phrases.fingerprint_report(edge).collect()
     assert len(rows) == 10
