@@ -5,7 +5,129 @@ _WORDS = r"""regexp_extract_all(coalesce({0}, ''), '[^\x20\x09-\x0D]+')"""
 _GRAMS = """CASE WHEN len(words) >= 5 THEN list_distinct(list_transform(range(1, len(words) - 3),
     lambda i: array_to_string(words[i:i+4], chr(31)))) WHEN len(words) > 0 THEN [array_to_string(words, chr(31))] ELSE [] END"""
 
+_AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+_TERMS = r"regexp_extract_all(translate(text, {0}), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')".format(_AZ)
+
+#: Strength of a beta prior around ``mean`` from outcomes, by moments.
+_STRENGTH = """SELECT CASE WHEN coalesce(most, 0) = 0 THEN 1.0 WHEN excess <= 0 THEN 10000.0
+    ELSE greatest(1.0, least(10000.0, most / excess - 1)) END AS s
+  FROM (SELECT sum((good - labelled * mean) * (good - labelled * mean) / labelled - mean * (1 - mean)) AS excess,
+    sum((labelled - 1) * (mean * (1 - mean))) AS most FROM {0} WHERE labelled > 0)"""
+
+_CRC_STEP = "CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END"
+
 ORACLES = {
+    "op11_spelling_variants": f"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, _: {_CRC_STEP}) ORDER BY i) AS t
+  FROM (SELECT unnest(range(0, 256)) AS i)
+), runs AS (
+  SELECT doc_id, translate(run, {_AZ}) AS run, count(*) AS times
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents)
+  WHERE length(run) >= 6 GROUP BY ALL
+), coded AS (
+  SELECT run, times, [4294967295] || flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''),
+    lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [192 + (unicode(c) >> 6), 128 + (unicode(c) & 63)] END)) AS bytes
+  FROM runs
+), hashed AS (
+  SELECT run, times, xor(list_reduce(bytes, lambda a, b: xor(t[(xor(a, b) & 255) + 1], a >> 8)), 4294967295) AS h
+  FROM coded, crc_table
+), words AS (
+  SELECT CASE WHEN h % 199 = 0 THEN left(run, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word,
+    sum(times)::BIGINT AS n
+  FROM hashed GROUP BY 1 HAVING length(word) >= 6 AND sum(times) >= 5
+), places AS (
+  SELECT word, n, unnest(range(0, length(word) + 1)) AS i FROM words
+), gaps AS (
+  SELECT word, n, left(word, i) || '$' || substr(word, i + 1) AS gap, false AS skips FROM places
+  UNION ALL
+  SELECT word, n, left(word, i) || '$' || substr(word, i + 2), true FROM places WHERE i < length(word)
+), near AS (
+  SELECT DISTINCT a.word, a.n, b.word AS other, b.n AS other_n
+  FROM gaps a JOIN gaps b ON a.gap = b.gap AND a.word <> b.word AND (a.skips OR b.skips)
+), best AS (
+  SELECT word, count(*) AS n_near FROM near GROUP BY word
+), first_near AS (
+  SELECT word, n, other, other_n FROM near QUALIFY row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) = 1
+), forms AS (
+  SELECT w.word, w.n, CASE WHEN f.other_n >= 5 * w.n THEN f.other END AS form, CASE WHEN f.other_n >= 5 * w.n THEN f.other_n END AS form_n,
+    coalesce(b.n_near, 0)::BIGINT AS n_near
+  FROM words w LEFT JOIN best b USING (word) LEFT JOIN first_near f USING (word)
+), chains AS (
+  SELECT word, form AS reached, 1 AS hops FROM forms WHERE form IS NOT NULL
+  UNION ALL
+  SELECT c.word, f.form, c.hops + 1 FROM chains c JOIN forms f ON f.word = c.reached WHERE f.form IS NOT NULL
+), ends AS (
+  SELECT word, arg_max(reached, hops) AS root FROM chains GROUP BY word
+)
+SELECT word, form, coalesce(root, word) AS root, n, n_near, form_n FROM forms LEFT JOIN ends USING (word)
+""",
+    "op12_lexical_search": f"""
+WITH terms AS (
+  SELECT row_number() OVER () AS doc, doc_id, unnest({_TERMS}) AS term FROM documents
+), counted AS (
+  SELECT doc, doc_id, term, count(*) AS tf FROM terms GROUP BY ALL
+), sizes AS (
+  SELECT doc, sum(tf)::BIGINT AS n FROM counted GROUP BY doc
+), corpus AS (
+  SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS all_terms FROM sizes
+), wanted AS (
+  SELECT DISTINCT item_id, term FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark)
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM counted, corpus GROUP BY term, docs
+), scored AS (
+  SELECT item_id, doc_id, doc, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // all_terms))))::BIGINT AS score
+  FROM wanted JOIN counted USING (term) JOIN weights USING (term) JOIN sizes USING (doc), corpus GROUP BY ALL
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST)::INTEGER AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10
+""",
+    "op13_url_filter": f"""
+WITH rests AS (
+  SELECT page_id, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages
+), parts AS (
+  SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), {_AZ}) AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM rests
+), ruled AS (
+  SELECT *, CASE WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule
+  FROM parts
+), outcomes AS (
+  SELECT doc_id AS page_id, min(CASE WHEN quality = 1 AND coalesce(toxic, 0) = 0 THEN 1 ELSE 0 END)::BIGINT AS good
+  FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id
+), hosts AS (
+  SELECT host, count(o.page_id) AS labelled, coalesce(sum(o.good), 0)::BIGINT AS good FROM parts LEFT JOIN outcomes o USING (page_id) GROUP BY host
+), named AS (
+  SELECT *, regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') AS name FROM hosts
+), tree AS (
+  SELECT host, labelled, good, CASE WHEN regexp_matches(name, '^[0-9.]*$') THEN '' ELSE string_split(name, '.')[-1] END AS suffix,
+    CASE WHEN regexp_matches(name, '^[0-9.]*$') THEN name ELSE array_to_string(string_split(name, '.')[-2:], '.') END AS domain
+  FROM named
+), overall AS (
+  SELECT (sum(good) + 1) / (sum(labelled) + 2) AS mean FROM tree
+), suffixes AS (
+  SELECT suffix, labelled, good, mean
+  FROM (SELECT suffix, sum(labelled)::BIGINT AS labelled, sum(good)::BIGINT AS good FROM tree GROUP BY suffix), overall
+), suffix_means AS (
+  SELECT suffix, (s * mean + good) / (s + labelled) AS mean FROM suffixes, ({_STRENGTH.format("suffixes")})
+), domains AS (
+  SELECT suffix, domain, labelled, good, mean
+  FROM (SELECT suffix, domain, sum(labelled)::BIGINT AS labelled, sum(good)::BIGINT AS good FROM tree GROUP BY ALL) JOIN suffix_means USING (suffix)
+), domain_means AS (
+  SELECT suffix, domain, (s * mean + good) / (s + labelled) AS mean FROM domains, ({_STRENGTH.format("domains")})
+), judged AS (
+  SELECT host, labelled, good, mean FROM tree JOIN domain_means USING (suffix, domain)
+), shares AS (
+  SELECT host, labelled, good, s + labelled AS total, (s * mean + good) / (s + labelled) AS share FROM judged, ({_STRENGTH.format("judged")})
+)
+SELECT page_id, r.host, path, rule,
+  CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+    WHEN share + 1.645 * sqrt(share * (1 - share) / (total + 1)) < 0.5 THEN 'block' ELSE 'allow' END AS verdict, labelled, good
+FROM ruled r JOIN shares s ON r.host = s.host
+""",
     "op2_extendible_sharding": """
 WITH sizes AS (
   SELECT doc_id, strlen(coalesce(text, ''))::BIGINT AS bytes,

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiftledger.llm import exact_stream, language, mixing, ngram_join, packing, paragraphs, passages, phrases, sharding
-from shiftledger.llm import token_files, toxicity
+from shiftledger.llm import exact_stream, host_reputation, language, lexical_search, mixing, ngram_join, packing, paragraphs
+from shiftledger.llm import passages, permuterm, phrases, sharding, token_files, toxicity
 from shiftledger.llm.common import documents
 from shiftledger.llm.tokens import tokenizer_path
 
@@ -54,6 +54,20 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_report(documents(spark, sf_dir))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permuterm.spelling_variants(documents(spark, sf_dir))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, labels = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("pages", "labels"))
+    judged = host_reputation.judge_urls(pages, labels)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "labelled", "good")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -68,5 +82,8 @@ QUERIES = {
         op8_phrase_fingerprints,
         op9_exact_dedup,
         op10_language,
+        op11_spelling_variants,
+        op12_lexical_search,
+        op13_url_filter,
     )
 }
