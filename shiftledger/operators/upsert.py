@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from shiftledger.functions.calendar import instant_literal
 from shiftledger.functions.text import stable_id
 from shiftledger.model import RENAME_ARROW, SENTINEL_NAME, SENTINEL_SOURCE_ID
+from shiftledger.sources.day_index import STORED_DAY
 
 
 class Upserted(NamedTuple):
@@ -57,15 +58,20 @@ def upsert(
     touch: str | None = None,
     order_by: Column | None = None,
     new: dict[str, Column] | None = None,
+    located: str | None = None,
 ) -> DataFrame:
     """Insert or update only ``cols`` of ``rows``; all other columns survive.
 
     ``touch`` names a column set to ``run_ts`` on every matched row, changed or
-    not. ``new`` gives the values of further columns on inserted rows.
+    not. ``new`` gives the values of further columns on inserted rows. ``located`` names a column of ``rows`` that is
+    null for keys that are not stored: then the target is read once, else its keys are read again to find what is new.
     """
-    cols = cols or [c for c in rows.columns if c != key]
+    cols = cols or [c for c in rows.columns if c not in (key, located)]
     incoming = unique_rows(rows, key, order_by).select(
-        F.col(key), *[F.col(c).alias(f"_new_{c}") for c in cols], F.lit(True).alias("_in")
+        F.col(key),
+        *[F.col(c).alias(f"_new_{c}") for c in cols],
+        F.lit(True).alias("_in"),
+        *([F.col(located).isNull().alias("_absent")] if located else []),
     )
 
     def next_value(c: str) -> Column:
@@ -90,9 +96,12 @@ def upsert(
         return F.lit(None).cast(kind).alias(c)
 
     updated = target.join(incoming, key, "left").select(*[next_value(c) for c in target.columns])
-    known = target.select(key).join(incoming.select(key), key, "left_semi")
-    inserted = incoming.join(known, key, "left_anti").select(*[first_value(c) for c in target.columns])
-    return updated.unionByName(inserted)
+    if located:
+        absent = incoming.where("_absent")
+    else:
+        known = target.select(key).join(incoming.select(key), key, "left_semi")
+        absent = incoming.join(known, key, "left_anti")
+    return updated.unionByName(absent.select(*[first_value(c) for c in target.columns]))
 
 
 # --- reference tables -------------------------------------------------------
@@ -192,9 +201,12 @@ def merge_resolved(
     entries: DataFrame, resolved: DataFrame, run_ts: datetime, order_by: Column | None = None
 ) -> DataFrame:
     """Merge resolved rows. A job stages them first, so that their true size is
-    known when Spark decides whether to broadcast them."""
+    known when Spark decides whether to broadcast them. Rows that carry ``stored_day`` need no second look at the entries."""
     known = resolved.where(F.col("user_id").isNotNull())
-    return upsert(entries, known, cols=ENTRY_COLUMNS, run_ts=run_ts, touch="updated_at", order_by=order_by)
+    located = STORED_DAY if STORED_DAY in resolved.columns else None
+    return upsert(
+        entries, known, cols=ENTRY_COLUMNS, run_ts=run_ts, touch="updated_at", order_by=order_by, located=located
+    )
 
 
 # --- single columns ---------------------------------------------------------

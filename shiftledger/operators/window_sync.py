@@ -18,6 +18,7 @@ from shiftledger.operators.upsert import (
     upsert_entries,
 )
 from shiftledger.operators.windows import user_window, within
+from shiftledger.sources.day_index import STORED_DAY
 
 UPDATED = "updated"
 INSERTED = "inserted"
@@ -84,8 +85,9 @@ def merge_window(
     both outcomes (matched: update, unmatched: possible ghost) are decided in one
     projection.
     """
+    located = STORED_DAY in resolved.columns
     incoming = resolved.select(
-        "source_id", *[F.col(c).alias(f"_new_{c}") for c in ENTRY_COLUMNS]
+        "source_id", *[F.col(c).alias(f"_new_{c}") for c in ENTRY_COLUMNS], *([STORED_DAY] if located else [])
     ).withColumn("_in", F.lit(True))
     scanned = scanned_users.select("user_id").distinct().withColumn("_scanned", F.lit(True))
     stamp = instant_literal(run_ts)
@@ -137,15 +139,15 @@ def merge_window(
         return F.lit(None).cast(entries.schema[c].dataType).alias(c)
 
     stored = joined.select(*[next_value(c) for c in entries.columns], "sync_action", "sync_changed")
-    known = entries.select("source_id").join(incoming.select("source_id"), "source_id", "left_semi")
-    inserted = (
-        incoming.where(known_user)
-        .join(known, "source_id", "left_anti")
-        .select(
-            *[first_value(c) for c in entries.columns],
-            F.lit(INSERTED).alias("sync_action"),
-            F.lit(True).alias("sync_changed"),
-        )
+    if located:
+        absent = incoming.where(known_user & F.col(STORED_DAY).isNull())
+    else:
+        known = entries.select("source_id").join(incoming.select("source_id"), "source_id", "left_semi")
+        absent = incoming.where(known_user).join(known, "source_id", "left_anti")
+    inserted = absent.select(
+        *[first_value(c) for c in entries.columns],
+        F.lit(INSERTED).alias("sync_action"),
+        F.lit(True).alias("sync_changed"),
     )
     merged = stored.unionByName(inserted)
     return WindowSync(merged, merged.drop("sync_action", "sync_changed"), sync_stats(merged))

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from shiftledger.operators import upsert
 from shiftledger.operators.upsert import unique_rows
-from shiftledger.operators.windows import PARTITION
+from shiftledger.operators.windows import PARTITION, with_partition
+from shiftledger.sources.day_index import STORED_DAY
 from shiftledger.sources.extracts import Validated, require_clean
-from shiftledger.sources.tables import Tables, stage
+from shiftledger.sources.tables import Held, Tables, stage
 
 
 class RunFailed(RuntimeError):
@@ -63,11 +64,30 @@ def merge_references(tables: Tables, extracts: Extracts, run: str, run_ts: datet
     return users.unionByName(clients).unionByName(projects)
 
 
-def affected(tables: Tables, extract: DataFrame, start: datetime | None) -> tuple[DataFrame, list]:
-    """Stored entries of the days a merge can touch, and those days."""
-    stored = tables.read_entries()
-    days = tables.days_of(extract, stored, start)
-    return stored.where(F.col(PARTITION).isin(days)), days
+class Affected(NamedTuple):
+    """What a merge works on: stored entries of the days it can touch, those days, the incoming rows with ``stored_day``
+    (staged; null for ids that are not stored), and the state all this was read from."""
+
+    target: DataFrame
+    days: list
+    placed: DataFrame
+    held: Held
+
+
+def affected(tables: Tables, resolved: DataFrame, start: datetime | None, run: str) -> Affected:
+    """Find incoming rows in the day index and open the days concerned. Reads no other stored day."""
+    held = tables.held()
+    located = tables.locate(resolved, held)
+    placed = stage(tables.spark, resolved.join(located, "source_id", "left"), "placed", run)
+    days = tables.days_of(placed, held, start)
+    return Affected(tables.read_entries(held).where(F.col(PARTITION).isin(days)), days, placed, held)
+
+
+def publish_merged(tables: Tables, merged: DataFrame, found: Affected) -> None:
+    """Publish the staged next state of the affected days, and the ids that are new there or have changed their day."""
+    day = with_partition(found.placed.where(F.col("user_id").isNotNull())).where(~F.col(PARTITION).eqNullSafe(F.col(STORED_DAY)))
+    moved = day.select("source_id", F.col(PARTITION).alias("day"))
+    tables.publish_entries(merged, found.days, held=found.held, moved=moved)
 
 
 def merge_entries(
@@ -78,9 +98,9 @@ def merge_entries(
     resolved = stage(
         tables.spark, upsert.resolve_entries(rows, tables.read("users"), tables.read("projects")), "resolved", run
     )
-    target, days = affected(tables, resolved, None)
-    merged = upsert.merge_resolved(target.drop(PARTITION), resolved, run_ts)
-    tables.publish_entries(stage(tables.spark, merged, "entries", run), days)
+    found = affected(tables, resolved, None, run)
+    merged = upsert.merge_resolved(found.target.drop(PARTITION), found.placed, run_ts)
+    publish_merged(tables, stage(tables.spark, merged, "entries", run), found)
     upserted = F.count_if(F.col("user_id").isNotNull())
     return resolved.agg(
         upserted.alias("upserted"), F.count_if(F.col("user_id").isNull()).alias("skipped")

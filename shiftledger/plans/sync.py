@@ -13,7 +13,9 @@ from shiftledger import model
 from shiftledger.functions.calendar import lookback_start
 from shiftledger.operators import reports, upsert, windows
 from shiftledger.operators import window_sync as ws
-from shiftledger.plans.common import Extracts, RunFailed, affected, merge_references, run_id
+from shiftledger.operators.windows import PARTITION
+from shiftledger.plans.common import Extracts, RunFailed, affected, merge_references, publish_merged, run_id
+from shiftledger.sources.day_index import STORED_DAY
 from shiftledger.sources.extracts import rejected_ids, split_failed_users
 from shiftledger.sources.tables import Tables, stage
 
@@ -31,19 +33,27 @@ class SyncResult(NamedTuple):
     reports: DataFrame | None
 
 
-def _searchable(tables: Tables, extracts: Extracts, users: DataFrame, failed: DataFrame) -> DataFrame:
+def _searchable(tables: Tables, extracts: Extracts, users: DataFrame, failed: DataFrame, rejected: DataFrame) -> DataFrame:
     """Users (user_id) whose missing entries are known to be gone: fetched whole, and without an unreadable row.
 
     A rejected row that names no user could be anybody's, so then nobody is searched. Whoever owns an id that
-    was read in a rejected row is left out too, whatever user that row names.
+    was read in a rejected row is left out too, whatever user that row names; those are sought by the day index, and only if
+    there are such ids.
     """
     nobody = failed.where(F.col("user_source_id").isNull()).limit(1).count() == 1
     fetched = extracts.users.valid.select("source_id") if extracts.scanned_users is None else extracts.scanned_users
     whole = users.join(fetched.select("source_id").distinct(), "source_id", "left_semi").join(
         failed.select(F.col("user_source_id").alias("source_id")), "source_id", "left_anti"
     )
-    owners = tables.read_entries().join(rejected_ids(extracts.entries), "source_id", "left_semi").select("user_id").distinct()
-    return whole.where(F.lit(not nobody)).select(F.col("id").alias("user_id")).join(owners, "user_id", "left_anti")
+    searched = whole.where(F.lit(not nobody)).select(F.col("id").alias("user_id"))
+    if not nobody and not rejected.isEmpty():
+        held = tables.held()
+        located = tables.locate(rejected, held)
+        days = [r[0] for r in located.select(STORED_DAY).distinct().collect()]
+        stored = tables.read_entries(held).where(F.col(PARTITION).isin(days))
+        owners = stored.join(rejected, "source_id", "left_semi").select("user_id").distinct()
+        searched = searched.join(owners, "user_id", "left_anti")
+    return searched
 
 
 def run_sync(
@@ -69,15 +79,16 @@ def run_sync(
 
     failed = stage(spark, split_failed_users(extracts.entries), "failed_users", run)
     extract = windows.within(extracts.entries.valid, start).join(failed, "user_source_id", "left_anti")
-    scanned = stage(spark, _searchable(tables, extracts, users, failed), "scanned", run)
+    rejected = stage(spark, rejected_ids(extracts.entries), "rejected_ids", run)
+    scanned = stage(spark, _searchable(tables, extracts, users, failed, rejected), "scanned", run)
 
     resolved = stage(
         spark, upsert.resolve_entries(upsert.unique_rows(extract, "source_id"), users, projects), "resolved", run
     )
-    target, days = affected(tables, resolved, start)
-    sync = ws.merge_window(target.drop(windows.PARTITION), resolved, scanned, start, run_ts)
+    found = affected(tables, resolved, start, run)
+    sync = ws.merge_window(found.target.drop(PARTITION), found.placed, scanned, start, run_ts)
     merged = stage(spark, sync.merged, "entries", run)
-    tables.publish_entries(merged, days)
+    publish_merged(tables, merged, found)
 
     stats = stage(spark, ws.sync_stats(merged), "stats", run)
     summary = stage(spark, ws.sync_report(stats, changes, scanned), "report", run)

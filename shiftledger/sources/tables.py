@@ -3,8 +3,9 @@
 A plan never overwrites a path it reads. Entries are partitioned by the UTC day of
 their start, so an hourly sync rewrites two days of data and not a month. A publish
 writes the days concerned under a new version and then one small manifest, which says for each
-day which version holds it. Readers follow the newest complete manifest: until it is there
-they see the state before, so a publish that is cut short at any point changes nothing.
+day which version holds it, and which parts the index of ids has. Readers follow the newest complete manifest: until it is
+there they see the state before, so a publish that is cut short at any point changes nothing. Manifests are numbered from
+the state a run has read, so of two runs on one state the second fails instead of undoing the first.
 
 The reference tables are small next to them; each run writes a new snapshot folder and
 readers take the newest complete one.
@@ -12,7 +13,11 @@ readers take the newest complete one.
 
 from __future__ import annotations
 
+import time
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import UTC, date, datetime
+from typing import NamedTuple
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,9 +26,14 @@ from pyspark.sql import functions as F
 from shiftledger import model
 from shiftledger.operators.windows import PARTITION, with_partition
 from shiftledger.session import shared_dir
+from shiftledger.sources import day_index
+from shiftledger.sources.day_index import STORED_DAY, Part
 
 SNAPSHOT = "snapshot"
 ROWS_PER_FILE = 5_000_000
+#: Seconds after which a publish that has not ended counts as dead.
+LEASE = 3600
+_MANIFEST = "day DATE, version STRING, place INT, rows LONG"
 _SCHEMAS = {"users": model.USERS, "clients": model.CLIENTS, "projects": model.PROJECTS}
 
 
@@ -39,6 +49,18 @@ def stage(spark: SparkSession, df: DataFrame, name: str, run_id: str) -> DataFra
     return spark.read.schema(df.schema).parquet(path)
 
 
+class PublishConflict(RuntimeError):
+    """Another run has published since the state that a publish builds on."""
+
+
+class Held(NamedTuple):
+    """A state of the entries: the manifest's number, the version that holds each day, the parts of the day index."""
+
+    number: int
+    days: dict[date, str]
+    index: list[Part]
+
+
 class Tables:
     """The stored tables under one root folder."""
 
@@ -88,45 +110,66 @@ class Tables:
 
     # -- entries --
 
-    def read_entries(self) -> DataFrame:
+    def held(self) -> Held:
+        """What the newest manifest says; a run reads it once and publishes against it."""
+        path = f"{self.root}/entries_manifest"
+        found = self._newest(path)
+        if found is None:
+            return Held(-1, {}, [])
+        rows = self.spark.read.schema(_MANIFEST).parquet(f"{path}/{SNAPSHOT}={found}").collect()
+        parts = sorted((r["place"], r["version"], r["rows"]) for r in rows if r["day"] is None)
+        days = {r["day"]: r["version"] for r in rows if r["day"] is not None}
+        return Held(int(found), days, [Part(version, n) for _, version, n in parts])
+
+    def read_entries(self, held: Held | None = None) -> DataFrame:
         """Stored entries with the partition column; empty before the first publish."""
-        held = self._manifest()
-        if not held:
+        held = held or self.held()
+        if not held.days:
             return with_partition(self.spark.createDataFrame([], model.ENTRIES))
         path = f"{self.root}/entries"
-        days = [f"{path}/version={version}/{PARTITION}={day.isoformat()}" for day, version in held.items()]
+        days = [f"{path}/version={version}/{PARTITION}={day.isoformat()}" for day, version in held.days.items()]
         reader = self.spark.read.schema(f"{_ddl(model.ENTRIES)}, {PARTITION} DATE").option("basePath", path)
         return reader.parquet(*days).drop("version")
 
-    def _manifest(self) -> dict[date, str]:
-        """Version that holds each day: one row per day."""
-        path = f"{self.root}/entries_manifest"
-        newest = self._newest(path)
-        if newest is None:
-            return {}
-        rows = self.spark.read.schema("day DATE, version STRING").parquet(f"{path}/{SNAPSHOT}={newest}")
-        return {r["day"]: r["version"] for r in rows.collect()}
+    def locate(self, ids: DataFrame, held: Held | None = None) -> DataFrame:
+        """(source_id, stored_day) of those ids that are stored, from the day index."""
+        held = held or self.held()
+        if held.index:
+            return day_index.lookup(self.spark, f"{self.root}/entries_index", held.index, ids)
+        # A store from before the index, or an empty one.
+        stored = self.read_entries(held).select("source_id", F.col(PARTITION).alias(STORED_DAY))
+        return stored.join(ids.select("source_id"), "source_id", "left_semi")
 
-    def days_of(self, extract: DataFrame, stored: DataFrame, start: datetime | None) -> list[date]:
-        """Partitions a merge can touch.
+    def days_of(self, placed: DataFrame, held: Held, start: datetime | None) -> list[date]:
+        """Partitions a merge can touch: days of incoming rows, days where an incoming id is stored now (an edit may
+        move an entry), and stored days of the ghost window.
 
-        Days of incoming rows, days where an incoming id is stored now (an edit
-        may move an entry), and days of the ghost window. The middle part scans
-        only the key column. The result is one row per day.
+        ``placed`` are incoming rows with ``stored_day``. The result is one row per day.
         """
-        moved = stored.select("source_id", PARTITION).join(extract.select("source_id"), "source_id", "left_semi")
-        days = with_partition(extract).select(PARTITION).distinct().unionByName(moved.select(PARTITION).distinct())
+        incoming = with_partition(placed).select(F.col(PARTITION).alias("day"))
+        days = incoming.unionByName(placed.select(F.col(STORED_DAY).alias("day"))).where("day IS NOT NULL")
+        touched = {row[0] for row in days.distinct().collect()}
         if start is not None:
             first = start.astimezone(UTC).date()
-            days = days.unionByName(stored.where(F.col(PARTITION) >= F.lit(first)).select(PARTITION).distinct())
-        return [row[0] for row in days.distinct().collect()]
-
-    def publish_entries(self, staged: DataFrame, days: list[date], rows_per_file: int = ROWS_PER_FILE) -> None:
+            touched |= {day for day in held.days if day >= first}
+        return sorted(touched)
+
+    def publish_entries(
+        self,
+        staged: DataFrame,
+        days: list[date],
+        rows_per_file: int = ROWS_PER_FILE,
+        held: Held | None = None,
+        moved: DataFrame | None = None,
+    ) -> None:
         """Replace ``days`` by the staged rows, which are their complete next state.
 
         Each day is cut into slices by a hash of the id, one file per slice: no
         tiny files, and a day holding a large part of all rows is many tasks.
+        ``held`` is the state the rows were computed from; if another run has published since, ``PublishConflict`` is raised
+        and nothing changes. ``moved`` are the ids that are new or have changed their day (source_id, day); by default all.
         """
+        held = held or self.held()
         columns = [f.name for f in model.ENTRIES.fields]
         rows = with_partition(staged.select(*columns))
         sizes = rows.groupBy(PARTITION).agg(F.ceil(F.count("*") / rows_per_file).alias("_slices"))
@@ -134,23 +177,54 @@ class Tables:
         if None in filled:
             raise ValueError("an entry without a start cannot be stored")
         version = uuid4().hex
-        (
-            # One row per day: a bounded side.
-            rows.join(F.broadcast(sizes), PARTITION)
-            .withColumn("_slice", F.pmod(F.xxhash64("source_id"), F.col("_slices")))
-            .repartition(PARTITION, "_slice")
-            .select(*columns, PARTITION)
-            .write.partitionBy(PARTITION)
-            .parquet(f"{self.root}/entries/version={version}")
-        )
-        held = {day: v for day, v in self._manifest().items() if day not in set(days)}
-        held |= {day: version for day in filled}
-        path = f"{self.root}/entries_manifest"
-        number = max((int(n) for n in self._snapshots(path)), default=-1) + 1
-        self._manifest_rows(held).coalesce(1).write.parquet(f"{path}/{SNAPSHOT}={number:012d}")
-
-    def _manifest_rows(self, held: dict[date, str]) -> DataFrame:
-        return self.spark.createDataFrame(sorted(held.items()), "day DATE, version STRING")
+        with self._claim(held.number + 1):
+            (
+                # One row per day: a bounded side.
+                rows.join(F.broadcast(sizes), PARTITION)
+                .withColumn("_slice", F.pmod(F.xxhash64("source_id"), F.col("_slices")))
+                .repartition(PARTITION, "_slice")
+                .select(*columns, PARTITION)
+                .write.partitionBy(PARTITION)
+                .parquet(f"{self.root}/entries/version={version}")
+            )
+            if moved is None or (held.days and not held.index):
+                unchanged = self.read_entries(held).where(~F.col(PARTITION).isin(days)) if held.days and not held.index else rows.limit(0)
+                moved = rows.select("source_id", PARTITION).unionByName(unchanged.select("source_id", PARTITION))
+                moved = moved.select("source_id", F.col(PARTITION).alias("day"))
+            index = day_index.add(self.spark, f"{self.root}/entries_index", held.index, moved)
+            now = {day: v for day, v in held.days.items() if day not in set(days)} | {day: version for day in filled}
+            rows_now = self._manifest_rows(Held(held.number + 1, now, index))
+            rows_now.coalesce(1).write.parquet(f"{self.root}/entries_manifest/{SNAPSHOT}={held.number + 1:012d}")
+
+    def _manifest_rows(self, held: Held) -> DataFrame:
+        days = [(day, version, None, None) for day, version in sorted(held.days.items())]
+        parts = [(None, part.version, place, part.rows) for place, part in enumerate(held.index)]
+        return self.spark.createDataFrame([*days, *parts], _MANIFEST)
+
+    @contextmanager
+    def _claim(self, number: int) -> Iterator[None]:
+        """Hold a manifest number while it is written: of two runs that read the same state, one fails.
+
+        A claim is a file that only one writer can create. It goes when the publish fails; one that was left by a dead writer
+        can be taken over after ``LEASE`` seconds.
+        """
+        path = f"{self.root}/entries_manifest/claims/{number:012d}"
+        file, system = self._folder(path)
+        if not system.createNewFile(file):
+            age = time.time() - system.getFileStatus(file).getModificationTime() / 1000
+            done = self._exists(f"{self.root}/entries_manifest/{SNAPSHOT}={number:012d}/_SUCCESS")
+            if done or age < LEASE:
+                raise PublishConflict(f"another run has published entries {number}, or is about to; run again on the new state")
+            system.delete(file, False)
+            if not system.createNewFile(file):
+                raise PublishConflict(f"another run has taken over entries {number}")
+            # What the dead writer left of this manifest was never complete.
+            system.delete(self._folder(f"{self.root}/entries_manifest/{SNAPSHOT}={number:012d}")[0], True)
+        try:
+            yield
+        except BaseException:
+            system.delete(file, False)
+            raise
 
     def _folder(self, path: str):
         folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
