@@ -26,7 +26,7 @@ from shiftledger.llm.tokens import encoder, slices
 
 CAPACITY = 2048
 #: Packing follows other stages in a pipeline, whose memory the executors still hold: it works in smaller portions.
-CACHE_ENTRIES = 150_000
+CACHE_ENTRIES = 300_000
 SLICE = 1 << 20
 BATCH_BYTES = "4m"
 

@@ -33,6 +33,8 @@ ORC_OPTIONS = {
 SCHEMA = "part int, doc_id long, local_start long, n_tokens long, ids array<int>"
 #: Text bytes per file, as a guide to their number.
 FILE_BYTES = 32 << 20
+#: Text bytes encoded at a time.
+SLICE = 2 << 20
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2) -> None:
@@ -41,7 +43,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2) ->
     def encode_part(batches):
         encode, done = encoder(tokenizer).encode, 0
         for whole in batches:
-            for batch in slices(whole, "_text"):
+            for batch in slices(whole, "_text", SLICE):
                 ids, counts = encode(batch.column("_text"))
                 ids = np.insert(ids, np.cumsum(counts), end_id).astype(np.int32)
                 counts = counts + 1
