@@ -74,7 +74,7 @@ def _differing(docs: DataFrame, digest: Callable[[Column], Column], repeated: Da
     keys = repeated.select(F.xxhash64("digest").alias("_key")).distinct()
     if repeated.count() <= BROADCAST_DIGESTS:
         keys = F.broadcast(keys)
-    texts = docs.select("doc_id", normalised().alias("text"))
+    texts = docs.select("doc_id", "row", normalised().alias("text"))
     hits = texts.withColumn("digest", digest(F.col("text"))).withColumn("_key", F.xxhash64("digest"))
     hits = hits.join(keys, "_key", "left_semi").drop("_key")
     # Least and greatest bytes are found before the shuffle, so a text that fills the table is sent once per task.
@@ -82,10 +82,16 @@ def _differing(docs: DataFrame, digest: Callable[[Column], Column], repeated: Da
     return hits, stage(bounds.where("least <> most").select("digest"), "collisions")
 
 
-def exact_groups(docs: DataFrame, digest: Callable[[Column], Column] = sha256, batch_bytes: int = BATCH_BYTES) -> DataFrame:
-    """One row per document: doc_id, digest (of the normalised text), keep_id, group_size, kept."""
+def exact_groups(
+    docs: DataFrame, digest: Callable[[Column], Column] = sha256, batch_bytes: int = BATCH_BYTES, number: str | None = None
+) -> DataFrame:
+    """One row per document: doc_id, digest (of the normalised text), keep_id, group_size, kept, row (its number).
+
+    ``number`` names a column of written row numbers; by default rows are numbered here.
+    """
     spark = docs.sparkSession
-    locator = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.monotonically_increasing_id().alias("row"))
+    docs = docs.select("doc_id", "text", (F.col(number) if number else F.monotonically_increasing_id()).alias("row"))
+    locator = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
     # The row number is fixed by writing it; everything below reads it from there.
     rows = docs.select("doc_id", digest(normalised()).alias("digest")).select("digest", locator.alias("locator"))
     source = scratch(spark, "digests")
@@ -101,17 +107,19 @@ def exact_groups(docs: DataFrame, digest: Callable[[Column], Column] = sha256, b
         F.col("first.doc_id").alias("keep_id"),
         F.col("n").alias("group_size"),
         (F.col("locator.row") == F.col("first.row")).alias("kept"),
+        F.col("locator.row").alias("row"),
     )
     if differing.isEmpty():
         return sound
     same = Window.partitionBy("digest", "text")
-    in_order = same.orderBy(F.col("doc_id").asc_nulls_last())
+    in_order = same.orderBy(F.col("doc_id").asc_nulls_last(), "row")
     apart = hits.join(differing, "digest", "left_semi").select(
         "doc_id",
         "digest",
         F.first("doc_id").over(in_order).alias("keep_id"),
         F.count("*").over(same).alias("group_size"),
         (F.row_number().over(in_order) == 1).alias("kept"),
+        "row",
     )
     return sound.join(differing, "digest", "left_anti").unionByName(apart)
 
@@ -122,11 +130,11 @@ def dedup_report(docs: DataFrame) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns."""
-    staying = exact_groups(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"))
-    rows = docs.withColumn("_digest", sha256(normalised()))
-    same = (rows["doc_id"].eqNullSafe(staying["_id"])) & (rows["_digest"] == staying["_digest"])
-    met = rows.join(staying, same, "left_semi")
-    # Equal ids with equal texts are one document.
-    one = F.row_number().over(Window.partitionBy("_digest", "doc_id").orderBy("_digest"))
-    return met.withColumn("_copy", one).where("_copy = 1").select(*docs.columns)
+    """The documents that stay, with all their columns whatever their names; one row of each text.
+
+    Rows are told apart by a written number, so those that go are found without looking at texts again.
+    """
+    rows = stage(docs.select(F.struct("*").alias("document"), F.monotonically_increasing_id().alias("number")), "numbered")
+    groups = exact_groups(rows.select("document.doc_id", "document.text", "number"), number="number")
+    gone = stage(groups.where("not kept").select(F.col("row").alias("number")), "repeats")
+    return rows.join(gone, "number", "left_anti").select("document.*")

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shiftledger.llm.common import WORD, rank_within
+from shiftledger.llm.common import WORD, rank_within, stage
 
 #: Largest remainder, in words, that the dynamic programme fills.
 DP_WIDTH = 1 << 16
@@ -138,32 +138,59 @@ def _choose(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"key": group["key"], "size": group["size"], "sure": sure, "more": more})
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, cap: float = 2.0, seed: int = 7) -> DataFrame:
-    """Add size, source_size, target and times (how often the mix takes the document) to documents.
+def sized(rows: DataFrame) -> DataFrame:
+    """number, doc_id, digest (of the text), key and size of rows (number, doc_id, text, source): one pass over the texts, written."""
+    narrow = rows.select("number", "doc_id", F.xxhash64("text").alias("digest"), _source_key().alias("key"), word_count().alias("size"))
+    return stage(narrow, "sizes")
+
+
+def taken_times(
+    narrow: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, cap: float = 2.0, seed: int = 7
+) -> DataFrame:
+    """number, doc_id, size, source_size, target and times (how often the mix takes the document) of ``sized`` rows.
 
-    Needs doc_id, text and source; keeps ``docs``' columns that are not among those it adds. The table per
-    source and length grows with the longest text, not with the corpus.
+    The table per source and length grows with the longest text, not with the corpus.
     """
-    added = ("size", "source_size", "target", "times", "key", "n", "sure", "more", "_rank")
-    kept = [c for c in docs.columns if c not in added]
-    sized = docs.select(*kept, word_count().alias("size"), _source_key().alias("key"))
-    lengths = sized.groupBy("key", "size").agg(F.count("*").alias("n"))
+    lengths = narrow.groupBy("key", "size").agg(F.count("*").alias("n"))
     targets = source_targets(lengths.select("key", (F.col("size") * F.col("n")).alias("size")), weights, share, cap)
     positive = lengths.where("size > 0").join(targets, "key")
     quotas = positive.groupBy("key").applyInPandas(_choose, "key string, size long, sure int, more long")
-    ranked = rank_within(sized, ["key", "size"], F.xxhash64("doc_id", F.lit(seed)), [F.col("doc_id"), F.xxhash64("text")], "_rank")
-    times = F.coalesce(F.col("sure") + (F.col("_rank") < F.col("more")).cast("int"), F.lit(0))
+    order = [F.col("doc_id"), F.col("digest")]
+    ranked = rank_within(narrow, ["key", "size"], F.xxhash64("doc_id", F.lit(seed)), order, "rank")
+    times = F.coalesce(F.col("sure") + (F.col("rank") < F.col("more")).cast("int"), F.lit(0))
     joined = ranked.join(targets, "key").join(quotas, ["key", "size"], "left")
-    return joined.select(*kept, "size", "source_size", "target", times.alias("times"))
+    return joined.select("number", "doc_id", "size", "source_size", "target", times.alias("times"))
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """Whole rows as one column, with a written number that tells them apart."""
+    return stage(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("number")), "mix-rows")
+
+
+def _parts(rows: DataFrame) -> DataFrame:
+    return rows.select("number", "row.doc_id", "row.text", "row.source")
+
+
+def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, cap: float = 2.0, seed: int = 7) -> DataFrame:
+    """Add size, source_size, target and times (how often the mix takes the document) to documents.
+
+    Needs doc_id, text and source; keeps ``docs``' columns that are not among those it adds.
+    """
+    kept = [c for c in docs.columns if c not in ("size", "source_size", "target", "times")]
+    rows = _numbered(docs)
+    times = taken_times(sized(_parts(rows)), weights, share, cap, seed).drop("doc_id")
+    return rows.join(times, "number").select(*[F.col("row")[c].alias(c) for c in kept], "size", "source_size", "target", "times")
 
 
 def mix_report(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken (words, repeats counted)."""
-    mixed = mix(docs)
+    """One row per document: doc_id, size, source_size, target, taken (words, repeats counted). No text is shuffled."""
+    numbered = docs.select(F.monotonically_increasing_id().alias("number"), "doc_id", "text", "source")
+    mixed = taken_times(sized(numbered))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"))
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The mix itself: each document as often as it is taken."""
-    mixed = mix(docs).where("times > 0")
-    return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*docs.columns)
+    """The mix itself: each document as often as it is taken, with its columns whatever their names. Texts are joined last."""
+    rows = _numbered(docs)
+    times = taken_times(sized(_parts(rows))).where("times > 0").select("number", "times")
+    return rows.join(times, "number").select(F.explode(F.array_repeat("row", F.col("times"))).alias("row")).select("row.*")

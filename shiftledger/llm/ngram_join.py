@@ -94,15 +94,17 @@ def similar_documents(docs: DataFrame, threshold: float = mh.THRESHOLD, recall:
 
 
 def one_per_class(docs: DataFrame, threshold: float = mh.THRESHOLD) -> DataFrame:
-    """Documents without those that resemble a document with a smaller id in their class.
+    """One document of each class of near copies: the one with the least id, of equal ids any one, null ids last.
 
-    Rows with equal ids are one document; documents without an id stay.
+    Rows are told apart by a written number: rows with other texts stay whatever their ids, and all columns are kept.
     """
-    found = stage(similar_documents(docs, threshold).where("doc_id <> class_id").select("doc_id").distinct(), "near")
-    heads = similar_heads(found)
-    return docs.join(heads, "doc_id", "left_anti").select(*docs.columns)
-
-
-def similar_heads(found: DataFrame) -> DataFrame:
-    """The ids to drop, broadcast while they are few."""
-    return F.broadcast(found) if found.count() <= mh.BROADCAST_ROWS else found
+    rows = stage(docs.select(F.struct("*").alias("document"), F.monotonically_increasing_id().alias("number")), "numbered")
+    classes = similar_documents(rows.select(F.col("number").alias("doc_id"), F.col("document.text").alias("text")), threshold)
+    # Only rows with a link have something to lose.
+    linked = stage(classes.where("n_links > 0").select(F.col("doc_id").alias("number"), F.col("class_id").alias("class")), "linked")
+    ids = rows.select("number", F.col("document.doc_id").alias("id")).join(linked, "number")
+    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "number")
+    members = stage(ids.select("class", place.alias("place")), "members")
+    heads = members.groupBy("class").agg(F.min("place").alias("head"))
+    gone = members.join(heads, "class").where("place.number <> head.number").select("place.number")
+    return rows.join(stage(gone, "near"), "number", "left_anti").select("document.*")
