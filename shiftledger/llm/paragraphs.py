@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiftledger.llm import minhash as mh
+from shiftledger.llm import passages
 from shiftledger.llm.common import stage
 from shiftledger.llm.tokens import slices
 
@@ -139,6 +140,18 @@ def repeated_paragraphs(
     )
 
 
+def repeated_substrings(docs: DataFrame) -> DataFrame:
+    """All that repeats, one row each: doc_id, kind, start, n_chars, class_doc_id (where it stays), removed.
+
+    Kind ``paragraph`` are lines that resemble another line (``repeated_paragraphs``), ``passage`` spans of words that stand
+    elsewhere too, inside long lines or over short ones (``passages``); both may cover the same words.
+    """
+    lines = repeated_paragraphs(docs).withColumn("kind", F.lit("paragraph"))
+    spans = passages.repeated_passages(docs).withColumn("kind", F.lit("passage"))
+    kept = ["doc_id", "kind", "start", "n_chars", "class_doc_id", "removed"]
+    return lines.select(kept).unionByName(spans.select(kept))
+
+
 def without_repeats(docs: DataFrame, repeats: DataFrame) -> DataFrame:
     """``docs`` with the removed paragraphs cut out of their texts; a document has one list of them."""
     cut = repeats.where("removed").groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("paragraph").alias("_cut"))

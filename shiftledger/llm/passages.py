@@ -1,18 +1,14 @@
-"""Repeated passages: runs of ``LEAST`` or more words that occur twice, wherever they lie and however they are broken into lines.
+"""Repeated passages, wherever they lie and however they are broken into lines.
 
-Only words count, so a passage may begin inside a long line or go over many short ones. The search is exact for such runs and
-makes no pairs:
+Only words count, so a passage may begin inside a long line or go over many short ones. Pieces are found as MinHash does: of the
+hashes of all ``PIECE``-word runs within each ``WINDOW`` words, the least marks the run that stands for that window. It
+depends on these words alone, so a repeated window has the same piece wherever it lies, and an insertion elsewhere
+shifts nothing: each run of ``WINDOW`` or more words that repeats shares a piece with certainty. Pieces that agree in all
+their words (by a name of 128 bits) are a class; overlapping and touching pieces of a text with the same fate are joined to spans.
 
-1. of the ``SEED``-word hashes within each ``LEAST`` words, the least is that stretch's seed (winnowing). It depends on these words
-   alone, so a repeated stretch has the same seed wherever it lies, and an insertion shifts nothing. Neighbouring stretches
-   with one seed are a segment, named by 96 bits of all its words. Segments whose seed occurs once cannot repeat;
-2. a segment whose name has an earlier place (doc_id, row, word) is a repeat as a whole;
-3. where different segments share a seed (at a passage's ends), one of each is compared stretch by stretch in the same way;
-4. overlapping repeats of a document are joined to spans.
-
-Defined results: a null or empty text has no passage; words lie between white space; a null doc_id comes before all others; rows
-with equal ids are documents of their own, in the order of their written numbers; a stretch that overlaps its first occurrence
-is no repeat of it; an empty table gives an empty one.
+Defined results: a null or empty text and one of fewer than ``WINDOW`` words have no piece; words lie between white space; the
+first piece of a class by (id, place) stays, a null id before all others; rows with equal ids and texts are one document;
+an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -27,10 +23,10 @@ from shiftledger.llm import minhash as mh
 from shiftledger.llm.common import stage
 from shiftledger.llm.tokens import slices
 
-LEAST = 50
-SEED = 25
-#: Stretches that one place can be the seed of.
-REACH = LEAST - SEED + 1
+WINDOW = 40
+PIECE = 20
+#: Windows that one piece can stand for.
+REACH = WINDOW - PIECE + 1
 SLICE = 2 << 20
 
 _FACTORS = (np.uint64(0x100000001B3), np.uint64(0xD6E8FEB86659FD93))
@@ -60,158 +56,111 @@ def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return hashes, owner, chars[begin] - before, chars[end] - before
 
 
-def _runs(hashes: np.ndarray, n: int, factor: np.uint64) -> np.ndarray:
-    """Hash of the ``n`` words from each place on."""
-    if len(hashes) < n:
+def _runs(hashes: np.ndarray, factor: np.uint64) -> np.ndarray:
+    """Hash of the ``PIECE`` words from each place on."""
+    if len(hashes) < PIECE:
         return np.zeros(0, np.uint64)
-    result = np.zeros(len(hashes) - n + 1, dtype=np.uint64)
-    for k in range(n):
+    result = np.zeros(len(hashes) - PIECE + 1, dtype=np.uint64)
+    for k in range(PIECE):
         result *= factor
         result += hashes[k : k + len(result)]
     return mh.mixed(result)
 
 
-def _stretches(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(place, seed) of each ``LEAST`` words of one text."""
-    if len(hashes) < LEAST:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    least, reach = _runs(hashes, SEED, _FACTORS[0]), 1
+def _marked(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first word, name, more of the name) of the runs that stand for a window of their text."""
+    runs = _runs(hashes, _FACTORS[0])
+    if len(hashes) < WINDOW:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    least, reach = runs, 1
     while reach < REACH:
         step = min(reach, REACH - reach)
         least, reach = np.minimum(least[:-step], least[step:]), reach + step
-    at = np.flatnonzero(owner[: len(least)] == owner[LEAST - 1 :])
-    return at, least[at]
-
-
-def numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with a written number of each row, ``_row``."""
-    return stage(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-
-
-def _names(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """96 bits that name the ``LEAST`` words from each place on."""
-    return _runs(hashes, LEAST, _FACTORS[0]), _runs(mh.mixed(hashes ^ mh.MIX), LEAST, _FACTORS[1])
-
-
-def _segments(rows: DataFrame) -> DataFrame:
-    """Runs of stretches with one seed, cut at ``REACH``: _row, doc_id, word, n (stretches), start, end, seed, name, more.
-
-    The first and the last stretch of a segment cover its words, so their names and ``n`` name it.
-    """
-
-    def segments(batches):
-        for whole in batches:
-            for batch in slices(whole, "text", SLICE):
-                hashes, owner, start, end = _words(batch.column("text"))
-                at, seed = _stretches(hashes, owner)
-                text = owner[at]
-                new = np.ones(len(at), dtype=bool)
-                new[1:] = (seed[1:] != seed[:-1]) | (text[1:] != text[:-1])
-                first = np.flatnonzero(new)
-                place = np.arange(len(at)) - np.repeat(first, np.diff(np.append(first, len(at))))
-                first = np.flatnonzero(place % REACH == 0)
-                n = np.diff(np.append(first, len(at)))
-                begin, last = at[first], at[first] + n - 1
-                name, more = (mh.mixed(x[begin] * mh.MIX + x[last] + n.astype(np.uint64)) for x in _names(hashes))
-                text = text[first]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *batch.select(["_row", "doc_id"]).take(pa.array(text)).columns,
-                        pa.array(begin - np.searchsorted(owner, text)),
-                        pa.array(n.astype(np.int32)),
-                        pa.array(start[begin]),
-                        pa.array(end[last + LEAST - 1]),
-                        pa.array(seed[first].view(np.int64)),
-                        pa.array(name.view(np.int64)),
-                        pa.array((more >> np.uint64(32)).astype(np.uint32).view(np.int32)),
-                    ],
-                    names=["_row", "doc_id", "word", "n", "start", "end", "seed", "name", "more"],
-                )
-
-    schema = "_row long, doc_id long, word long, n int, start long, end long, seed long, name long, more int"
-    return rows.select("_row", F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(segments, schema)
-
-
-def _single(rows: DataFrame, hits: DataFrame) -> DataFrame:
-    """The stretches of the segments in ``hits`` (_row, segments), each by itself."""
-    chosen = F.broadcast(hits) if hits.count() <= mh.BROADCAST_ROWS // 10 else hits
-    met = rows.select("_row", F.col("doc_id").cast("long").alias("doc_id"), "text").join(chosen, "_row")
-
-    def single(batches):
+    inside = owner[: len(least)] == owner[WINDOW - 1 :]
+    # The least of a window is marked at its last place in the window, so that a row of equal runs is not marked all along.
+    stands = np.zeros(len(runs), dtype=bool)
+    open_ones = inside.copy()
+    for k in range(REACH - 1, -1, -1):
+        hit = np.flatnonzero(open_ones & (runs[k : k + len(least)] == least))
+        stands[hit + k] = True
+        open_ones[hit] = False
+    at = np.flatnonzero(stands)
+    return at, runs[at], _runs(mh.mixed(hashes ^ mh.MIX), _FACTORS[1])[at]
+
+
+def pieces(rows: DataFrame) -> DataFrame:
+    """id, text_key, start, n_chars, name, more of all pieces of rows (id, text)."""
+
+    def cut(batches):
         for whole in batches:
             for batch in slices(whole, "text", SLICE):
                 hashes, owner, start, end = _words(batch.column("text"))
-                lists = batch.column("segments")
-                word, n = (lists.flatten().field(k).to_numpy().astype(np.int64) for k in ("word", "n"))
-                text = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy().astype(np.int64))
-                word = np.repeat(word - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                text = np.repeat(text, n)
-                at = np.searchsorted(owner, text) + word
-                name, more = (x[at] for x in _names(hashes))
+                at, name, more = _marked(hashes, owner)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *batch.select(["_row", "doc_id"]).take(pa.array(text)).columns,
-                        pa.array(word),
-                        pa.array(np.ones(len(at), dtype=np.int32)),
+                        *batch.select(["id", "text_key"]).take(pa.array(owner[at])).columns,
                         pa.array(start[at]),
-                        pa.array(end[at + LEAST - 1]),
+                        pa.array((end[at + PIECE - 1] if len(at) else at) - start[at]),
                         pa.array(name.view(np.int64)),
-                        pa.array((more >> np.uint64(32)).astype(np.uint32).view(np.int32)),
+                        pa.array(more.view(np.int64)),
                     ],
-                    names=["_row", "doc_id", "word", "n", "start", "end", "name", "more"],
+                    names=["id", "text_key", "start", "n_chars", "name", "more"],
                 )
 
-    schema = "_row long, doc_id long, word long, n int, start long, end long, name long, more int"
-    return met.select("_row", "doc_id", "text", "segments").mapInArrow(single, schema)
-
-
-def _judged(named: DataFrame) -> DataFrame:
-    """Add first, the least place of the name, and repeat: whether that lies elsewhere without an overlap."""
-    first = F.min(F.struct("doc_id", "_row", "word", "start")).alias("first")
-    repeat = (F.col("_row") != F.col("first._row")) | (F.col("word") >= F.col("first.word") + LEAST)
-    groups = named.groupBy("name", "more").agg(first)
-    return named.join(groups, ["name", "more"]).withColumn("repeat", repeat)
+    keyed = rows.select("id", F.xxhash64("text").alias("text_key"), "text")
+    return keyed.mapInArrow(cut, "id long, text_key long, start long, n_chars long, name long, more long")
 
 
 def passage_spans(rows: DataFrame) -> DataFrame:
-    """Spans to be removed from ``numbered`` documents: _row and the columns of ``repeated_passages``."""
-    segments = stage(_segments(rows), "segments")
-    twice = segments.groupBy("seed").agg(F.count("*").alias("_times")).where("_times > 1").select("seed")
-    whole = stage(_judged(segments.join(twice, "seed")), "judged")
-    # A seed whose segments all say the same is settled. Of others, one of each different segment is looked at in parts.
-    unsettled = whole.where("not repeat").groupBy("seed").agg(F.count("*").alias("_segments")).where("_segments > 1")
-    open_ones = whole.where("not repeat").join(unsettled.select("seed"), "seed")
-    hits = stage(open_ones.groupBy("_row").agg(F.collect_list(F.struct("word", "n")).alias("segments")), "hits")
-    parts = _judged(stage(_single(rows, hits), "stretches"))
-    kept = ["_row", "doc_id", "word", "n", "start", "end", "first"]
-    found = whole.where("repeat").select(*kept).unionByName(parts.where("repeat").select(*kept))
-
-    in_text = Window.partitionBy("_row").orderBy("word", "n")
-    beyond = F.max(F.col("word") + F.col("n") - 1 + LEAST).over(in_text.rowsBetween(Window.unboundedPreceding, -1))
-    marked = found.withColumn("_new", (F.col("word") > F.coalesce(beyond, F.lit(-1))).cast("int"))
-    islands = marked.withColumn("_span", F.sum("_new").over(in_text.rowsBetween(Window.unboundedPreceding, 0)))
-    return islands.groupBy("_row", "_span").agg(
-        F.min("doc_id").alias("doc_id"),
+    """id, text_key, start, n_chars, class_id, class_start, removed: spans of rows (id, text) whose pieces occur more than once.
+
+    ``class_id`` and ``class_start`` tell where the span's first piece stands first.
+    """
+    found = stage(pieces(rows), "pieces")
+    first = F.min(F.struct("id", "text_key", "start")).alias("first")
+    repeated = found.groupBy("name", "more").agg(F.count("*").alias("times"), first).where("times > 1").drop("times")
+    met = found.join(repeated, ["name", "more"])
+    stays = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("text_key") == F.col("first.text_key")) & (F.col("start") == F.col("first.start"))
+    judged = met.select("id", "text_key", "start", "n_chars", "first", (~stays).alias("removed")).distinct()
+
+    in_text = Window.partitionBy("id", "text_key", "removed").orderBy("start")
+    before = F.max(F.col("start") + F.col("n_chars")).over(in_text.rowsBetween(Window.unboundedPreceding, -1))
+    # One white space may lie between.
+    marked = judged.withColumn("_new", (F.col("start") > F.coalesce(before + 1, F.lit(-1))).cast("int"))
+    islands = marked.withColumn("_span", F.sum("_new").over(in_text))
+    return islands.groupBy("id", "text_key", "removed", "_span").agg(
         F.min("start").alias("start"),
-        (F.max("end") - F.min("start")).alias("n_chars"),
-        (F.max(F.col("word") + F.col("n")) - 1 - F.min("word") + LEAST).alias("n_words"),
-        F.min_by(F.col("first.doc_id"), "word").alias("first_doc_id"),
-        F.min_by(F.col("first.start"), "word").alias("first_start"),
+        (F.max(F.col("start") + F.col("n_chars")) - F.min("start")).alias("n_chars"),
+        F.min_by("first.id", "start").alias("class_id"),
+        F.min_by("first.start", "start").alias("class_start"),
     ).drop("_span")
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
-    """One row per span to be removed: doc_id, start, n_chars, n_words, and where its first words stand first."""
-    return passage_spans(numbered(docs.select("doc_id", "text"))).drop("_row")
+    """One row per span that repeats: doc_id, start, n_chars, class_doc_id, class_start, removed."""
+    spans = passage_spans(docs.select(F.col("doc_id").cast("long").alias("id"), "text"))
+    return spans.select(
+        F.col("id").alias("doc_id"),
+        "start",
+        "n_chars",
+        F.col("class_id").alias("class_doc_id"),
+        "class_start",
+        "removed",
+    )
 
 
 def without_passages(docs: DataFrame) -> DataFrame:
-    """``docs`` with the repeated spans cut out of their texts; the first occurrence of each stays."""
-    rows = numbered(docs)
-    cuts = passage_spans(rows).groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("start", "n_chars"))).alias("_cuts"))
-    joined = rows.join(cuts, "_row", "left")
+    """``docs`` with the spans to be removed cut out of their texts; of each class the first piece in the order of rows stays.
+
+    Rows are told apart by a written number, and carried whole whatever their columns are called.
+    """
+    rows = stage(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("id")), "numbered")
+    spans = passage_spans(rows.select("id", F.col("row.text").alias("text"))).where("removed")
+    cuts = spans.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("start", "n_chars"))).alias("cuts"))
+    joined = rows.join(cuts, "id", "left").withColumn("text", F.col("row.text"))
     last = F.struct(F.lit("").alias("text"), F.lit(0).cast("long").alias("at"))
     piece = lambda at, end: F.substring("text", (at + 1).cast("int"), (end - at).cast("int"))
     step = lambda s, c: F.struct(F.concat(s["text"], piece(s["at"], c["start"])).alias("text"), (c["start"] + c["n_chars"]).alias("at"))
-    whole = F.aggregate("_cuts", last, step, lambda s: F.concat(s["text"], piece(s["at"], F.char_length("text").cast("long"))))
-    return joined.withColumn("text", F.when(F.col("_cuts").isNull(), F.col("text")).otherwise(whole)).select(*docs.columns)
+    whole = F.aggregate("cuts", last, step, lambda s: F.concat(s["text"], piece(s["at"], F.char_length("text").cast("long"))))
+    text = F.when(F.col("cuts").isNull(), F.col("text")).otherwise(whole)
+    return joined.select(F.col("row").withField("text", text).alias("row")).select("row.*")

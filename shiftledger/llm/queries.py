@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from shiftledger.llm import exact_stream, host_reputation, language, lexical_search, mixing, ngram_join, packing, paragraphs
-from shiftledger.llm import passages, permuterm, phrases, sharding, token_files, toxicity
+from shiftledger.llm import permuterm, phrases, sharding, token_files, toxicity
 from shiftledger.llm.common import documents
 from shiftledger.llm.tokens import tokenizer_path
 
@@ -26,12 +26,13 @@ def op4_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.encode_to_orc(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
 
 
-def op5_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return paragraphs.repeated_paragraphs(documents(spark, sf_dir))
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.repeated_substrings(documents(spark, sf_dir))
 
 
-def op5_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return passages.repeated_passages(documents(spark, sf_dir))
+def op5_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of the operator that looks at whole lines, which SQL can express."""
+    return paragraphs.repeated_paragraphs(documents(spark, sf_dir))
 
 
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,8 +76,8 @@ QUERIES = {
         op2_extendible_sharding,
         op3_toxicity,
         op4_token_orc,
+        op5_substring_dedup,
         op5_paragraph_dedup,
-        op5_repeated_passages,
         op6_ngram_join,
         op7_mixing,
         op8_phrase_fingerprints,
