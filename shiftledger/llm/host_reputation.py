@@ -122,29 +122,36 @@ def strength(groups: DataFrame) -> float:
     return STRONGEST if shared <= 0 else min(max(1 / shared - 1, WEAKEST), STRONGEST)
 
 
-def shrunk(groups: DataFrame, strong: float) -> Column:
-    """Posterior mean of a group with a prior of that strength around ``mean``."""
-    return (F.lit(strong) * F.col("mean") + F.col("good")) / (F.lit(strong) + F.col("labelled"))
+def shrunk(groups: DataFrame, strong: float, *keys: str) -> DataFrame:
+    """``keys`` with posterior mean and spread (variance) of groups whose prior has that strength around ``mean``.
+
+    The spread of the level above counts as far as the prior does: a group without labels, in a domain without labels, is in doubt.
+    """
+    total = F.lit(strong) + F.col("labelled")
+    mean = (F.lit(strong) * F.col("mean") + F.col("good")) / total
+    share = F.lit(strong) / total
+    moved = groups.select(*keys, mean.alias("mean"), total.alias("_total"), share.alias("_share"), "spread")
+    spread = F.col("mean") * (1 - F.col("mean")) / (F.col("_total") + 1) + F.col("_share") * F.col("_share") * F.col("spread")
+    return moved.select(*keys, "mean", spread.alias("spread"))
 
 
 def reputations(hosts: DataFrame, deviations: float = DEVIATIONS) -> DataFrame:
-    """host, labelled, good, mean and upper (bound) of the share of good pages; ``hosts`` as ``host_counts`` gives them, stored."""
+    """host, labelled, good, share (posterior mean of the share of good pages) and its upper bound; ``hosts`` as ``host_counts`` gives them, stored."""
     tree = with_domain(hosts)
     sums = [F.sum("labelled").alias("labelled"), F.sum("good").alias("good")]
     domains = stage(tree.groupBy("suffix", "domain").agg(*sums), "domains")
-    suffixes = domains.groupBy("suffix").agg(*sums)
     whole = domains.agg(*sums).first()
-    overall = ((whole["good"] or 0) + 1) / ((whole["labelled"] or 0) + 2)
-
-    suffixes = suffixes.withColumn("mean", F.lit(overall))
-    suffix_means = suffixes.select("suffix", shrunk(suffixes, strength(suffixes)).alias("mean"))
-    domains = stage(domains.join(suffix_means, "suffix"), "domain-means")
-    domain_means = domains.select("suffix", "domain", shrunk(domains, strength(domains)).alias("mean"))
-    judged = stage(tree.join(domain_means, ["suffix", "domain"]), "host-means")
-    strong = strength(judged)
-    mean, total = shrunk(judged, strong), F.lit(strong) + F.col("labelled")
-    upper = mean + deviations * F.sqrt(mean * (1 - mean) / (total + 1))
-    return judged.select("host", "labelled", "good", mean.alias("share"), F.least(upper, F.lit(1.0)).alias("upper"))
+    labelled = whole["labelled"] or 0
+    overall = ((whole["good"] or 0) + 1) / (labelled + 2)
+
+    top = {"mean": F.lit(overall), "spread": F.lit(overall * (1 - overall) / (labelled + 3))}
+    suffixes = domains.groupBy("suffix").agg(*sums).withColumns(top)
+    domains = stage(domains.join(shrunk(suffixes, strength(suffixes), "suffix"), "suffix"), "domain-means")
+    tree = stage(tree.join(shrunk(domains, strength(domains), "suffix", "domain"), ["suffix", "domain"]), "host-means")
+    upper = F.col("mean") + deviations * F.sqrt("spread")
+    return shrunk(tree, strength(tree), "host", "labelled", "good").select(
+        "host", "labelled", "good", F.col("mean").alias("share"), F.least(upper, F.lit(1.0)).alias("upper")
+    )
 
 
 def judged_parts(parts: DataFrame, labels: DataFrame, rules: tuple[Rule, ...], least_good: float) -> DataFrame:

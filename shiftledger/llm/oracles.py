@@ -107,25 +107,29 @@ WITH rests AS (
     CASE WHEN regexp_matches(name, '^[0-9.]*$') THEN name ELSE array_to_string(string_split(name, '.')[-2:], '.') END AS domain
   FROM named
 ), overall AS (
-  SELECT (sum(good) + 1) / (sum(labelled) + 2) AS mean FROM tree
+  SELECT (sum(good) + 1) / (sum(labelled) + 2) AS mean, sum(labelled) AS k FROM tree
 ), suffixes AS (
-  SELECT suffix, labelled, good, mean
+  SELECT suffix, labelled, good, mean, mean * (1 - mean) / (k + 3) AS spread
   FROM (SELECT suffix, sum(labelled)::BIGINT AS labelled, sum(good)::BIGINT AS good FROM tree GROUP BY suffix), overall
 ), suffix_means AS (
-  SELECT suffix, (s * mean + good) / (s + labelled) AS mean FROM suffixes, ({_STRENGTH.format("suffixes")})
+  SELECT suffix, (s * mean + good) / (s + labelled) AS post, post * (1 - post) / (s + labelled + 1) + (s / (s + labelled)) ** 2 * spread AS spread
+  FROM suffixes, ({_STRENGTH.format("suffixes")})
 ), domains AS (
-  SELECT suffix, domain, labelled, good, mean
+  SELECT suffix, domain, labelled, good, post AS mean, spread
   FROM (SELECT suffix, domain, sum(labelled)::BIGINT AS labelled, sum(good)::BIGINT AS good FROM tree GROUP BY ALL) JOIN suffix_means USING (suffix)
 ), domain_means AS (
-  SELECT suffix, domain, (s * mean + good) / (s + labelled) AS mean FROM domains, ({_STRENGTH.format("domains")})
+  SELECT suffix, domain, (s * mean + good) / (s + labelled) AS post, post * (1 - post) / (s + labelled + 1) + (s / (s + labelled)) ** 2 * spread AS spread
+  FROM domains, ({_STRENGTH.format("domains")})
 ), judged AS (
-  SELECT host, labelled, good, mean FROM tree JOIN domain_means USING (suffix, domain)
+  SELECT host, labelled, good, post AS mean, spread FROM tree JOIN domain_means USING (suffix, domain)
 ), shares AS (
-  SELECT host, labelled, good, s + labelled AS total, (s * mean + good) / (s + labelled) AS share FROM judged, ({_STRENGTH.format("judged")})
+  SELECT host, labelled, good, (s * mean + good) / (s + labelled) AS share,
+    share * (1 - share) / (s + labelled + 1) + (s / (s + labelled)) ** 2 * spread AS spread
+  FROM judged, ({_STRENGTH.format("judged")})
 )
 SELECT page_id, r.host, path, rule,
   CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
-    WHEN share + 1.645 * sqrt(share * (1 - share) / (total + 1)) < 0.5 THEN 'block' ELSE 'allow' END AS verdict, labelled, good
+    WHEN share + 1.645 * sqrt(spread) < 0.5 THEN 'block' ELSE 'allow' END AS verdict, labelled, good
 FROM ruled r JOIN shares s ON r.host = s.host
 """,
     "op2_extendible_sharding": """
