@@ -1,5 +1,6 @@
 """Edge cases and brute force for the training-data operators."""
 
+import os
 import re
 import zlib
 
@@ -9,10 +10,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from shiftledger.llm import components, exact_stream, language, minhash, mixing, ngram_join, packing, paragraphs
-from shiftledger.llm import phrases, sharding, token_files, tokens, toxicity
+from shiftledger.llm import phrases, queries, sharding, token_files, tokens, toxicity
 
 pytest.importorskip("public_tokenizers")
 
+SF = "/root/testdata/sf0.001"
+
 # A name that operators use inside clashes with "size"; "key" and "n" are plain extra columns.
 SCHEMA = "doc_id LONG, text STRING, lang STRING, source STRING, size LONG, key STRING"
 COMMON = "one two three four five six seven eight nine ten " * 3

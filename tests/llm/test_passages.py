@@ -9,22 +9,37 @@ from shiftledger.llm import passages
 SF = "/root/testdata/sf0.01"
 
 
-def brute(texts, least=passages.LEAST):
-    """Words to remove per text: those of stretches with an earlier occurrence that does not overlap them."""
-    first, gone = {}, {}
+def stretches(texts, least):
+    """Per text: first word of each run of ``least`` words that has an earlier place (id, word) elsewhere."""
+    first, found = {}, {}
     for doc, text in sorted(texts.items()):
         words = (text or "").split()
-        gone[doc] = set()
+        found[doc] = []
         for k in range(len(words) - least + 1):
             at = first.setdefault(tuple(words[k : k + least]), (doc, k))
-            if at[0] != doc or k >= at[1] + least:
-                gone[doc] |= set(range(k, k + least))
-    return gone
+            if at != (doc, k):
+                found[doc].append(k)
+    return found
 
 
-def got(docs):
-    left = {r["doc_id"]: (r["text"] or "").split() for r in passages.without_passages(docs).collect()}
-    return left, passages.repeated_passages(docs).collect()
+def check(texts, rows):
+    """Each window that repeats holds a removed piece, and each removed span consists of runs that stand earlier."""
+    removed = {}
+    for r in rows:
+        if r["removed"]:
+            text = texts[r["doc_id"]]
+            first = len(text[: r["start"]].split())
+            count = len(text[r["start"] : r["start"] + r["n_chars"]].split())
+            assert count >= passages.PIECE
+            removed.setdefault(r["doc_id"], set()).update(range(first, first + count))
+    short = stretches(texts, passages.PIECE)
+    for doc, gone in removed.items():
+        assert gone <= {w for k in short[doc] for w in range(k, k + passages.PIECE)}
+    for doc, starts in stretches(texts, passages.WINDOW).items():
+        for k in starts:
+            inside = removed.get(doc, set()) & set(range(k, k + passages.WINDOW))
+            assert len(inside) >= passages.PIECE, (doc, k)
+    return removed
 
 
 def test_passages_in_lines_of_any_length(spark):
@@ -35,25 +50,26 @@ def test_passages_in_lines_of_any_length(spark):
         1: " ".join(own("a", 25) + passage[:15]) + "\n" + " ".join(passage[15:] + own("b", 6)) + "\n" + " ".join(own("c", 30) + other),
         2: "é " + " ".join(own("d", 30) + passage + own("e", 40)),
         3: " ".join(own("f", 12)) + "\n" + broken + "\n" + " ".join(own("g", 12)),
-        4: " ".join(own("h", 30) + passage[:49] + own("i", 30)),
-        5: "wort " * 400, 6: None, 7: "",
+        4: " ".join(own("h", 30) + passage[:19] + own("i", 30)),
+        5: "wort " * 400, 6: None, 7: "", 8: " ".join(own("k", 39)),
     }
     docs = spark.createDataFrame(sorted(texts.items()), "doc_id LONG, text STRING")
-    left, rows = got(docs)
-    gone = brute(texts)
-    assert [len(gone[i]) for i in (1, 2, 3, 4, 5)] == [0, 54, 60, 0, 350]
-    for doc, text in texts.items():
-        assert left[doc] == [w for k, w in enumerate((text or "").split()) if k not in gone[doc]]
-    found = {r["doc_id"]: texts[r["doc_id"]][r["start"] : r["start"] + r["n_chars"]].split() for r in rows}
-    assert found == {2: passage, 3: other, 5: ["wort"] * 350}
-    assert {(r["doc_id"], r["n_words"], r["first_doc_id"]) for r in rows} == {(2, 54, 1), (3, 60, 1), (5, 350, 5)}
-    assert all(texts[1][r["first_start"] :].startswith(found[r["doc_id"]][0]) for r in rows if r["first_doc_id"] == 1)
+    rows = passages.repeated_passages(docs).collect()
+    removed = check(texts, rows)
+    assert set(removed) == {2, 3, 5}
+    assert {r["doc_id"] for r in rows} == {1, 2, 3, 5} and {r["class_doc_id"] for r in rows} == {1, 5}
+    left = {r["doc_id"]: (r["text"] or "").split() for r in passages.without_passages(docs).collect()}
+    assert left == {d: [w for k, w in enumerate((t or "").split()) if k not in removed.get(d, ())] for d, t in texts.items()}
 
 
-def test_ids_that_repeat_or_lack(spark):
+def test_ids_that_repeat_or_lack_and_names_that_clash(spark):
     text = " ".join(f"t{i}" for i in range(70))
-    docs = spark.createDataFrame([(None, text), (None, text), (3, text), (3, "x " + text)], "doc_id LONG, text STRING")
-    assert sorted(len((r["text"] or "").split()) for r in passages.without_passages(docs).collect()) == [0, 0, 1, 70]
+    data = [(None, text, 1, 2), (None, text, 1, 2), (3, text, 1, 2), (3, "x " + text, 1, 2)]
+    docs = spark.createDataFrame(data, "doc_id LONG, text STRING, id INT, cuts INT")
+    left = passages.without_passages(docs)
+    assert left.columns == docs.columns and left.where("id = 1 and cuts = 2").count() == 4
+    sizes = sorted(len((r["text"] or "").split()) for r in left.collect())
+    assert sizes[3] == 70 and max(sizes[:3]) < 40
     assert passages.repeated_passages(docs.limit(0)).count() == 0
 
 
@@ -61,8 +77,6 @@ def test_ids_that_repeat_or_lack(spark):
 def test_documents_against_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
-    gone = brute(texts)
-    left, rows = got(docs)
-    assert left == {d: [w for k, w in enumerate((t or "").split()) if k not in gone[d]] for d, t in texts.items()}
-    assert sum(r["n_words"] for r in rows) == sum(map(len, gone.values()))
-    assert 900 in {r["doc_id"] for r in rows if r["first_doc_id"] == 39}
+    rows = passages.repeated_passages(docs).collect()
+    check(texts, rows)
+    assert 900 in {r["doc_id"] for r in rows if r["class_doc_id"] == 39}
