@@ -5,7 +5,7 @@ training documents. The classifier is trained by follow-the-regularised-leader w
 most weights at exactly zero, on a bounded, seeded sample: at most ``SAMPLE`` documents per language. A part of that
 sample is kept from training to fit one temperature, which makes the largest class probability a usable score.
 
-Training happens in the driver on the sample's features (``SAMPLE`` documents per language, each with at most ``WIDTH``
+Training happens in the driver on the sample's features (at most ``SAMPLE`` documents per language, each with at most ``WIDTH``
 features, of their whole texts); everything else runs over all documents.
 
 Defined results: a text without letter (null and empty among them) is ``und`` with score 0; without training documents
@@ -23,15 +23,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shiftledger.llm.common import in_fold
-from shiftledger.llm.tokens import slices
+from shiftledger.llm.common import arrow_batch_bytes, in_fold, stage
+from shiftledger.llm.tokens import release_encoder, slices
 
 WIDTH = 1 << 15
-#: Bound of the training sample, documents per language; up to 1000 Spark drops others within a task, before the shuffle.
-SAMPLE = 1000
+#: Bound of the training sample, distinct documents per language, in equal parts from so many slices of a hash.
+SAMPLE = 1024
+SAMPLE_SLICES = 64
 EPOCHS = 4
 UNKNOWN = "und"
-SLICE = 1 << 20
+#: Text bytes turned into features at a time; a slice takes about a hundred times as many bytes of tables.
+SLICE = 1 << 18
+BATCH_BYTES = "4m"
 
 #: Settings of follow-the-regularised-leader: learning rate, its damping, L1 and L2 penalty.
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 0.05, 0.01
@@ -136,6 +139,7 @@ def document_frequencies(docs: DataFrame) -> tuple[int, np.ndarray]:
     """Number of documents, and in how many each feature occurs; at most WIDTH rows reach the driver."""
 
     def count(batches):
+        release_encoder()
         total = np.zeros(WIDTH + 1, dtype=np.int64)
         for whole in batches:
             for batch in slices(whole, "text", SLICE):
@@ -153,14 +157,19 @@ def document_frequencies(docs: DataFrame) -> tuple[int, np.ndarray]:
 
 
 def training_rows(training: DataFrame, sample: int) -> DataFrame:
-    """A seeded sample of at most ``sample`` documents per language: lang, features, counts of whole texts."""
-    # Ranked on ids alone; Spark keeps the first rows of each task and language before its shuffle.
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id")
-    chosen = training.select("doc_id", "lang").withColumn("_n", F.row_number().over(first)).where(f"_n <= {sample}")
-    ids = F.broadcast(chosen.select("doc_id").distinct())
-    texts = training.where("doc_id is not null").join(ids, "doc_id", "left_semi").select("lang", "text")
+    """A seeded sample of about ``sample`` documents per language, fewer where a language has few: lang, features, counts of whole texts."""
+    # Ranked on hashes alone and within slices of them, so that no language meets in one task; rows with equal id and text are one.
+    keyed = training.withColumn("key", F.xxhash64("doc_id", "text"))
+    slice_of = F.pmod(F.xxhash64("key"), F.lit(SAMPLE_SLICES))
+    first = Window.partitionBy("lang", "_slice").orderBy("key")
+    most = -(-sample // SAMPLE_SLICES)
+    ranked = keyed.groupBy("lang", "key").agg(slice_of.alias("_slice")).withColumn("_n", F.row_number().over(first))
+    chosen = ranked.where(F.col("_n") <= most).select("lang", "key")
+    # At most ``sample`` rows per language.
+    texts = keyed.join(F.broadcast(chosen), ["lang", "key"], "left_semi").select("lang", "key", "text")
 
     def featurise(batches):
+        release_encoder()
         for whole in batches:
             for batch in slices(whole, "text", SLICE):
                 features, counts, sizes = gram_features(batch.column("text"))
@@ -169,9 +178,10 @@ def training_rows(training: DataFrame, sample: int) -> DataFrame:
                     pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(v.astype("<i4"))])
                     for v in (features, counts)
                 ]
-                yield pa.RecordBatch.from_arrays([batch.column("lang"), *blobs], names=["lang", "features", "counts"])
+                yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("key"), *blobs], names=["lang", "key", "features", "counts"])
 
-    return texts.mapInArrow(featurise, "lang string, features binary, counts binary")
+    found = texts.mapInArrow(featurise, "lang string, key long, features binary, counts binary")
+    return found.groupBy("lang", "key").agg(F.any_value("features").alias("features"), F.any_value("counts").alias("counts")).drop("key")
 
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
@@ -204,6 +214,7 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",))
     """``keep``, lang_pred and score (calibrated probability of the predicted language) for every text."""
 
     def guess(batches):
+        release_encoder()
         for whole in batches:
             for batch in slices(whole, "text", SLICE):
                 texts = batch.column("text")
@@ -238,6 +249,9 @@ def recognised(docs: DataFrame, least_score: float = 0.4, sample: int = SAMPLE)
     Each row is judged by its own text; all columns are kept.
     """
     model = train(docs.where(~_held_out()), sample)
-    judged = predict(docs.withColumn("_all", F.struct(*docs.columns)), model, keep=("_all",))
-    return judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)).select("_all.*")
+    judged = predict(docs.select(F.struct("*").alias("_all"), "text"), model, keep=("_all",))
+    kept = judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)).select("_all.*")
+    # Whole rows pass through Python here, in batches bounded by bytes.
+    with arrow_batch_bytes(docs.sparkSession, BATCH_BYTES):
+        return stage(kept, "recognised")
 
