@@ -286,6 +286,15 @@ def _merged_entries(extract: str) -> str:
 
 _STATEMENTS = {
     "monthly_hours": f"SELECT {_HOURS_COLUMNS} FROM ({_report('entries_t', 'users_t', *_MONTH)})",
+    "monthly_hours_incremental": f"SELECT {_HOURS_COLUMNS} FROM ({_report('sync_t', 'users_t', *_MONTH)})",
+    "payroll_hours_incremental": f"SELECT {_HOURS_COLUMNS} FROM ({_report('sync_t', 'users_t', *_CYCLE)})",
+    "changed_hours": """
+    SELECT user_id, project_id, strftime(start_time + INTERVAL 2 HOUR, '%Y-%m') AS month,
+           strftime(start_time + INTERVAL 2 HOUR - INTERVAL 22 DAY, '%Y-%m') AS cycle, CAST(sum(sign * secs) AS BIGINT) AS seconds, CAST(sum(sign) AS BIGINT) AS n
+    FROM (SELECT user_id, project_id, start_time, secs, 1 AS sign FROM sync_t WHERE deleted_at IS NULL AND secs IS NOT NULL
+          UNION ALL
+          SELECT user_id, project_id, start_time, secs, -1 FROM stored_t WHERE deleted_at IS NULL AND secs IS NOT NULL)
+    GROUP BY ALL HAVING sum(sign * secs) <> 0 OR sum(sign) <> 0""",
     "payroll_hours": f"SELECT {_HOURS_COLUMNS} FROM ({_report('entries_t', 'users_t', *_CYCLE)})",
     "monthly_hours_lines": f"SELECT {_HOURS_COLUMNS} FROM ({_report('line_entries_t', 'line_users_t', *_MONTH)})",
     "payroll_hours_lines": f"SELECT {_HOURS_COLUMNS} FROM ({_report('line_entries_t', 'line_users_t', *_CYCLE)})",

@@ -19,6 +19,7 @@ from shiftledger.functions import cells
 from shiftledger.functions.text import number_text
 from shiftledger.operators import aggregates as ag
 from shiftledger.operators import identity, integrity, reconcile, references, reports, upsert, windows
+from shiftledger.operators import increments as inc
 from shiftledger.operators import window_sync as ws
 from shiftledger.sources import destination, extracts, lookups
 
@@ -374,6 +375,34 @@ def window_sync_stats(spark, sf):
     return _sync(spark, sf).stats
 
 
+def _kept_up(spark, sf):
+    """Sums of the stored entries, brought up to date by what the sync changes."""
+    stored = inc.usage_sums(tb.stored_entries(spark, sf))
+    return inc.added([stored, inc.changed_sums(_sync(spark, sf).merged.where("sync_changed"))])
+
+
+@query
+def monthly_hours_incremental(spark, sf):
+    rows = ag.monthly_from(_kept_up(spark, sf), tb.users(spark, sf), tb.projects(spark, sf))
+    return _real(rows.drop("raw_project_link"), "total_hours")
+
+
+@query
+def payroll_hours_incremental(spark, sf):
+    rows = ag.payroll_from(_kept_up(spark, sf), tb.users(spark, sf), tb.projects(spark, sf))
+    return _real(rows.drop("raw_project_link"), "total_hours")
+
+
+@query
+def changed_hours(spark, sf):
+    """What the sync changes in the hours of each user, project, month and cycle."""
+    sums = inc.changed_sums(_sync(spark, sf).merged.where("sync_changed"))
+    return sums.select(
+        "user_id", "project_id", F.date_format("month", "yyyy-MM").alias("month"), F.date_format("cycle", "yyyy-MM").alias("cycle"),
+        (F.col("sum_s") + F.expr("sum_us div 1000000")).alias("seconds"), "n",
+    )
+
+
 def _changes(spark, sf):
     return (
         upsert.upsert_users(_stored_users(spark, sf), _user_extract(spark, sf)).changes.withColumn("table", F.lit("users"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from shiftledger.functions.calendar import instant_literal
 from shiftledger.functions.text import stable_id
+from shiftledger.operators.increments import BEFORE, COUNTED
 from shiftledger.operators.upsert import (
     ENTRY_COLUMNS,
     UpsertedEntries,
@@ -27,7 +28,7 @@ KEPT = "kept"
 
 
 class WindowSync(NamedTuple):
-    """``merged`` is the next state plus ``sync_action`` and ``sync_changed``.
+    """``merged`` is the next state plus ``sync_action``, ``sync_changed`` and ``before``, what changed rows counted as until now.
 
     A job stages ``merged`` once and takes entries and statistics from there.
     """
@@ -117,6 +118,8 @@ def merge_window(
         )
     )
 
+    before = F.when(F.col("sync_changed"), F.struct(*COUNTED))
+
     def next_value(c: str) -> Column:
         value = F.col(c)
         if c in ENTRY_COLUMNS:
@@ -138,7 +141,7 @@ def merge_window(
             return stamp.alias(c)
         return F.lit(None).cast(entries.schema[c].dataType).alias(c)
 
-    stored = joined.select(*[next_value(c) for c in entries.columns], "sync_action", "sync_changed")
+    stored = joined.select(*[next_value(c) for c in entries.columns], "sync_action", "sync_changed", before.alias(BEFORE))
     if located:
         absent = incoming.where(known_user & F.col(STORED_DAY).isNull())
     else:
@@ -148,9 +151,16 @@ def merge_window(
         *[first_value(c) for c in entries.columns],
         F.lit(INSERTED).alias("sync_action"),
         F.lit(True).alias("sync_changed"),
+        F.lit(None).cast(stored.schema[BEFORE].dataType).alias(BEFORE),
     )
     merged = stored.unionByName(inserted)
-    return WindowSync(merged, merged.drop("sync_action", "sync_changed"), sync_stats(merged))
+    return WindowSync(merged, merged.drop("sync_action", "sync_changed", BEFORE), sync_stats(merged))
+
+
+def merge_only(entries: DataFrame, resolved: DataFrame, run_ts: datetime) -> DataFrame:
+    """Merge resolved rows without a ghost search: the next state with the columns of ``merge_window``."""
+    nobody = entries.select("user_id").limit(0)
+    return merge_window(entries, resolved, nobody, run_ts, run_ts).merged
 
 
 def sync_stats(merged: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shiftledger.operators import upsert
+from shiftledger.operators import window_sync as ws
 from shiftledger.operators.upsert import unique_rows
 from shiftledger.operators.windows import PARTITION, with_partition
 from shiftledger.sources.day_index import STORED_DAY
@@ -84,10 +85,11 @@ def affected(tables: Tables, resolved: DataFrame, start: datetime | None, run: s
 
 
 def publish_merged(tables: Tables, merged: DataFrame, found: Affected) -> None:
-    """Publish the staged next state of the affected days, and the ids that are new there or have changed their day."""
+    """Publish the staged next state of the affected days, the ids that are new there or have changed their day, and the hours
+    that changed entries take away or add."""
     day = with_partition(found.placed.where(F.col("user_id").isNotNull())).where(~F.col(PARTITION).eqNullSafe(F.col(STORED_DAY)))
     moved = day.select("source_id", F.col(PARTITION).alias("day"))
-    tables.publish_entries(merged, found.days, held=found.held, moved=moved)
+    tables.publish_entries(merged, found.days, held=found.held, moved=moved, changed=merged.where("sync_changed"))
 
 
 def merge_entries(
@@ -99,7 +101,7 @@ def merge_entries(
         tables.spark, upsert.resolve_entries(rows, tables.read("users"), tables.read("projects")), "resolved", run
     )
     found = affected(tables, resolved, None, run)
-    merged = upsert.merge_resolved(found.target.drop(PARTITION), found.placed, run_ts)
+    merged = ws.merge_only(found.target.drop(PARTITION), found.placed, run_ts)
     publish_merged(tables, stage(tables.spark, merged, "entries", run), found)
     upserted = F.count_if(F.col("user_id").isNotNull())
     return resolved.agg(

@@ -87,8 +87,8 @@ def run_reconcile(
 ) -> ReconcileResult:
     """References first, then each job: diff, inserts, updates.
 
-    The entries are read once: their hours per user, project, month and cycle
-    are staged, and names and both reports come from there. When ``send`` fails
+    Hours per user, project, month and cycle come from the stored sums, so no entry is read (with a zone or cycle day of
+    one's own the entries are, once); names and both reports come from there. When ``send`` fails
     because a linked record is gone, its link is cleared and the run ends early;
     the next run links anew. Any other error surfaces.
     """
@@ -96,7 +96,9 @@ def run_reconcile(
     spark = tables.spark
     total = dict.fromkeys(("updated", "inserted", "skipped", "missing"), 0)
     actions: dict[str, DataFrame] = {}
-    buckets = stage(spark, ag.usage_buckets(tables.read_entries(), tz, cycle_day), "buckets", run)
+    own = (tz, cycle_day) == (model.DEFAULT_TZ, model.DEFAULT_CYCLE_DAY)
+    sums = tables.read_sums() if own else ag.usage_buckets(tables.read_entries(), tz, cycle_day)
+    buckets = stage(spark, sums, "buckets", run)
     names = stage(spark, ag.active_names_of(buckets, tables.read("users"), tables.read("projects")), "names", run)
     try:
         texts = link_references(tables, destination, names, run, send)

@@ -4,20 +4,19 @@ A merge has to find the stored row of each incoming id, wherever it lies. Entrie
 every merge would scan the ids of all days. The index is cut into buckets by a hash of the id, and a lookup reads
 the buckets of its ids only: a few rejected ids or a micro-batch read a fraction of two narrow columns.
 
-Each publish adds one part with the ids that are new or have moved; of several parts the newest that has an id counts. Parts
-are merged when a newer one has grown to half the size of the one before, so there are about as many parts as the
-table has binary digits of rows, and a row is rewritten as often.
+Each publish adds one part with the ids that are new or have moved; of several parts the newest that has an id counts.
 """
 
 from __future__ import annotations
 
 from functools import reduce
-from typing import NamedTuple
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shiftledger.sources.parts import Part, to_merge
+
 BUCKET = "bucket"
 BUCKETS = 256
 ROWS_PER_FILE = 5_000_000
@@ -25,13 +24,6 @@ STORED_DAY = "stored_day"
 _SCHEMA = f"source_id STRING, day DATE, {BUCKET} INT"
 
 
-class Part(NamedTuple):
-    """One written part: its folder name and how many ids it has."""
-
-    version: str
-    rows: int
-
-
 def bucket_of(source_id: Column) -> Column:
     return F.pmod(F.xxhash64(source_id), F.lit(BUCKETS)).cast("int")
 
@@ -64,10 +56,7 @@ def add(spark: SparkSession, root: str, parts: list[Part], moved: DataFrame) ->
     rows = moved.count()
     if not rows:
         return parts
-    kept = list(parts)
-    merged: list[Part] = []
-    while kept and kept[-1].rows <= 2 * (rows + sum(p.rows for p in merged)):
-        merged.insert(0, kept.pop())
+    kept, merged = to_merge(parts, rows)
     latest = moved.select("source_id", "day")
     if merged:
         older = _pairs(spark, root, merged).select("source_id", "day", "place")

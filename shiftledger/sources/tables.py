@@ -24,16 +24,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shiftledger import model
+from shiftledger.operators import increments
 from shiftledger.operators.windows import PARTITION, with_partition
 from shiftledger.session import shared_dir
-from shiftledger.sources import day_index
-from shiftledger.sources.day_index import STORED_DAY, Part
+from shiftledger.sources import day_index, usage_sums
+from shiftledger.sources.day_index import STORED_DAY
+from shiftledger.sources.parts import Part
 
 SNAPSHOT = "snapshot"
 ROWS_PER_FILE = 5_000_000
 #: Seconds after which a publish that has not ended counts as dead.
 LEASE = 3600
-_MANIFEST = "day DATE, version STRING, place INT, rows LONG"
+#: Rows without a kind are from before there were kinds: days.
+_MANIFEST = "kind STRING, day DATE, version STRING, place INT, rows LONG"
 _SCHEMAS = {"users": model.USERS, "clients": model.CLIENTS, "projects": model.PROJECTS}
 
 
@@ -54,11 +57,12 @@ class PublishConflict(RuntimeError):
 
 
 class Held(NamedTuple):
-    """A state of the entries: the manifest's number, the version that holds each day, the parts of the day index."""
+    """A state of the entries: the manifest's number, the version that holds each day, the parts of the day index and of the sums."""
 
     number: int
     days: dict[date, str]
     index: list[Part]
+    sums: list[Part]
 
 
 class Tables:
@@ -115,11 +119,15 @@ class Tables:
         path = f"{self.root}/entries_manifest"
         found = self._newest(path)
         if found is None:
-            return Held(-1, {}, [])
+            return Held(-1, {}, [], [])
         rows = self.spark.read.schema(_MANIFEST).parquet(f"{path}/{SNAPSHOT}={found}").collect()
-        parts = sorted((r["place"], r["version"], r["rows"]) for r in rows if r["day"] is None)
+
+        def parts(kind: str) -> list[Part]:
+            found = sorted((r["place"], r["version"], r["rows"]) for r in rows if r["kind"] == kind)
+            return [Part(version, n) for _, version, n in found]
+
         days = {r["day"]: r["version"] for r in rows if r["day"] is not None}
-        return Held(int(found), days, [Part(version, n) for _, version, n in parts])
+        return Held(int(found), days, parts("index"), parts("sums"))
 
     def read_entries(self, held: Held | None = None) -> DataFrame:
         """Stored entries with the partition column; empty before the first publish."""
@@ -140,6 +148,14 @@ class Tables:
         stored = self.read_entries(held).select("source_id", F.col(PARTITION).alias(STORED_DAY))
         return stored.join(ids.select("source_id"), "source_id", "left_semi")
 
+    def read_sums(self, held: Held | None = None) -> DataFrame:
+        """Hours by user, project, month and cycle of all stored entries, from the stored sums."""
+        held = held or self.held()
+        if held.sums or not held.days:
+            return usage_sums.read(self.spark, f"{self.root}/usage_sums", held.sums)
+        # A store from before the sums.
+        return increments.usage_sums(self.read_entries(held))
+
     def days_of(self, placed: DataFrame, held: Held, start: datetime | None) -> list[date]:
         """Partitions a merge can touch: days of incoming rows, days where an incoming id is stored now (an edit may
         move an entry), and stored days of the ghost window.
@@ -161,13 +177,15 @@ class Tables:
         rows_per_file: int = ROWS_PER_FILE,
         held: Held | None = None,
         moved: DataFrame | None = None,
+        changed: DataFrame | None = None,
     ) -> None:
         """Replace ``days`` by the staged rows, which are their complete next state.
 
         Each day is cut into slices by a hash of the id, one file per slice: no
         tiny files, and a day holding a large part of all rows is many tasks.
         ``held`` is the state the rows were computed from; if another run has published since, ``PublishConflict`` is raised
-        and nothing changes. ``moved`` are the ids that are new or have changed their day (source_id, day); by default all.
+        and nothing changes. ``moved`` are the ids that are new or have changed their day (source_id, day), ``changed`` the changed
+        entries with their state ``before``; without them both are found from the days' stored rows.
         """
         held = held or self.held()
         columns = [f.name for f in model.ENTRIES.fields]
@@ -187,18 +205,40 @@ class Tables:
                 .write.partitionBy(PARTITION)
                 .parquet(f"{self.root}/entries/version={version}")
             )
-            if moved is None or (held.days and not held.index):
-                unchanged = self.read_entries(held).where(~F.col(PARTITION).isin(days)) if held.days and not held.index else rows.limit(0)
-                moved = rows.select("source_id", PARTITION).unionByName(unchanged.select("source_id", PARTITION))
-                moved = moved.select("source_id", F.col(PARTITION).alias("day"))
-            index = day_index.add(self.spark, f"{self.root}/entries_index", held.index, moved)
+            index = day_index.add(self.spark, f"{self.root}/entries_index", held.index, self._moved(rows, days, held, moved))
+            sums = usage_sums.add(self.spark, f"{self.root}/usage_sums", held.sums, self._changes(rows, days, held, changed, version))
             now = {day: v for day, v in held.days.items() if day not in set(days)} | {day: version for day in filled}
-            rows_now = self._manifest_rows(Held(held.number + 1, now, index))
+            rows_now = self._manifest_rows(Held(held.number + 1, now, index, sums))
             rows_now.coalesce(1).write.parquet(f"{self.root}/entries_manifest/{SNAPSHOT}={held.number + 1:012d}")
 
+    def _moved(self, rows: DataFrame, days: list[date], held: Held, moved: DataFrame | None) -> DataFrame:
+        """What the day index has to learn (source_id, day)."""
+        if moved is not None and (held.index or not held.days):
+            return moved
+        unknown = rows.select("source_id", F.col(PARTITION).alias("day"))
+        if held.days and not held.index:
+            # A store from before the index: all of it is new to the index.
+            rest = self.read_entries(held).where(~F.col(PARTITION).isin(days))
+            unknown = unknown.unionByName(rest.select("source_id", F.col(PARTITION).alias("day")))
+        return unknown
+
+    def _changes(self, rows: DataFrame, days: list[date], held: Held, changed: DataFrame | None, run: str) -> DataFrame:
+        """Signed sums that the stored sums have to take up, staged."""
+        if held.days and not held.sums:
+            rest = self.read_entries(held).where(~F.col(PARTITION).isin(days)).select(increments.COUNTED)
+            sums = increments.usage_sums(rest.unionByName(rows.select(increments.COUNTED)))
+        elif changed is not None:
+            sums = increments.changed_sums(changed)
+        else:
+            gone = increments.usage_sums(self.read_entries(held).where(F.col(PARTITION).isin(days)))
+            less = gone.select(*increments.KEYS, *[(-F.col(c)).alias(c) for c in ("sum_s", "sum_us", "n")])
+            sums = increments.added([increments.usage_sums(rows), less], drop_empty=False)
+        return stage(self.spark, sums, "sums", run)
+
     def _manifest_rows(self, held: Held) -> DataFrame:
-        days = [(day, version, None, None) for day, version in sorted(held.days.items())]
-        parts = [(None, part.version, place, part.rows) for place, part in enumerate(held.index)]
+        days = [("day", day, version, None, None) for day, version in sorted(held.days.items())]
+        kinds = (("index", held.index), ("sums", held.sums))
+        parts = [(kind, None, p.version, place, p.rows) for kind, of in kinds for place, p in enumerate(of)]
         return self.spark.createDataFrame([*days, *parts], _MANIFEST)
 
     @contextmanager
