@@ -95,6 +95,13 @@ def with_created_ids(resolved: DataFrame, scope: str) -> DataFrame:
     )
 
 
+def with_given_ids(resolved: DataFrame, receipts: DataFrame) -> DataFrame:
+    """Links of rows to be created are the ids that the destination gave them (``id``, ``given_id``)."""
+    given = receipts.select("id", "given_id")
+    link = F.when(F.col("action") == CREATE, F.col("given_id")).otherwise(F.col("link_id"))
+    return resolved.join(given, "id", "left").withColumn("link_id", link).drop("given_id")
+
+
 def write_back(table: DataFrame, resolved: DataFrame) -> DataFrame:
     """Store healed and created links."""
     links = resolved.where(F.col("link_id").isNotNull()).select("id", F.col("link_id").alias("value"))
@@ -149,6 +156,11 @@ def new_assignment_rows(missing: DataFrame) -> DataFrame:
     )
 
 
+def with_given_assignments(rows: DataFrame) -> DataFrame:
+    """New assignment rows with the ids that the destination gave them (``given_id``) for those of one's own."""
+    return rows.withColumn("assignment_id", F.col("given_id")).drop("given_id")
+
+
 def complete_assignments(index: DataFrame, created: DataFrame) -> DataFrame:
     """Index including the newly created assignments."""
     keys = ["project_link", "month_date", "assignment_id"]

@@ -25,6 +25,8 @@ UPDATED = "updated"
 INSERTED = "inserted"
 DELETED = "deleted"
 KEPT = "kept"
+#: Counts that make a run worth telling about; new clients alone do not.
+NOTEWORTHY = ("upserted", "deleted", "new_users", "renamed_users", "new_projects")
 
 
 class WindowSync(NamedTuple):
@@ -191,26 +193,43 @@ def sync_report(stats: DataFrame, changes: DataFrame, scanned_users: DataFrame)
         F.coalesce(F.sum("deleted"), F.lit(0)).alias("deleted"),
         F.coalesce(F.sum("changed"), F.lit(0)).alias("changed"),
     )
-    is_kind = [
-        ("new_users", "users", "added"),
-        ("renamed_users", "users", "renamed"),
-        ("new_projects", "projects", "added"),
-        ("new_clients", "clients", "added"),
-    ]
-    counts = changes.agg(
-        *[F.count_if((F.col("table") == t) & (F.col("kind") == k)).alias(n) for n, t, k in is_kind]
-    )
+    counts = changes.agg(*change_counts())
     scanned = scanned_users.agg(F.countDistinct("user_id").alias("users_scanned"))
     # Three one-row tables as one: stacked, then the one value of each column.
     stacked = totals.unionByName(counts, allowMissingColumns=True).unionByName(scanned, allowMissingColumns=True)
     report = stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
-    noteworthy = ["upserted", "deleted", "new_users", "renamed_users", "new_projects"]
     has_changes = F.lit(False)
-    for c in noteworthy:
+    for c in NOTEWORTHY:
         has_changes = has_changes | (F.col(c) > 0)
     return report.withColumn("synced", F.col("upserted") + F.col("deleted")).withColumn("has_changes", has_changes)
 
 
+def totals_report(counts: dict[str, int]) -> dict:
+    """The same report from figures that were taken while the rows were written."""
+    return {**counts, "synced": counts["upserted"] + counts["deleted"], "has_changes": any(counts[c] > 0 for c in NOTEWORTHY)}
+
+
+def sync_totals() -> dict[str, Column]:
+    """Totals of merged rows, to be taken while they are written."""
+    action = F.col("sync_action")
+    return {
+        "upserted": F.count_if(action.isin(UPDATED, INSERTED)),
+        "deleted": F.count_if(action == DELETED),
+        "changed": F.count_if("sync_changed"),
+    }
+
+
+def change_counts() -> list[Column]:
+    """Numbers of reference changes by kind."""
+    is_kind = [
+        ("new_users", "users", "added"),
+        ("renamed_users", "users", "renamed"),
+        ("new_projects", "projects", "added"),
+        ("new_clients", "clients", "added"),
+    ]
+    return [F.count_if((F.col("table") == t) & (F.col("kind") == k)).alias(n) for n, t, k in is_kind]
+
+
 def backfill(
     entries: DataFrame,
     extract: DataFrame,

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from shiftledger.model import DEFAULT_BACKFILL_START
 from shiftledger.operators.windows import within
 from shiftledger.plans.common import Extracts, RunFailed, merge_entries, merge_references, run_id
+from shiftledger.plans.runs import recorded
 from shiftledger.sources.extracts import split_failed_users
 from shiftledger.sources.lookups import users_by_source_id
-from shiftledger.sources.tables import Tables, stage
+from shiftledger.sources.tables import Tables, stage, stage_counted
 
 
 def parse_start(start: str | None) -> datetime:
@@ -38,17 +39,27 @@ def run_backfill(
     if user_source_id is not None and not isinstance(user_source_id, str):
         raise ValueError("user_source_id must be text")
     run = run_id(run_ts, "0-backfill")
+    counts: dict = {"start": since, "user": user_source_id}
+    with recorded(tables, "backfill", run, run_ts, counts):
+        return _backfill(tables, extracts, run_ts, since, user_source_id, run, counts)
+
+
+def _backfill(
+    tables: Tables, extracts: Extracts, run_ts: datetime, since: datetime, user_source_id: str | None, run: str, counts: dict
+) -> dict[str, int]:
     merge_references(tables, extracts, run, run_ts)
     wanted = users_by_source_id(tables.read("users"), user_source_id)
     if wanted.isEmpty():
         raise RunFailed(f"no stored user matches {user_source_id or 'the backfill'}")
 
-    failed = stage(tables.spark, split_failed_users(extracts.entries), "failed_users", run)
+    failed, broken = stage_counted(
+        tables.spark, split_failed_users(extracts.entries), "failed_users", run, people=F.count(F.lit(1))
+    )
     rows = within(extracts.entries.valid, since).join(failed, "user_source_id", "left_anti")
     if user_source_id is not None:
         rows = rows.where(F.col("user_source_id") == user_source_id)
-    counts = merge_entries(tables, stage(tables.spark, rows, "extract_entries", run), run, run_ts)
-    broken = failed.count()
-    if broken:
-        raise RunFailed(f"{broken} people have unreadable entries and were left as they are")
-    return counts
+    done = merge_entries(tables, stage(tables.spark, rows, "extract_entries", run), run, run_ts)
+    counts |= done
+    if broken["people"]:
+        raise RunFailed(f"{broken['people']} people have unreadable entries and were left as they are")
+    return done

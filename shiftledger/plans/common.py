@@ -12,13 +12,13 @@ from shiftledger.operators import upsert
 from shiftledger.operators import window_sync as ws
 from shiftledger.operators.upsert import unique_rows
 from shiftledger.operators.windows import PARTITION, with_partition
+from shiftledger.plans.runs import RunFailed
 from shiftledger.sources.day_index import STORED_DAY
 from shiftledger.sources.extracts import Validated, require_clean
-from shiftledger.sources.tables import Held, Tables, stage
+from shiftledger.sources.tables import Held, Tables, stage, stage_counted
 
 
-class RunFailed(RuntimeError):
-    """A run wrote what it could, but some users failed."""
+__all__ = ["Affected", "Extracts", "RunFailed", "affected", "merge_entries", "merge_references", "publish_merged", "run_id"]
 
 
 class Extracts(NamedTuple):
@@ -97,13 +97,15 @@ def merge_entries(
 ) -> dict[str, int]:
     """Upsert a staged extract, without a ghost pass; counts of the merge."""
     rows = unique_rows(extract, "source_id", order_by)
-    resolved = stage(
-        tables.spark, upsert.resolve_entries(rows, tables.read("users"), tables.read("projects")), "resolved", run
+    resolved, counts = stage_counted(
+        tables.spark,
+        upsert.resolve_entries(rows, tables.read("users"), tables.read("projects")),
+        "resolved",
+        run,
+        upserted=F.count_if(F.col("user_id").isNotNull()),
+        skipped=F.count_if(F.col("user_id").isNull()),
     )
     found = affected(tables, resolved, None, run)
     merged = ws.merge_only(found.target.drop(PARTITION), found.placed, run_ts)
     publish_merged(tables, stage(tables.spark, merged, "entries", run), found)
-    upserted = F.count_if(F.col("user_id").isNotNull())
-    return resolved.agg(
-        upserted.alias("upserted"), F.count_if(F.col("user_id").isNull()).alias("skipped")
-    ).first().asDict()
+    return counts

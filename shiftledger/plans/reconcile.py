@@ -16,6 +16,8 @@ from shiftledger.operators import references as rf
 from shiftledger.operators import reports
 from shiftledger.operators.upsert import clear_dead_links
 from shiftledger.plans.common import run_id
+from shiftledger.plans.runs import innermost, recorded
+from shiftledger.sources.outbox import Create, Outbox
 from shiftledger.sources.tables import Tables, stage
 
 # send(table, kind, rows): deliver one staged set of actions; kind is
@@ -44,17 +46,30 @@ class ReconcileResult(NamedTuple):
 
 
 def link_references(
-    tables: Tables, destination: Destination, names: DataFrame, run: str, send: Sender | None = None
+    tables: Tables,
+    destination: Destination,
+    names: DataFrame,
+    run: str,
+    send: Sender | None = None,
+    create: Create | None = None,
 ) -> DataFrame:
     """Give every active user, then project, then client a link.
 
-    Created rows get a replayable id and are handed to ``send``. Returns report rows.
+    Rows to be created are asked of ``create``, whose ids are stored; without it they get a replayable id and are
+    handed to ``send``. Returns report rows.
     """
     spark = tables.spark
 
     def settle(name: str, missing: DataFrame, records: DataFrame) -> DataFrame:
-        resolved = stage(spark, rf.with_created_ids(rf.resolve_links(missing, records), name), f"links_{name}", run)
-        if send is not None:
+        found = rf.resolve_links(missing, records)
+        if create is not None:
+            found = stage(spark, found, f"resolved_{name}", run)
+            wanted = found.where(F.col("action") == rf.CREATE).select("id", "name")
+            receipts = Outbox(spark, f"{tables.root}/outbox").deliver(wanted, ["id"], name, run, create)
+            resolved = stage(spark, rf.with_given_ids(found, receipts), f"links_{name}", run)
+        else:
+            resolved = stage(spark, rf.with_created_ids(found, name), f"links_{name}", run)
+        if create is None and send is not None:
             send(name, "create", resolved.where(F.col("action") == rf.CREATE).select("link_id", "name"))
         tables.publish(name, rf.write_back(tables.read(name), resolved), run)
         return reports.conflict_rows(resolved).unionByName(reports.heal_rows(resolved, name))
@@ -84,24 +99,42 @@ def run_reconcile(
     cycle_day: int = model.DEFAULT_CYCLE_DAY,
     send: Sender | None = None,
     tolerance: float = model.TOLERANCE,
+    create: Create | None = None,
 ) -> ReconcileResult:
     """References first, then each job: diff, inserts, updates.
 
     Hours per user, project, month and cycle come from the stored sums, so no entry is read (with a zone or cycle day of
     one's own the entries are, once); names and both reports come from there. When ``send`` fails
     because a linked record is gone, its link is cleared and the run ends early;
-    the next run links anew. Any other error surfaces.
+    the next run links anew. Any other error surfaces. With ``create``, rows to be created are asked of it and the ids it gives
+    are stored. Each run leaves a row of its outcome and duration.
     """
     run = run_id(run_ts, "2-reconcile")
-    spark = tables.spark
     total = dict.fromkeys(("updated", "inserted", "skipped", "missing"), 0)
+    with recorded(tables, "reconcile", run, run_ts, total):
+        return _reconcile(tables, destination, run_ts, tz, cycle_day, send, tolerance, create, run, total)
+
+
+def _reconcile(
+    tables: Tables,
+    destination: Destination,
+    run_ts: datetime,
+    tz: str,
+    cycle_day: int,
+    send: Sender | None,
+    tolerance: float,
+    create: Create | None,
+    run: str,
+    total: dict[str, int],
+) -> ReconcileResult:
+    spark = tables.spark
     actions: dict[str, DataFrame] = {}
     own = (tz, cycle_day) == (model.DEFAULT_TZ, model.DEFAULT_CYCLE_DAY)
     sums = tables.read_sums() if own else ag.usage_buckets(tables.read_entries(), tz, cycle_day)
     buckets = stage(spark, sums, "buckets", run)
     names = stage(spark, ag.active_names_of(buckets, tables.read("users"), tables.read("projects")), "names", run)
     try:
-        texts = link_references(tables, destination, names, run, send)
+        texts = link_references(tables, destination, names, run, send, create)
         users, projects = tables.read("users"), tables.read("projects")
         for job in model.RECONCILE_JOBS:
             if job.source == "monthly":
@@ -111,7 +144,8 @@ def run_reconcile(
             source = stage(spark, report, f"source_{job.source}", run)
             index = None
             if job.strategy == model.ASSIGNMENT:
-                index = _complete_index(tables, destination, source, run, send if job.allow_inserts else None)
+                makers = (send, create) if job.allow_inserts else (None, None)
+                index = _complete_index(tables, destination, source, run, *makers)
             typed = rc.destination_cells(destination.records[job.strategy], job.strategy)
             cells = stage(spark, typed, f"cells_{job.source}", run)
             diff = rc.diff_of_cells(source, cells, job.strategy, index, job.allow_inserts, tolerance)
@@ -122,7 +156,7 @@ def run_reconcile(
             for key, value in rc.diff_stats(done).first().asDict().items():
                 total[key] += value
     except Exception as error:
-        healed = heal_dead_links(tables, str(error), run_ts)
+        healed = heal_dead_links(tables, innermost(error), run_ts)
         if healed is None:
             raise
         return ReconcileResult(total, actions, healed, True)
@@ -130,13 +164,16 @@ def run_reconcile(
 
 
 def _complete_index(
-    tables: Tables, destination: Destination, source: DataFrame, run: str, send: Sender | None
+    tables: Tables, destination: Destination, source: DataFrame, run: str, send: Sender | None, create: Create | None
 ) -> DataFrame:
     cells = rc.destination_cells(destination.project_assignments, model.PROJECT_ASSIGNMENT)
     index = stage(tables.spark, rf.assignment_index(cells), "assignment_index", run)
-    created = stage(
-        tables.spark, rf.new_assignment_rows(rf.missing_assignments(source, index)), "new_assignments", run
-    )
+    wanted = rf.new_assignment_rows(rf.missing_assignments(source, index))
+    if create is not None:
+        keys = ["project_link", "month_date"]
+        asked = Outbox(tables.spark, f"{tables.root}/outbox").deliver(wanted, keys, "project_assignments", run, create)
+        return rf.complete_assignments(index, stage(tables.spark, rf.with_given_assignments(asked), "new_assignments", run))
+    created = stage(tables.spark, wanted, "new_assignments", run)
     if send is not None:
         send("project_assignments", "create", created)
     return rf.complete_assignments(index, created)
@@ -161,15 +198,19 @@ def _deliver(spark, job: model.ReconcileJob, actions: DataFrame, run: str, send:
 def heal_dead_links(tables: Tables, message: str, run_ts: datetime) -> DataFrame | None:
     """Clear the link an error message names from all tables.
 
-    Returns the report rows, or None when the message is of another kind.
+    Returns the report rows, or None when the message is of another kind or names an id that nobody stores.
     """
     spark = tables.spark
     run = run_id(run_ts, "3-heal")
     dead = rc.extract_dead_links(spark.createDataFrame([(message,)], "message STRING")).where(
         F.col("link_id").isNotNull()
     )
+    links = [tables.read(name).select("link_id") for name in ("users", "projects", "clients")]
+    stored = links[0].unionByName(links[1]).unionByName(links[2])
+    dead = dead.join(stored, "link_id", "left_semi")
     if dead.isEmpty():
         return None
+    dead = stage(spark, dead, "dead_links", run)
     for name in ("users", "projects", "clients"):
         tables.publish(name, clear_dead_links(tables.read(name), dead), run)
     return reports.dead_link_rows(dead)

@@ -17,7 +17,8 @@ from shiftledger.operators.windows import PARTITION
 from shiftledger.plans.common import Extracts, RunFailed, affected, merge_references, publish_merged, run_id
 from shiftledger.sources.day_index import STORED_DAY
 from shiftledger.sources.extracts import rejected_ids, split_failed_users
-from shiftledger.sources.tables import Tables, stage
+from shiftledger.plans.runs import recorded
+from shiftledger.sources.tables import Tables, stage, stage_counted
 
 
 class SyncResult(NamedTuple):
@@ -67,39 +68,56 @@ def run_sync(
 
     Users with an invalid entry are left as they are (neither merged nor
     searched for ghosts); everybody else is written, and then the run fails, so
-    ``downstream`` is not called. It is called only when something was merged.
+    ``downstream`` is not called. It is called only when something was merged. Totals are taken while the merged rows are
+    written; per-user figures are computed when ``stats`` is read. Each run leaves a row of its outcome and duration.
     """
     window, mode = model.lookback_window(lookback_days)
-    start = lookback_start(run_ts, window)
     run = run_id(run_ts, "1-sync")
-    spark = tables.spark
+    counts: dict = {"mode": mode}
+    with recorded(tables, "sync", run, run_ts, counts):
+        return _sync(tables, extracts, run_ts, lookback_start(run_ts, window), mode, run, counts, downstream)
+
 
+def _sync(
+    tables: Tables,
+    extracts: Extracts,
+    run_ts: datetime,
+    start: datetime,
+    mode: str,
+    run: str,
+    counts: dict,
+    downstream: Callable[[], object] | None,
+) -> SyncResult:
+    spark = tables.spark
     changes = merge_references(tables, extracts, run, run_ts)
     users, projects = tables.read("users"), tables.read("projects")
 
-    failed = stage(spark, split_failed_users(extracts.entries), "failed_users", run)
+    failed, broken = stage_counted(spark, split_failed_users(extracts.entries), "failed_users", run, people=F.count(F.lit(1)))
     extract = windows.within(extracts.entries.valid, start).join(failed, "user_source_id", "left_anti")
     rejected = stage(spark, rejected_ids(extracts.entries), "rejected_ids", run)
-    scanned = stage(spark, _searchable(tables, extracts, users, failed, rejected), "scanned", run)
+    searched = _searchable(tables, extracts, users, failed, rejected).distinct()
+    scanned, looked_at = stage_counted(spark, searched, "scanned", run, users_scanned=F.count("user_id"))
 
     resolved = stage(
         spark, upsert.resolve_entries(upsert.unique_rows(extract, "source_id"), users, projects), "resolved", run
     )
     found = affected(tables, resolved, start, run)
     sync = ws.merge_window(found.target.drop(PARTITION), found.placed, scanned, start, run_ts)
-    merged = stage(spark, sync.merged, "entries", run)
+    merged, written = stage_counted(spark, sync.merged, "entries", run, **ws.sync_totals())
     publish_merged(tables, merged, found)
 
-    stats = stage(spark, ws.sync_stats(merged), "stats", run)
-    summary = stage(spark, ws.sync_report(stats, changes, scanned), "report", run)
-    report = summary.first().asDict()
-
-    broken = failed.count()
-    if broken:
-        raise RunFailed(f"{broken} people have unreadable entries and were left as they are")
+    report = ws.totals_report(written | looked_at | changes_of(changes))
+    counts |= report
+    if broken["people"]:
+        raise RunFailed(f"{broken['people']} people have unreadable entries and were left as they are")
     if report["synced"] > 0 and downstream is not None:
         downstream()
     # Only the long look-back is an audit worth telling about.
     noteworthy = mode == model.DEEP and report["has_changes"]
-    text = reports.sync_report_rows(summary, changes) if noteworthy else None
-    return SyncResult(mode, report, stats, changes, text)
+    text = reports.sync_report_rows(spark.createDataFrame([report]), changes) if noteworthy else None
+    return SyncResult(mode, report, ws.sync_stats(merged), changes, text)
+
+
+def changes_of(changes: DataFrame) -> dict[str, int]:
+    """Numbers of added and renamed references; one row of a small table."""
+    return changes.agg(*ws.change_counts()).first().asDict()

@@ -20,7 +20,7 @@ from datetime import UTC, date, datetime
 from typing import NamedTuple
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shiftledger import model
@@ -52,6 +52,14 @@ def stage(spark: SparkSession, df: DataFrame, name: str, run_id: str) -> DataFra
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_counted(spark: SparkSession, df: DataFrame, name: str, run_id: str, **figures: Column) -> tuple[DataFrame, dict]:
+    """Like ``stage``, with figures (aggregates) of the rows taken while they are written: no further job, no further scan."""
+    watch = Observation()
+    staged = stage(spark, df.observe(watch, *[f.alias(k) for k, f in figures.items()]), name, run_id)
+    # A plan without rows may end without figures.
+    return staged, {k: 0 for k in figures} | watch.get
+
+
 class PublishConflict(RuntimeError):
     """Another run has published since the state that a publish builds on."""
 

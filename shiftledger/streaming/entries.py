@@ -11,13 +11,14 @@ from collections.abc import Callable
 from datetime import UTC, datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shiftledger import model
 from shiftledger.operators.upsert import unique_rows
 from shiftledger.plans.common import RunFailed, merge_entries, run_id
+from shiftledger.plans.runs import recorded
 from shiftledger.sources.extracts import CORRUPT, QUARANTINE, check_entries
 from shiftledger.sources.tables import Tables, stage
 
@@ -40,8 +41,8 @@ def read_entry_stream(spark: SparkSession, path: str, files_per_batch: int | Non
 
 def merge_batch(
     tables: Tables, batch: DataFrame, batch_id: int, clock: Callable[[], datetime], rejected_path: str
-) -> None:
-    """Merge one micro-batch: last arrival per id wins.
+) -> int:
+    """Merge one micro-batch: last arrival per id wins. Returns how many rows were set aside.
 
     Repeating a batch changes nothing: the merge is by key, and staged data and
     rejected rows are written under the batch id.
@@ -51,11 +52,14 @@ def merge_batch(
     raw = stage(tables.spark, batch, "raw", run)
     json_fine = {"json": F.col(CORRUPT).isNull()}
     checked = check_entries(raw, QUARANTINE, json_fine, keep=(ARRIVAL,))
-    checked.rejected.write.mode("overwrite").parquet(f"{rejected_path}/batch={batch_id}")
+    watch = Observation()
+    rejected = checked.rejected.observe(watch, F.count(F.lit(1)).alias("rows"))
+    rejected.write.mode("overwrite").parquet(f"{rejected_path}/batch={batch_id}")
     last = unique_rows(checked.valid, "source_id", F.col(ARRIVAL)).drop(ARRIVAL)
     extract = stage(tables.spark, last, "extract", run)
     if not extract.isEmpty():
         merge_entries(tables, extract, f"{run}-{run_id(run_ts, 'merge')}", run_ts)
+    return watch.get.get("rows", 0)
 
 
 def _batch_time(spark: SparkSession, path: str, clock: Callable[[], datetime]) -> datetime:
@@ -83,16 +87,46 @@ def start_entry_sync(
     checkpoint: str,
     rejected_path: str,
     clock: Callable[[], datetime] = lambda: datetime.now(UTC),
+    merged: Callable[[int, int], None] = lambda batch_id, rejected: None,
 ) -> StreamingQuery:
-    """Merge everything that has arrived, then stop; run it from any scheduler."""
+    """Merge everything that has arrived, then stop; ``run_entry_sync`` also waits and fails after rejects.
+
+    ``merged`` is told of each batch and how many of its rows were set aside.
+    """
     return (
         stream.writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .foreachBatch(lambda batch, batch_id: merge_batch(tables, batch, batch_id, clock, rejected_path))
+        .foreachBatch(lambda batch, batch_id: merged(batch_id, merge_batch(tables, batch, batch_id, clock, rejected_path)))
         .start()
     )
 
 
+def run_entry_sync(
+    stream: DataFrame,
+    tables: Tables,
+    checkpoint: str,
+    rejected_path: str,
+    clock: Callable[[], datetime] = lambda: datetime.now(UTC),
+) -> None:
+    """Merge everything that has arrived; run it from any scheduler.
+
+    Rows that can be read are merged whatever else is in a batch; the run then ends in ``RunFailed`` if it has set any row
+    aside, and leaves a row of its outcome.
+    """
+    began = clock()
+    run = run_id(began, "stream")
+    counts = {"batches": 0, "rejected": 0}
+
+    def merged(batch_id: int, rejected: int) -> None:
+        counts["batches"] += 1
+        counts["rejected"] += rejected
+
+    with recorded(tables, "stream", run, began, counts):
+        start_entry_sync(stream, tables, checkpoint, rejected_path, clock, merged).awaitTermination()
+        if counts["rejected"]:
+            raise RunFailed(f"{counts['rejected']} unreadable rows were set aside in {rejected_path}")
+
+
 def drop_repeats(stream: DataFrame, delay: str, time_col: str = "start_time") -> DataFrame:
     """First sight of each id, for feeds that only ever repeat rows.
 
