@@ -93,7 +93,7 @@ def exact_groups(
     docs = docs.select("doc_id", "text", (F.col(number) if number else F.monotonically_increasing_id()).alias("row"))
     locator = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
     # The row number is fixed by writing it; everything below reads it from there.
-    rows = docs.select("doc_id", digest(normalised()).alias("digest")).select("digest", locator.alias("locator"))
+    rows = docs.select("doc_id", "row", digest(normalised()).alias("digest")).select("digest", locator.alias("locator"))
     source = scratch(spark, "digests")
     rows.write.option("compression", "zstd").parquet(source)
     stored = spark.read.schema(rows.schema).parquet(source)

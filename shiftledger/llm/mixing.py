@@ -174,9 +174,10 @@ def _parts(rows: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, cap: float = 2.0, seed: int = 7) -> DataFrame:
     """Add size, source_size, target and times (how often the mix takes the document) to documents.
 
-    Needs doc_id, text and source; keeps ``docs``' columns that are not among those it adds.
+    Needs doc_id, text and source; keeps ``docs``' columns but those it adds and a few names of its own.
     """
-    kept = [c for c in docs.columns if c not in ("size", "source_size", "target", "times")]
+    own = ("size", "source_size", "target", "times", "key", "n", "sure", "more", "_rank")
+    kept = [c for c in docs.columns if c not in own]
     rows = _numbered(docs)
     times = taken_times(sized(_parts(rows)), weights, share, cap, seed).drop("doc_id")
     return rows.join(times, "number").select(*[F.col("row")[c].alias(c) for c in kept], "size", "source_size", "target", "times")

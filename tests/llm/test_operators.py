@@ -49,12 +49,62 @@ def test_encoder_equals_the_library(name):
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(tokens.tokenizer_path(name))
-    plain.encode_special_tokens = True
     texts = [r[1] or "" for r in edge_rows()] + ["a  ", " a", "\n  b", "İ ΣΑΣ é", "<|endoftext|> x", "a\x1cb c", " ́b"]
-    ids, counts = tokens.Encoder(tokens.tokenizer_path(name), most=3).encode(pa.array(texts))
-    assert np.split(ids, np.cumsum(counts)[:-1])[0].tolist() == []
-    got = [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
-    assert got == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    texts += ["x <|endoftext|> y <|startoftext|>", "<|ENDOFTEXT|>", "foo<|endof", "text|>", "a\n\nb", "a\nb\n", "don't. DON'TS 'tis x's'", "3.5 5'6 a,b;c"]
+    texts += [" x \ny", "x\n y", "tab\t.x\r\ny", "a.\n.b", "x\u00a0y.", "a\u3000.b", " .\n ,", "日本。a.b\nc", "\n", "\nb", "e\u0301.", "a" * 5000 + "." * 5000]
+    for most in (3, 20, 1000):
+        encoder = tokens.Encoder(tokens.tokenizer_path(name), most)
+        for portion in (texts, texts[5:], texts[::-1]):
+            ids, counts = encoder.encode(pa.array(portion))
+            got = [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
+            assert got == [plain.encode(t, add_special_tokens=False).ids for t in portion]
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="benchmark tables not present")
+def test_whole_queries_equal_the_library(spark):
+    from tokenizers import Tokenizer
+
+    docs = sorted((r["doc_id"], r["text"] or "") for r in spark.read.parquet(f"{SF}/documents.parquet").collect())
+    crc = lambda ids: zlib.crc32(np.asarray(ids, dtype="<u4").tobytes())
+
+    def encoded(name, end):
+        plain = Tokenizer.from_file(tokens.tokenizer_path(name))
+        return [(d, [*e.ids, end]) for (d, _), e in zip(docs, plain.encode_batch([t for _, t in docs], add_special_tokens=False), strict=True)]
+
+    start, want = 0, []
+    for d, ids in encoded("byte_bpe_50k.json", 2):
+        want.append((d, start, len(ids), crc(ids)))
+        start += len(ids)
+    got = [(r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in queries.QUERIES["op4_token_orc"](spark, SF).collect()]
+    assert sorted(got) == want
+    want = [(d, k // 2048, k, len(ids[k : k + 2048]), crc(ids[k : k + 2048])) for d, ids in encoded("word_bpe_49k.json", 0) for k in range(0, len(ids), 2048)]
+    rows = queries.QUERIES["op1_best_fit_packing"](spark, SF).collect()
+    assert sorted((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows) == want
+
+
+CLASHING = "doc_id LONG, text STRING, lang STRING, source STRING, size LONG, key STRING, n LONG, sure LONG, rank LONG, times LONG, target DOUBLE, " \
+    "number LONG, row LONG, digest STRING, document STRING, class_id LONG, _all INT, copy INT"
+
+
+@pytest.mark.parametrize("stage_of", [language.recognised, exact_stream.deduplicated, ngram_join.one_per_class, mixing.mixed_documents])
+def test_stages_carry_clashing_columns_and_odd_ids(spark, stage_of):
+    """Rows that a stage keeps come out as they went in; repeated and null ids lose nothing."""
+    other = " ".join(f"wort{k}" for k in range(40))
+    texts = [(3, COMMON), (7, COMMON), (7, other), (None, COMMON + "end"), (None, COMMON + "stop"), (None, None), (8, "")]
+    rows = [(d, t, "en", "a", 7, "key", 7, 7, 7, 7, 0.5, 7, 7, "digest", "document", 7, 7, 7) for d, t in texts]
+    docs = spark.createDataFrame(rows, CLASHING)
+    left = stage_of(docs)
+    assert left.schema.names == docs.schema.names
+    got = sorted((tuple(r) for r in left.collect()), key=str)
+    assert set(got) <= set(rows)
+    kept = [(r[0], r[1]) for r in got]
+    if stage_of is exact_stream.deduplicated:
+        assert sorted(kept, key=str) == sorted([(3, COMMON), (7, other), *texts[3:5], (8, "")], key=str)
+    if stage_of is ngram_join.one_per_class:
+        assert sorted(kept, key=str) == sorted([(3, COMMON), (7, other), *texts[5:]], key=str)
+    if stage_of is mixing.mixed_documents:
+        assert (7, other) in kept and (None, None) not in kept
+    assert stage_of(docs.limit(0)).count() == 0
 
 
 def test_packing_edges(edge, nothing):
