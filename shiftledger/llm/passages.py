@@ -23,11 +23,12 @@ from shiftledger.llm import minhash as mh
 from shiftledger.llm.common import stage
 from shiftledger.llm.tokens import slices
 
-WINDOW = 40
-PIECE = 20
+WINDOW = 50
+PIECE = 25
 #: Windows that one piece can stand for.
 REACH = WINDOW - PIECE + 1
-SLICE = 2 << 20
+#: Text bytes looked at together; their tables take about fifty times as much.
+SLICE = 1 << 18
 
 _FACTORS = (np.uint64(0x100000001B3), np.uint64(0xD6E8FEB86659FD93))
 
@@ -106,6 +107,7 @@ def pieces(rows: DataFrame) -> DataFrame:
                     ],
                     names=["id", "text_key", "start", "n_chars", "name", "more"],
                 )
+            pa.default_memory_pool().release_unused()
 
     keyed = rows.select("id", F.xxhash64("text").alias("text_key"), "text")
     return keyed.mapInArrow(cut, "id long, text_key long, start long, n_chars long, name long, more long")
