@@ -408,6 +408,20 @@ _STATEMENTS = {
     SELECT project_link, month_date, CAST(0 AS DOUBLE) AS commitment_hours, CAST(0 AS DOUBLE) AS hours_to_be_paid,
            CAST(0 AS DOUBLE) AS original_invoice_amount FROM missing_pairs_t""",
     "complete_assignments": "SELECT project_link, month_date, assignment_id FROM full_index_t",
+    "created_links": """
+    SELECT id, name, CASE WHEN action = 'create' THEN 'rec' || substr(sha256('rows' || chr(1) || 'query' || chr(1) || id), 1, 14)
+                          ELSE link_id END AS link_id FROM resolved_t""",
+    "clients_default_name": """
+    SELECT 'sc' || n_nationkey AS source_id, CASE WHEN n_nationkey % 4 = 0 THEN 'Unknown Client' WHEN n_nationkey % 4 = 1 THEN '' ELSE n_name END AS name
+    FROM nation""",
+    "projects_default_name": """
+    SELECT 'sp' || p_partkey AS source_id, CASE WHEN p_partkey % 6 = 0 THEN 'Unknown Project' WHEN p_partkey % 6 = 1 THEN '' ELSE p_name END AS name,
+           CASE WHEN p_partkey % 5 <> 0 THEN 'sc' || (p_partkey % 25) END AS client_source_id FROM part""",
+    "lookback_modes": """
+    SELECT d::INTEGER AS days, CASE WHEN d > 1 THEN 'DEEP' ELSE 'FAST' END AS mode,
+           strftime(TIMESTAMP '1998-06-01 12:00:00' - to_days(d::INTEGER), '%Y-%m-%d %H:%M:%S') AS start,
+           (SELECT count(*) FROM entries_t WHERE start_time >= TIMESTAMP '1998-06-01 12:00:00' - to_days(d::INTEGER)) AS entries
+    FROM (SELECT unnest([1, 1, 30, 400]) AS d)""",
     "write_back": "SELECT id, name, link_id FROM resolved_t",
     "heal_dead_links": """
     SELECT c_custkey, CASE WHEN c_custkey IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 5 < 3 AND o_orderkey % 3 <> 0)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,9 @@ from shiftledger.operators import aggregates as ag
 from shiftledger.operators import identity, integrity, reconcile, references, reports, upsert, windows
 from shiftledger.operators import increments as inc
 from shiftledger.operators import window_sync as ws
+from shiftledger.session import shared_dir
 from shiftledger.sources import destination, extracts, lookups
+from shiftledger.sources.outbox import Outbox
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -133,6 +136,29 @@ def users_default_name(spark, sf):
     return extracts.shape_users(tb.raw_users(spark, sf))
 
 
+@query
+def clients_default_name(spark, sf):
+    return extracts.shape_clients(tb.raw_clients(spark, sf))
+
+
+@query
+def projects_default_name(spark, sf):
+    return extracts.shape_projects(tb.raw_projects(spark, sf))
+
+
+@query
+def lookback_modes(spark, sf):
+    """Entries in the window of a short and of a long look-back from one instant, by mode."""
+    found = None
+    for days in (None, 1, 30, 400):
+        window, mode = model.lookback_window(days)
+        start = cal.lookback_start(tb.LOOKBACK_TS, window)
+        rows = windows.within(tb.entries(spark, sf), start).agg(F.count("*").alias("entries"))
+        rows = rows.select(F.lit(window.days).alias("days"), F.lit(mode).alias("mode"), _iso(cal.instant_literal(start)).alias("start"), "entries")
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
 @query
 def flat_entries(spark, sf):
     flat = extracts.check_entries(tb.raw_entries(spark, sf), extracts.QUARANTINE).valid
@@ -518,6 +544,17 @@ def write_back(spark, sf):
     return references.write_back(table, resolve_links(spark, sf))
 
 
+@query
+def created_links(spark, sf):
+    """Rows without a link after a destination that makes its own ids was asked for those it lacks."""
+    resolved = resolve_links(spark, sf)
+    box = Outbox(spark, f"{shared_dir(spark)}/outbox-{uuid4().hex}")
+    wanted = resolved.where(F.col("action") == references.CREATE).select("id", "name")
+    receipts = box.deliver(wanted, ["id"], "rows", "query", lambda records: [f"rec{r['request'][:14]}" for r in records])
+    linked = references.with_given_ids(resolved, receipts)
+    return references.write_back(tb.unlinked_rows(spark, sf).withColumn("link_id", F.lit(None).cast("string")), linked)
+
+
 # --- reconcile --------------------------------------------------------------
 
 

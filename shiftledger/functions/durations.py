@@ -17,6 +17,9 @@ _DURATION = (
 )
 # Numbers too long for the quick path, which reads the time part as an interval.
 _LONG = r"\d{10,}|\.\d{7,}|\d{7,}[WD]"
+# A number and its unit. Of a fraction seven digits matter: the seventh decides how the sixth is rounded.
+_PARTS = r"(-?\d+(?:\.\d{1,7})?)\d*([WDHMS])"
+_UNIT_SECONDS = (("W", 604_800), ("D", 86_400), ("H", 3600), ("M", 60), ("S", 1))
 US_PER_SECOND = 1_000_000
 US_PER_HOUR = 3_600_000_000
 _US_PER_DAY = 86_400_000_000
@@ -31,20 +34,34 @@ def is_iso_duration(text: Column) -> Column:
 
 
 def _exact_us(text: Column) -> Column:
-    """Microseconds by decimal arithmetic, rounded; null beyond a BIGINT."""
-    total = F.lit(0).cast("decimal(38,9)")
-    for unit, seconds in (("W", 604_800), ("D", 86_400), ("H", 3600), ("M", 60), ("S", 1)):
-        found = F.regexp_extract(text, rf"(-?\d+(?:\.\d+)?){unit}", 1)
-        number = F.when(found == "", F.lit("0")).otherwise(found).try_cast("decimal(28,9)")
-        total = F.try_add(total, F.try_multiply(number, F.lit(seconds)))
+    """Microseconds by decimal arithmetic, rounded once, halves away from zero; null beyond a BIGINT.
+
+    One expression over the parts, whatever units there are: rare texts need it, and written out per unit it would bloat the
+    code that every row runs through.
+    """
+
+    def seconds(number: Column, unit: Column) -> Column:
+        each = F.lit(None).cast("int")
+        for letter, length in _UNIT_SECONDS:
+            each = F.when(unit == letter, length).otherwise(each)
+        return F.try_multiply(number.try_cast("decimal(28,7)"), each.cast("decimal(6,0)")).cast("decimal(38,7)")
+
+    parts = F.zip_with(
+        F.regexp_extract_all(text, F.lit(_PARTS), F.lit(1)), F.regexp_extract_all(text, F.lit(_PARTS), F.lit(2)), seconds
+    )
+    total = F.aggregate(parts, F.lit(0).cast("decimal(38,7)"), lambda sum_, part: F.try_add(sum_, part).cast("decimal(38,7)"))
     return F.try_multiply(F.round(total, 6), F.lit(US_PER_SECOND)).try_cast("bigint")
 
 
 def parse_iso_duration(text: Column) -> Column:
-    """Microseconds of an ISO-8601 duration; null for null or malformed text.
+    """Microseconds of an ISO-8601 duration; null for null or malformed text."""
+    return F.when(is_iso_duration(text), parse_valid_duration(text))
+
 
-    One pattern match decides. The time part is then read by Spark's own interval
-    cast, which wants words for the unit letters; adding it to the epoch gives
+def parse_valid_duration(text: Column) -> Column:
+    """Microseconds of text that :func:`is_iso_duration` accepts, without asking again.
+
+    The time part is read by Spark's own interval cast, which wants words for the unit letters; adding it to the epoch gives
     its microseconds. Weeks and days are rare and looked for only where present.
     """
     words = F.substring_index(text, "T", -1)
@@ -57,11 +74,8 @@ def parse_iso_duration(text: Column) -> Column:
         return F.coalesce(found.cast("bigint"), F.lit(0))
 
     days_us = (count("W") * 7 + count("D")) * _US_PER_DAY
-    return F.when(text.rlike(_LONG), F.when(is_iso_duration(text), _exact_us(text))).when(
-        text.rlike(_DURATION),
-        F.when(text.contains("T"), time_us).otherwise(0)
-        + F.when(text.contains("D") | text.contains("W"), days_us).otherwise(0),
-    )
+    quick = F.when(text.contains("T"), time_us).otherwise(0) + F.when(text.contains("D") | text.contains("W"), days_us).otherwise(0)
+    return F.when(text.rlike(_LONG), _exact_us(text)).when(text.isNotNull(), quick)
 
 
 def iso_duration_us(text: Column) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from shiftledger import model
 from shiftledger.functions.calendar import parse_instant
-from shiftledger.functions.durations import is_iso_duration, parse_iso_duration
+from shiftledger.functions.durations import is_iso_duration, parse_valid_duration
 
 FAIL = "fail"
 QUARANTINE = "quarantine"
@@ -109,21 +109,27 @@ def shape_users(raw: DataFrame) -> DataFrame:
 def load_clients(spark: SparkSession, path: str, mode: str = FAIL) -> Validated:
     """(source_id, name)."""
     checked = _load(spark, path, model.CLIENT_EXTRACT, {"id": F.col("id").isNotNull()}, mode)
-    shaped = checked.valid.select(
-        F.col("id").alias("source_id"), F.coalesce("name", F.lit(model.UNKNOWN_CLIENT)).alias("name")
-    )
-    return Validated(shaped, checked.rejected)
+    return Validated(shape_clients(checked.valid), checked.rejected)
+
+
+def shape_clients(raw: DataFrame) -> DataFrame:
+    """Defaults replace null only."""
+    return raw.select(F.col("id").alias("source_id"), F.coalesce("name", F.lit(model.UNKNOWN_CLIENT)).alias("name"))
 
 
 def load_projects(spark: SparkSession, path: str, mode: str = FAIL) -> Validated:
     """(source_id, name, client_source_id)."""
     checked = _load(spark, path, model.PROJECT_EXTRACT, {"id": F.col("id").isNotNull()}, mode)
-    shaped = checked.valid.select(
+    return Validated(shape_projects(checked.valid), checked.rejected)
+
+
+def shape_projects(raw: DataFrame) -> DataFrame:
+    """Defaults replace null only; a project may lack a client."""
+    return raw.select(
         F.col("id").alias("source_id"),
         F.coalesce("name", F.lit(model.UNKNOWN_PROJECT)).alias("name"),
         F.col("clientId").alias("client_source_id"),
     )
-    return Validated(shaped, checked.rejected)
 
 
 # --- entries ----------------------------------------------------------------
@@ -160,7 +166,7 @@ def check_entries(
         "description",
         parse_instant(interval["start"]).alias("start_time"),
         parse_instant(interval["end"]).alias("end_time"),
-        parse_iso_duration(interval["duration"]).alias("duration_us"),
+        parse_valid_duration(interval["duration"]).alias("duration_us"),
         F.col("userId").alias("user_source_id"),
         F.col("projectId").alias("project_source_id"),
         *keep,

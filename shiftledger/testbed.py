@@ -19,6 +19,7 @@ from shiftledger.model import SENTINEL_NAME, SENTINEL_SOURCE_ID
 
 WINDOW_START = datetime(2000, 1, 1, tzinfo=UTC)
 RUN_TS = datetime(2002, 1, 1, tzinfo=UTC)
+LOOKBACK_TS = datetime(1998, 6, 1, 12, tzinfo=UTC)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -366,6 +367,22 @@ def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations as tracker clients, some without a name."""
+    key = F.col("n_nationkey")
+    name = F.when(key % 4 == 1, F.lit("")).when(key % 4 != 0, F.col("n_name"))
+    return table(spark, sf_dir, "nation").select(_text("sc", key).alias("id"), name.alias("name"))
+
+
+def raw_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as tracker projects, some without a name or a client."""
+    key = F.col("p_partkey")
+    name = F.when(key % 6 == 1, F.lit("")).when(key % 6 != 0, F.col("p_name"))
+    return table(spark, sf_dir, "part").select(
+        _text("sp", key).alias("id"), name.alias("name"), F.when(key % 5 != 0, _text("sc", key % 25)).alias("clientId")
+    )
+
+
 def raw_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as roster pages of one member: leavers, bots, missing names."""
     key = F.col("c_custkey")
