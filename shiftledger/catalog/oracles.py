@@ -378,6 +378,14 @@ _STATEMENTS = {
     "soft_delete": f"""
     SELECT {_ENTRY}, CASE WHEN source_id IN (SELECT source_id FROM ghosts_t) THEN {_RUN} ELSE {_TS.format('deleted_at')} END AS deleted_at,
            CASE WHEN source_id IN (SELECT source_id FROM ghosts_t) THEN {_RUN} END AS updated_at FROM stored_t""",
+    "audit_changes": f"SELECT {_ENTRY}, deleted_at, updated_at, sync_action FROM sync_t WHERE sync_changed",
+    "audit_groups": f"""
+    SELECT coalesce(s.user_id, x.user_id) AS user_id, coalesce(s.day, x.day) AS day
+    FROM (SELECT user_id, strftime(start_time, '%Y-%m-%d') AS day, list_sort(list((source_id, description, start_time, secs, project_id)::VARCHAR)) AS c
+          FROM stored_t WHERE deleted_at IS NULL AND start_time >= {_WINDOW} GROUP BY ALL) s
+    FULL JOIN (SELECT user_id, strftime(start_time, '%Y-%m-%d') AS day, list_sort(list((source_id, description, start_time, secs, project_id)::VARCHAR)) AS c
+               FROM window_t WHERE user_id IS NOT NULL GROUP BY ALL) x ON s.user_id = x.user_id AND s.day = x.day
+    WHERE s.c IS DISTINCT FROM x.c""",
     "window_sync": f"SELECT {_ENTRY}, deleted_at, updated_at, sync_action, sync_changed FROM sync_t",
     "window_sync_stats": "SELECT * FROM sync_stats_t",
     "sync_report": "SELECT * FROM report_t",

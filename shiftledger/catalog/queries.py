@@ -19,7 +19,7 @@ from shiftledger.functions import calendar as cal
 from shiftledger.functions import cells
 from shiftledger.functions.text import number_text
 from shiftledger.operators import aggregates as ag
-from shiftledger.operators import identity, integrity, reconcile, references, reports, upsert, windows
+from shiftledger.operators import audit, identity, integrity, reconcile, references, reports, upsert, windows
 from shiftledger.operators import increments as inc
 from shiftledger.operators import window_sync as ws
 from shiftledger.session import shared_dir
@@ -401,6 +401,22 @@ def window_sync_stats(spark, sf):
     return _sync(spark, sf).stats
 
 
+@query
+def audit_changes(spark, sf):
+    """What the sync changes, found by checksums of users and days first."""
+    resolved = upsert.resolve_entries(_window(spark, sf), tb.users(spark, sf), tb.projects(spark, sf))
+    found = audit.audit_window(tb.stored_entries(spark, sf), resolved, _scanned(spark, sf), tb.WINDOW_START, tb.RUN_TS)
+    return _entry_columns(found, "sync_action")
+
+
+@query
+def audit_groups(spark, sf):
+    """Users and days whose stored rows are not those of the extract."""
+    resolved = upsert.resolve_entries(_window(spark, sf), tb.users(spark, sf), tb.projects(spark, sf))
+    groups = audit.differing_groups(tb.stored_entries(spark, sf), resolved, tb.WINDOW_START)
+    return groups.select("user_id", F.date_format("day", "yyyy-MM-dd").alias("day"))
+
+
 def _kept_up(spark, sf):
     """Sums of the stored entries, brought up to date by what the sync changes."""
     stored = inc.usage_sums(tb.stored_entries(spark, sf))
