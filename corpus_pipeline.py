@@ -3,6 +3,12 @@
 Each stage gets what the one before kept, written as Parquet in the shared folder and read again. All stages but the last return
 the columns of documents; the mix repeats a document's row as often as it is taken, and the last stage places
 the pieces of every row in sequences.
+
+Defined results, by stage. Language: a null text, an empty one and one without letters go; each row is judged by its own text, whatever its
+id. Exact: of equal texts the row with the least id stays, null ids last, of equal ids one. Near: the same rule within each group; rows with
+other texts stay even where ids repeat or lack. Mixing: a null source is a source of its own; documents of no words are not taken.
+Packing: every row is packed as a document of its own, repeats too. Columns are carried whatever their names; an empty
+table gives an empty one in each stage.
 """
 
 from __future__ import annotations
