@@ -57,8 +57,11 @@ def load(spark, tmp_path):
 def interpreted(spark):
     """A job is dozens of small plans; compiling each would take most of the time."""
     spark.conf.set("spark.sql.codegen.wholeStage", "false")
+    # Nor is there anything to adapt to in a few rows.
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
     yield
     spark.conf.unset("spark.sql.codegen.wholeStage")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
 @pytest.fixture
