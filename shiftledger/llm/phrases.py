@@ -5,8 +5,10 @@ depend on a fixed number of symbols to the left; places with a locally greatest
 a hash of its symbols, and names are the symbols of the next level. Whether a place ends a phrase depends on a few symbols
 around it only, so equal stretches of two texts get the same names but near their ends, at whatever offset they lie.
 
-The fingerprint keeps, of the names of one level, the least ``SKETCH`` hashes (bottom-k); likeness estimates the Jaccard index of
-two texts' name sets from them. The level is the one whose phrases are about ``LEVELS`` foldings long, for all texts alike.
+The fingerprint keeps, of the names of each level, the least hashes (bottom-k, ``SKETCHES`` by level; the lowest two bits tell the
+level). Likeness estimates the Jaccard index of two texts' name sets level by level and weighs the levels by the names they
+compare and by the length of their phrases: a long text is told by its long phrases, a short one, which has hardly
+any, by the shorter ones. All texts are compared in the same way.
 
 Defined results: a null text is empty; the fingerprint of the empty text is empty; likeness of two empty fingerprints is 1,
 of an empty and another 0; rows come in descending doc_id, nulls last, equal ids by text; a single row is its own
@@ -24,9 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Levels of phrases; each shrinks a text to about a third.
-LEVELS = 3
-SKETCH = 128
+#: Names kept of each level, from the shortest phrases on.
+SKETCHES = (32, 64, 128)
+#: How much longer phrases are from level to level.
+GROWTH = 3
 #: Characters parsed at once.
 BATCH_CHARS = 1 << 20
 #: Text bytes per partition, as a guide to their number.
@@ -82,19 +85,34 @@ def fold(names: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return _mix(phrase), owner[begins]
 
 
-def phrase_names(texts: list[str], levels: int = LEVELS) -> list[np.ndarray]:
-    """Distinct phrase names of each text at ``levels``, sorted."""
+def _least(names: np.ndarray, edges: np.ndarray, most: int, level: int) -> list[np.ndarray]:
+    """The ``most`` least distinct names of each text, marked with their level; names of a text lie between its edges."""
+    names = (names & ~np.uint64(3)) | np.uint64(level)
+    sizes = np.diff(edges)
+    # Of many names only those below a bound are sorted; where copies make them too few, all are.
+    share = np.minimum(1.0, 2.5 * most / np.maximum(sizes, 1))
+    bound = np.repeat(np.where(share < 1, share * 2.0**64, np.inf), sizes)
+    low = names < bound
+    kept, at = names[low], np.concatenate(([0], np.cumsum(low)))[edges]
+    result = []
+    for k, (a, b) in enumerate(zip(at.tolist(), at[1:].tolist(), strict=False)):
+        found = np.unique(kept[a:b])
+        if len(found) < most and share[k] < 1:
+            found = np.unique(names[edges[k] : edges[k + 1]])
+        result.append(found[:most])
+    return result
+
+
+def sketches(texts: list[str]) -> list[np.ndarray]:
+    """The least phrase names of all levels of each text, level after level."""
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
     points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype="<u4")
     names, owner = _mix(points.astype(np.uint64) + np.uint64(1)), np.repeat(np.arange(len(texts)), sizes)
-    for _ in range(levels):
+    levels = []
+    for level, most in enumerate(SKETCHES):
         names, owner = fold(names, owner)
-    edges = np.searchsorted(owner, np.arange(len(texts) + 1))
-    return [np.unique(names[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
-
-
-def sketch(names: np.ndarray) -> np.ndarray:
-    return names[:SKETCH]
+        levels.append(_least(names, np.searchsorted(owner, np.arange(len(texts) + 1)), most, level))
+    return [np.concatenate(parts) for parts in zip(*levels, strict=True)]
 
 
 def as_text(values: np.ndarray) -> str:
@@ -106,14 +124,21 @@ def from_text(fingerprint: str) -> np.ndarray:
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """Jaccard index of two name sets, estimated on the least ``SKETCH`` of their union; exact while both fit."""
+    """Weighed mean of the levels' Jaccard indices, each estimated on the least names of the union; exact while both fit."""
     if not len(a) or not len(b):
         return float(len(a) == len(b))
-    union = np.union1d(a, b)
-    if len(a) == SKETCH or len(b) == SKETCH:
-        union = union[:SKETCH]
-    both = np.intersect1d(a, b, assume_unique=True)
-    return float(np.isin(union, both, assume_unique=True).sum() / len(union))
+    total = weight = 0.0
+    level_a, level_b = a & np.uint64(3), b & np.uint64(3)
+    for level, most in enumerate(SKETCHES):
+        x, y = a[level_a == level], b[level_b == level]
+        union = np.union1d(x, y)
+        if len(x) == most or len(y) == most:
+            union = union[:most]
+        both = np.intersect1d(x, y, assume_unique=True)
+        shared = np.count_nonzero(both <= union[-1]) if len(union) else 0
+        factor = len(union) * GROWTH**level / most
+        total, weight = total + factor * shared / max(len(union), 1), weight + factor
+    return float(total / weight)
 
 
 def fingerprints(texts: list[str]) -> list[np.ndarray]:
@@ -123,9 +148,9 @@ def fingerprints(texts: list[str]) -> list[np.ndarray]:
         group.append(text)
         size += len(text)
         if size >= BATCH_CHARS:
-            result += [sketch(n) for n in phrase_names(group)]
+            result += sketches(group)
             group, size = [], 0
-    return result + [sketch(n) for n in phrase_names(group)] if group else result
+    return result + sketches(group) if group else result
 
 
 def edited(text: str, following: str) -> str:
