@@ -19,13 +19,14 @@ from pyspark.sql import functions as F
 
 from shiftledger.llm import minhash as mh
 from shiftledger.llm import passages
-from shiftledger.llm.common import stage
+from shiftledger.llm.common import arrow_batch_bytes, stage
 from shiftledger.llm.tokens import slices
 
 MIN_WORDS = 20
 RECALL = 0.9995
 MOST_BANDS = 8
-SLICE = 2 << 20
+SLICE = 1 << 20
+BATCH_BYTES = "4m"
 
 
 def _lines(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
@@ -70,6 +71,7 @@ def signed_paragraphs(docs: DataFrame, threshold: float, recall: float, min_word
                     ],
                     names=["doc_id", "paragraph", "start", "n_chars", "item", "no", "n", "bands"],
                 )
+            pa.default_memory_pool().release_unused()
 
     schema = "doc_id long, paragraph int, start long, n_chars long, item binary, no long, n long, bands array<long>"
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(sign, schema)
@@ -114,14 +116,17 @@ def repeated_paragraphs(
 ) -> DataFrame:
     """One row per paragraph that has a repeat: doc_id, paragraph, start, n_chars, class_doc_id, class_paragraph,
     class_size (paragraphs), removed."""
-    rows = stage(signed_paragraphs(docs, threshold, recall, min_words), "paragraphs")
+    # Texts pass to Python in batches bounded by bytes, not by rows.
+    with arrow_batch_bytes(docs.sparkSession, BATCH_BYTES):
+        rows = stage(signed_paragraphs(docs, threshold, recall, min_words), "paragraphs")
     items = rows.groupBy("item", "no", "n").agg(
         F.count("*").alias("copies"), F.min(F.struct("doc_id", "paragraph")).alias("first")
     )
     items = stage(items, "items")
     members = items.join(mh.candidate_clusters(rows), "no")
     planned = stage(mh.block_plan(members).drop("n", "no"), "members")
-    _, classes = mh.linked_items(mh.block_pairs(_with_shingles(docs, planned)), threshold)
+    with arrow_batch_bytes(docs.sparkSession, BATCH_BYTES):
+        _, classes = mh.linked_items(mh.block_pairs(_with_shingles(docs, planned)), threshold)
 
     named = items.join(classes, "item", "left").withColumn("class", F.coalesce("class", "item"))
     heads = named.groupBy("class").agg(F.min("first").alias("head"), F.sum("copies").alias("class_size"))

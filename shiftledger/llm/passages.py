@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftledger.llm import minhash as mh
-from shiftledger.llm.common import stage
+from shiftledger.llm.common import arrow_batch_bytes, stage
 from shiftledger.llm.tokens import slices
 
 WINDOW = 50
@@ -29,6 +29,7 @@ PIECE = 25
 REACH = WINDOW - PIECE + 1
 #: Text bytes looked at together; their tables take about fifty times as much.
 SLICE = 1 << 18
+BATCH_BYTES = "4m"
 
 _FACTORS = (np.uint64(0x100000001B3), np.uint64(0xD6E8FEB86659FD93))
 
@@ -118,7 +119,8 @@ def passage_spans(rows: DataFrame) -> DataFrame:
 
     ``class_id`` and ``class_start`` tell where the span's first piece stands first.
     """
-    found = stage(pieces(rows), "pieces")
+    with arrow_batch_bytes(rows.sparkSession, BATCH_BYTES):
+        found = stage(pieces(rows), "pieces")
     first = F.min(F.struct("id", "text_key", "start")).alias("first")
     repeated = found.groupBy("name", "more").agg(F.count("*").alias("times"), first).where("times > 1").drop("times")
     met = found.join(repeated, ["name", "more"])
