@@ -123,6 +123,8 @@ def passage_spans(rows: DataFrame) -> DataFrame:
         found = stage(pieces(rows), "pieces")
     first = F.min(F.struct("id", "text_key", "start")).alias("first")
     repeated = found.groupBy("name", "more").agg(F.count("*").alias("times"), first).where("times > 1").drop("times")
+    # Written, so that both sides of the join are plain shuffles and Spark can split a piece that very many texts have.
+    repeated = stage(repeated, "repeated")
     met = found.join(repeated, ["name", "more"])
     stays = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("text_key") == F.col("first.text_key")) & (F.col("start") == F.col("first.start"))
     judged = met.select("id", "text_key", "start", "n_chars", "first", (~stays).alias("removed")).distinct()
