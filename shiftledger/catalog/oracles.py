@@ -332,6 +332,11 @@ _STATEMENTS = {
     "destination_cells": """
     SELECT 'ev' || event_id AS id, CASE WHEN json_extract(props, '$.k') IS NULL THEN 'absent' ELSE 'number' END AS kind,
            CAST(json_extract_string(props, '$.k') AS DOUBLE) AS number FROM events""",
+    "cell_kinds": """
+    SELECT 'ev' || event_id AS id,
+           CASE event_id % 4 WHEN 0 THEN 'number' WHEN 1 THEN 'null' WHEN 2 THEN 'other' ELSE 'absent' END AS kind,
+           CASE WHEN event_id % 4 = 0 THEN event_id + CAST(0.25 AS DOUBLE) END AS number,
+           CASE WHEN event_id % 4 = 2 THEN CAST(event_id AS VARCHAR) END AS text FROM events""",
     "reference_records": "SELECT 'pg' || page_id AS id, url AS name FROM pages WHERE page_id % 3 = 0 AND url IS NOT NULL",
     "roster_members": """
     SELECT 'S' || c_custkey AS id, CASE WHEN c_custkey % 4 <> 0 THEN c_name ELSE lower(c_name) END AS name,
@@ -442,6 +447,11 @@ _STATEMENTS = {
            CASE WHEN outcome = 'update' THEN hours END AS set_actual FROM pay_judged_t
     UNION ALL
     SELECT 'zeroed', id, NULL, NULL, NULL, NULL, NULL, NULL, 0.0 FROM pay_stale_t""",
+    "laid_out_actions": """
+    SELECT outcome, record_id, user_link, user_name, project_link AS project_id, project_name, month, hours,
+           CASE WHEN outcome = 'update' THEN hours END AS set_actual FROM pay_judged_t
+    UNION ALL
+    SELECT 'zeroed', id, NULL, NULL, NULL, NULL, NULL, NULL, 0.0 FROM pay_stale_t""",
     "payroll_updates": "SELECT record_id, set_actual FROM pay_updates_t",
     "payroll_inserts": """
     SELECT user_link AS "user", coalesce(project_link, '') AS project, month, hours AS actual_hours

@@ -23,8 +23,9 @@ from shiftledger.operators import audit, identity, integrity, reconcile, referen
 from shiftledger.operators import increments as inc
 from shiftledger.operators import window_sync as ws
 from shiftledger.session import shared_dir
-from shiftledger.sources import destination, extracts, lookups
+from shiftledger.sources import destination, extracts, lookups, record_store
 from shiftledger.sources.outbox import Outbox
+from shiftledger.sources.tables import Tables, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -193,6 +194,19 @@ def destination_cells(spark, sf):
     )
 
 
+@query
+def cell_kinds(spark, sf):
+    """All four states of a cell, read from records stored with their cells shredded."""
+    fields = F.col("fields")
+    held = record_store.store_records(tb.mixed_records(spark, sf), f"{shared_dir(spark)}/records-{uuid4().hex}")
+    return held.select(
+        "id",
+        cells.cell_kind(fields, model.FIELD_ACTUAL_HOURS).alias("kind"),
+        cells.cell_number(fields, model.FIELD_ACTUAL_HOURS).alias("number"),
+        cells.cell_text(fields, model.FIELD_ACTUAL_HOURS).alias("text"),
+    )
+
+
 @query
 def reference_records(spark, sf):
     return destination.reference_records(tb.page_records(spark, sf), model.FIELD_NAME)
@@ -595,6 +609,22 @@ def payroll_actions(spark, sf):
     )
 
 
+@query
+def laid_out_actions(spark, sf):
+    """The same against records laid out by key, of which an earlier delivery was kept up from changes."""
+    users, projects = tb.users(spark, sf), tb.projects(spark, sf)
+    previous = ag.payroll_hours(tb.stored_entries(spark, sf), users, projects)
+    current = ag.payroll_hours(tb.current_entries(spark, sf), users, projects)
+    cells_ = stage(spark, reconcile.destination_cells(tb.payroll_records(previous), model.PAYROLL), "cells", "query")
+    earlier, changed, gone = tb.earlier_cells(cells_)
+    store = record_store.RecordStore(Tables(spark, f"{shared_dir(spark)}/store-{uuid4().hex}"), model.PAYROLL)
+    store.replace(earlier, 32)
+    diff = reconcile.diff_of_layout(current, store.refresh(changed, gone), model.PAYROLL)
+    return diff.actions.select(
+        "outcome", "record_id", "user_link", "user_name", "project_id", "project_name", "month", "hours", "set_actual"
+    )
+
+
 @query
 def payroll_updates(spark, sf):
     return _payroll_diff(spark, sf).updates.select("record_id", "set_actual")

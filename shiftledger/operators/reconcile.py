@@ -49,6 +49,13 @@ class Diff(NamedTuple):
     stats: DataFrame
 
 
+class Layout(NamedTuple):
+    """Typed cells by key: ``current`` has the last record of each key, ``rest`` all others (``sources.record_store``)."""
+
+    current: DataFrame
+    rest: DataFrame
+
+
 # --- destination cells ------------------------------------------------------
 
 
@@ -96,16 +103,21 @@ def key_columns(strategy: str) -> list[str]:
     return ["user_key", "project_key", "month_key"] if strategy == PAYROLL else ["user_key", "assignment_key"]
 
 
+def matchable(cells: DataFrame, strategy: str) -> DataFrame:
+    """Records that a row can meet: assignment records without person or assignment match nothing."""
+    if strategy == ASSIGNMENT:
+        return cells.where(F.col("user_key").isNotNull() & F.col("assignment_key").isNotNull())
+    return cells
+
+
 def destination_index(cells: DataFrame, strategy: str) -> DataFrame:
-    """Last record per key.
+    """Last record per key, of those that can be met.
 
-    Assignment records without person or assignment can match nothing and are
-    left out. ``max_by`` aggregates on the map side, so a key shared by a large
+    ``max_by`` aggregates on the map side, so a key shared by a large
     part of all records is reduced before the shuffle.
     """
     keys = key_columns(strategy)
-    if strategy == ASSIGNMENT:
-        cells = cells.where(F.col("user_key").isNotNull() & F.col("assignment_key").isNotNull())
+    cells = matchable(cells, strategy)
     values = [x for x in cells.columns if x not in keys and x != "pos"]
     last = F.max_by(F.struct(*values), F.struct("pos", "id")).alias("_last")
     return cells.groupBy(*keys).agg(last).select(
@@ -219,13 +231,42 @@ def diff_of_cells(
     One full outer join on the key judges the source rows and shows the last records that no row meets.
     Records that are not the last of their key are never met; they are told apart by record id, which has no hot values.
     """
+    last = destination_index(cells, strategy)
+    others = cells.join(last.select(F.col("record_id").alias("id")), "id", "left_anti")
+    return _diff(source, last, others, strategy, index, allow_inserts, tolerance, merge_duplicate_keys)
+
+
+def diff_of_layout(
+    source: DataFrame,
+    layout: Layout,
+    strategy: str,
+    index: DataFrame | None = None,
+    allow_inserts: bool = True,
+    tolerance: float = TOLERANCE,
+    merge_duplicate_keys: bool = False,
+) -> Diff:
+    """:func:`calculate_diff` on records laid out by key: they are neither grouped nor shuffled."""
+    last = layout.current.drop("pos").withColumnRenamed("id", "record_id")
+    return _diff(source, last, layout.rest, strategy, index, allow_inserts, tolerance, merge_duplicate_keys)
+
+
+def _diff(
+    source: DataFrame,
+    last: DataFrame,
+    others: DataFrame,
+    strategy: str,
+    index: DataFrame | None,
+    allow_inserts: bool,
+    tolerance: float,
+    merge_duplicate_keys: bool,
+) -> Diff:
+    """``last`` has one record per key (record_id), ``others`` all records besides (id)."""
     if strategy == ASSIGNMENT and index is None:
         raise ValueError("the assignment strategy needs the assignment index")
 
     rows = source_rows(source, strategy, index)
     if merge_duplicate_keys:
         rows = _merged(rows, strategy)
-    last = destination_index(cells, strategy)
     matched = rows.withColumn("is_row", F.lit(True)).join(last, key_columns(strategy), "full")
 
     is_row = F.col("is_row").isNotNull()
@@ -261,11 +302,8 @@ def diff_of_cells(
         F.when(F.col("outcome") == ZEROED, F.lit(0.0)).when(updated & differs, F.col("hours")).alias("set_actual"),
         F.when(updated & unassigned, F.lit(0.0)).alias("set_assigned"),
     )
-    superseded = (
-        cells.where(stale)
-        .select("id")
-        .join(last.select(F.col("record_id").alias("id")), "id", "left_anti")
-        .select(F.lit(ZEROED).alias("outcome"), F.col("id").alias("record_id"), F.lit(0.0).alias("set_actual"))
+    superseded = others.where(stale).select(
+        F.lit(ZEROED).alias("outcome"), F.col("id").alias("record_id"), F.lit(0.0).alias("set_actual")
     )
     actions = judged.unionByName(superseded, allowMissingColumns=True)
     return Diff(actions, updates_of(actions), inserts_of(actions, strategy), diff_stats(actions))

@@ -27,13 +27,13 @@ Sender = Callable[[str, str, DataFrame], None]
 
 
 class Destination(NamedTuple):
-    """What the destination holds: reference records (id, name) and records (id, pos, fields)."""
+    """What the destination holds: reference records (id, name) and records (id, pos, fields), or their layout by key."""
 
     users: DataFrame
     projects: DataFrame
     clients: DataFrame
     project_assignments: DataFrame
-    records: dict[str, DataFrame]  # by strategy
+    records: dict[str, DataFrame | rc.Layout]  # by strategy
 
 
 class ReconcileResult(NamedTuple):
@@ -146,9 +146,12 @@ def _reconcile(
             if job.strategy == model.ASSIGNMENT:
                 makers = (send, create) if job.allow_inserts else (None, None)
                 index = _complete_index(tables, destination, source, run, *makers)
-            typed = rc.destination_cells(destination.records[job.strategy], job.strategy)
-            cells = stage(spark, typed, f"cells_{job.source}", run)
-            diff = rc.diff_of_cells(source, cells, job.strategy, index, job.allow_inserts, tolerance)
+            held = destination.records[job.strategy]
+            if isinstance(held, rc.Layout):
+                diff = rc.diff_of_layout(source, held, job.strategy, index, job.allow_inserts, tolerance)
+            else:
+                cells = stage(spark, rc.destination_cells(held, job.strategy), f"cells_{job.source}", run)
+                diff = rc.diff_of_cells(source, cells, job.strategy, index, job.allow_inserts, tolerance)
             done = stage(spark, diff.actions, f"actions_{job.source}", run)
             actions[job.name] = done
             if send is not None:

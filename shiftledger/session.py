@@ -17,6 +17,10 @@ RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Cells of stored records become typed leaves, and a reader of some cells reads their leaves only.
+    "spark.sql.variant.writeShredding.enabled": "true",
+    "spark.sql.variant.inferShreddingSchema": "true",
+    "spark.sql.variant.pushVariantIntoScan": "true",
     # A publish replaces only the partitions present in the written data.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }

@@ -86,7 +86,7 @@ class Tables:
         """Newest snapshot of users, clients or projects; empty before the first."""
         schema = _SCHEMAS[name]
         path = f"{self.root}/{name}"
-        newest = self._newest(path)
+        newest = self.newest(path)
         if newest is None:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(f"{path}/{SNAPSHOT}={newest}")
@@ -115,7 +115,7 @@ class Tables:
         names = [str(status.getPath().getName()) for status in system.listStatus(folder)]
         return [n.removeprefix(f"{SNAPSHOT}=") for n in names if n.startswith(f"{SNAPSHOT}=")]
 
-    def _newest(self, path: str) -> str | None:
+    def newest(self, path: str) -> str | None:
         """Id of the newest complete snapshot."""
         done = [r for r in self._snapshots(path) if self._exists(f"{path}/{SNAPSHOT}={r}/_SUCCESS")]
         return max(done, default=None)
@@ -125,7 +125,7 @@ class Tables:
     def held(self) -> Held:
         """What the newest manifest says; a run reads it once and publishes against it."""
         path = f"{self.root}/entries_manifest"
-        found = self._newest(path)
+        found = self.newest(path)
         if found is None:
             return Held(-1, {}, [], [])
         rows = self.spark.read.schema(_MANIFEST).parquet(f"{path}/{SNAPSHOT}={found}").collect()
@@ -144,7 +144,7 @@ class Tables:
             return with_partition(self.spark.createDataFrame([], model.ENTRIES))
         path = f"{self.root}/entries"
         days = [f"{path}/version={version}/{PARTITION}={day.isoformat()}" for day, version in held.days.items()]
-        reader = self.spark.read.schema(f"{_ddl(model.ENTRIES)}, {PARTITION} DATE").option("basePath", path)
+        reader = self.spark.read.schema(f"{ddl(model.ENTRIES)}, {PARTITION} DATE").option("basePath", path)
         return reader.parquet(*days).drop("version")
 
     def locate(self, ids: DataFrame, held: Held | None = None) -> DataFrame:
@@ -203,7 +203,7 @@ class Tables:
         if None in filled:
             raise ValueError("an entry without a start cannot be stored")
         version = uuid4().hex
-        with self._claim(held.number + 1):
+        with self.claim("entries_manifest", held.number + 1):
             (
                 # One row per day: a bounded side.
                 rows.join(F.broadcast(sizes), PARTITION)
@@ -250,24 +250,24 @@ class Tables:
         return self.spark.createDataFrame([*days, *parts], _MANIFEST)
 
     @contextmanager
-    def _claim(self, number: int) -> Iterator[None]:
+    def claim(self, manifest: str, number: int) -> Iterator[None]:
         """Hold a manifest number while it is written: of two runs that read the same state, one fails.
 
         A claim is a file that only one writer can create. It goes when the publish fails; one that was left by a dead writer
         can be taken over after ``LEASE`` seconds.
         """
-        path = f"{self.root}/entries_manifest/claims/{number:012d}"
+        path = f"{self.root}/{manifest}/claims/{number:012d}"
         file, system = self._folder(path)
         if not system.createNewFile(file):
             age = time.time() - system.getFileStatus(file).getModificationTime() / 1000
-            done = self._exists(f"{self.root}/entries_manifest/{SNAPSHOT}={number:012d}/_SUCCESS")
+            done = self._exists(f"{self.root}/{manifest}/{SNAPSHOT}={number:012d}/_SUCCESS")
             if done or age < LEASE:
-                raise PublishConflict(f"another run has published entries {number}, or is about to; run again on the new state")
+                raise PublishConflict(f"another run has published {manifest} {number}, or is about to; run again on the new state")
             system.delete(file, False)
             if not system.createNewFile(file):
-                raise PublishConflict(f"another run has taken over entries {number}")
+                raise PublishConflict(f"another run has taken over {manifest} {number}")
             # What the dead writer left of this manifest was never complete.
-            system.delete(self._folder(f"{self.root}/entries_manifest/{SNAPSHOT}={number:012d}")[0], True)
+            system.delete(self._folder(f"{self.root}/{manifest}/{SNAPSHOT}={number:012d}")[0], True)
         try:
             yield
         except BaseException:
@@ -283,7 +283,7 @@ class Tables:
         return system.exists(folder)
 
 
-def _ddl(schema) -> str:
+def ddl(schema) -> str:
     return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
 
 

@@ -434,3 +434,30 @@ def dated_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_linenumber") == 2, "").otherwise(_text("recP", "l_partkey")).alias("project_link"),
         F.date_format(F.trunc(F.col("l_shipdate").cast("date"), "MM"), "yyyy-MM-dd").alias("month"),
     )
+
+
+def mixed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as destination records whose hours cell is a number, null, text or absent."""
+    key = F.col("event_id")
+    text = (
+        F.when(key % 4 == 0, F.format_string('{"Actual Hours":%d.25}', key))
+        .when(key % 4 == 1, F.lit('{"Actual Hours":null}'))
+        .when(key % 4 == 2, F.format_string('{"Actual Hours":"%d"}', key))
+        .otherwise(F.lit('{"Month":"none"}'))
+    )
+    return table(spark, sf_dir, "events").select(
+        _text("ev", key).alias("id"), key.alias("pos"), F.parse_json(text).alias("fields")
+    )
+
+
+def earlier_cells(cells: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(payroll cells of an earlier delivery, those changed since, ids gone since) of today's ``cells``.
+
+    By a hash of the id a third of the records is new, a third had other hours, and every fifth had a later double that is gone.
+    """
+    part = F.crc32("id") % 3
+    was = F.struct(F.lit("number").alias("actual_kind"), F.lit(1.5).cast("double").alias("actual"))
+    altered = cells.where(part == 1).withColumns({"actual_kind": was.actual_kind, "actual": was.actual})
+    doubles = cells.where(F.crc32("id") % 5 == 0).withColumns({"id": F.concat("id", F.lit("x")), "pos": F.concat("pos", F.lit("x"))})
+    earlier = cells.where(part == 2).unionByName(altered).unionByName(doubles)
+    return earlier, cells.where(part < 2), doubles.select("id")
