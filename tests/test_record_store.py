@@ -2,12 +2,16 @@
 
 import json
 import random
+from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from test_jobs import FIRST, NOW, Base, entry, load, tables  # noqa: F401
 
 from shiftledger import model
 from shiftledger.operators import reconcile as rc
+from shiftledger.plans.reconcile import run_reconcile
+from shiftledger.plans.sync import run_sync
 from shiftledger.sources.record_store import RecordStore, store_records
 from shiftledger.sources.tables import PublishConflict, Tables
 
@@ -118,3 +122,19 @@ def test_a_reader_of_some_cells_reads_their_leaves(spark, rows, tmp_path):
     # Leaves are numbered; the whole record would be one variant.
     assert schema.startswith("struct<id:string,pos:int,fields:struct<0:") and "fields:variant" not in schema
     assert sorted(map(str, typed.collect())) == sorted(map(str, rc.destination_cells(records, model.PAYROLL).collect()))
+
+
+def test_a_reconcile_against_layouts_finds_the_same(spark, tables, load, tmp_path):  # noqa: F811
+    run_sync(tables, load(FIRST), NOW, 30)
+    base = Base(spark)
+    run_reconcile(tables, base.destination(), NOW, send=base.send)
+    run_sync(tables, load([entry("e1", "2026-03-05T08:00:00Z", 6), *FIRST[2:]]), NOW + timedelta(hours=2), 30)
+    plain = base.destination()
+    stores = {s: RecordStore(Tables(spark, str(tmp_path / "destination")), s) for s in plain.records}
+    layouts = {s: store.replace(rc.destination_cells(plain.records[s], s), 4) for s, store in stores.items()}
+    met = run_reconcile(tables, plain._replace(records=layouts), NOW + timedelta(hours=3))
+    assert met.stats["updated"] == 4
+    want = run_reconcile(tables, plain, NOW + timedelta(hours=4))
+    assert met.stats == want.stats
+    for name, actions in want.actions.items():
+        assert sorted(map(str, met.actions[name].collect())) == sorted(map(str, actions.collect()))
