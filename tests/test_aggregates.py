@@ -170,3 +170,23 @@ def test_plan_prunes_and_pre_aggregates(spark, rows, dims, tmp_path):
     unassigned = plan(ag.unassigned_rows(stored, dims[1], date(2026, 2, 1)))
     assert "start_day" in unassigned.split("PartitionFilters")[1].split("]")[0]
     assert "GreaterThanOrEqual(start_time" in unassigned
+
+
+def test_report_rows_are_dealt_into_the_sessions_partitions(spark, rows):
+    """Adaptive planning goes by compressed bytes and would merge them, so a task's table of groups grew with the input."""
+    entries = rows(
+        "start_time TIMESTAMP, duration_us BIGINT, user_id STRING, project_id STRING, deleted_at TIMESTAMP",
+        *[(utc("2026-01-05T10:00:00"), 3_600_000_000, f"u{i % 3}", f"p{i % 5}", None) for i in range(30)],
+    )
+    users = rows("id STRING, link_id STRING, name STRING", *[(f"u{i}", f"recU{i}", f"name {i}") for i in range(3)])
+    projects = rows(
+        "id STRING, source_id STRING, link_id STRING, name STRING", *[(f"p{i}", f"sp{i}", f"recP{i}", f"name {i}") for i in range(5)]
+    )
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    try:
+        report = ag.monthly_hours(entries, users, projects)
+        assert report.rdd.getNumPartitions() == 7
+        assert sorted({float(r["total_hours"]) for r in report.collect()}) == [2.0] and report.count() == 15
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
