@@ -14,6 +14,7 @@ every text is; rows with equal ids fall into the same fold; an empty table gives
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -96,8 +97,10 @@ def _softmax(scores: np.ndarray) -> np.ndarray:
     return grown / grown.sum(axis=-1, keepdims=True)
 
 
-def train_ftrl(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, classes: int, epochs: int = EPOCHS) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and bias from (features, unit-length values) rows, one at a time, in a seeded order."""
+def train_ftrl(
+    row: Callable[[int], tuple[np.ndarray, np.ndarray]], used: np.ndarray, labels: np.ndarray, classes: int, epochs: int = EPOCHS
+) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and bias from the (features, unit-length values) that ``row`` gives for the numbers ``used``, one at a time, in a seeded order."""
     z = np.zeros((WIDTH + 1, classes))
     squares = np.zeros((WIDTH + 1, classes))
 
@@ -107,8 +110,8 @@ def train_ftrl(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, cl
         )
 
     for epoch in range(epochs):
-        for i in np.random.default_rng(epoch).permutation(len(rows)):
-            features, values = rows[i]
+        for i in np.random.default_rng(epoch).permutation(len(used)):
+            features, values = row(used[i])
             at, x = np.append(features, WIDTH), np.append(values, 1.0)
             w = weights(at)
             error = _softmax(x @ w)
@@ -189,23 +192,26 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
     training = docs.where("lang is not null and text is not null").select("doc_id", "text", "lang")
     number, frequencies = document_frequencies(training)
     idf = np.log((1 + number) / (1 + frequencies)) + 1
-    rows = sorted((r["lang"], bytes(r["features"]), bytes(r["counts"])) for r in training_rows(training, sample).collect())
+    # Partition by partition, so neither the JVM nor Python of the driver holds the sample more than once.
+    rows = sorted((r["lang"], r["features"], r["counts"]) for r in training_rows(training, sample).toLocalIterator())
     languages = sorted({r[0] for r in rows})
     if not languages:
         return Model([], np.zeros((WIDTH, 0)), np.zeros(0), idf)
     labels = np.array([languages.index(r[0]) for r in rows])
-    raw = [(np.frombuffer(f, "<i4").astype(np.int64), np.frombuffer(c, "<i4").astype(np.int64)) for _, f, c in rows]
-    held = np.random.default_rng(5).random(len(raw)) < 0.15
-    prepared = []
-    for features, counts in raw:
-        values = (1 + np.log(counts)) * idf[features]
-        prepared.append((features, values / max(np.sqrt((values * values).sum()), 1e-12)))
+    held = np.random.default_rng(5).random(len(rows)) < 0.15
+
+    def prepared(i: int) -> tuple[np.ndarray, np.ndarray]:
+        """A row's features and its values at unit length; made anew each time, as all of them take several times the sample."""
+        features = np.frombuffer(rows[i][1], "<i4").astype(np.int64)
+        values = (1 + np.log(np.frombuffer(rows[i][2], "<i4").astype(np.int64))) * idf[features]
+        return features, values / max(np.sqrt((values * values).sum()), 1e-12)
+
     used = np.flatnonzero(~held)
-    weights, bias = train_ftrl([prepared[i] for i in used], labels[used], len(languages))
+    weights, bias = train_ftrl(prepared, used, labels[used], len(languages))
     model = Model(languages, weights, bias, idf)
     if held.any():
         kept = np.flatnonzero(held)
-        scores = np.stack([values @ weights[features] + bias for features, values in (prepared[i] for i in kept)])
+        scores = np.stack([values @ weights[features] + bias for features, values in map(prepared, kept)])
         model.temperature = fit_temperature(scores, labels[kept])
     return model
 
