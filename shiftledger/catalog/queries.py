@@ -588,18 +588,32 @@ def created_links(spark, sf):
 # --- reconcile --------------------------------------------------------------
 
 
-def _payroll_diff(spark, sf):
+def _payroll_reports(spark, sf):
+    """(previous, current) payroll rows."""
     users, projects = tb.users(spark, sf), tb.projects(spark, sf)
     previous = ag.payroll_hours(tb.stored_entries(spark, sf), users, projects)
-    current = ag.payroll_hours(tb.current_entries(spark, sf), users, projects)
-    return reconcile.calculate_diff(current, tb.payroll_records(previous), model.PAYROLL)
+    return previous, ag.payroll_hours(tb.current_entries(spark, sf), users, projects)
+
+
+def _cells(spark, records, strategy):
+    """Typed cells, written once as in the job: the diff reads them twice, and would make and read each VARIANT several times."""
+    return stage(spark, reconcile.destination_cells(records, strategy), f"cells_{strategy.lower()}", "query")
+
+
+def _payroll_diff(spark, sf):
+    previous, current = _payroll_reports(spark, sf)
+    return reconcile.diff_of_cells(current, _cells(spark, tb.payroll_records(previous), model.PAYROLL), model.PAYROLL)
 
 
 def _assignment_diff(spark, sf):
-    current, previous = _current_monthly(spark, sf), _previous_monthly(spark, sf)
-    index = _previous_index(spark, sf)
-    complete = references.complete_assignments(index, _created(references.missing_assignments(current, index)))
-    return reconcile.calculate_diff(current, tb.person_records(previous), model.ASSIGNMENT, index=complete)
+    previous = stage(spark, _previous_monthly(spark, sf), "previous_monthly", "query")
+    current = stage(spark, _current_monthly(spark, sf), "source_monthly", "query")
+    held = reconcile.destination_cells(tb.assignment_records(previous), model.PROJECT_ASSIGNMENT)
+    index = stage(spark, references.assignment_index(held), "assignment_index", "query")
+    created = stage(spark, _created(references.missing_assignments(current, index)), "new_assignments", "query")
+    cells_ = _cells(spark, tb.person_records(previous), model.ASSIGNMENT)
+    complete = references.complete_assignments(index, created)
+    return reconcile.diff_of_cells(current, cells_, model.ASSIGNMENT, index=complete)
 
 
 @query
@@ -612,10 +626,8 @@ def payroll_actions(spark, sf):
 @query
 def laid_out_actions(spark, sf):
     """The same against records laid out by key, of which an earlier delivery was kept up from changes."""
-    users, projects = tb.users(spark, sf), tb.projects(spark, sf)
-    previous = ag.payroll_hours(tb.stored_entries(spark, sf), users, projects)
-    current = ag.payroll_hours(tb.current_entries(spark, sf), users, projects)
-    cells_ = stage(spark, reconcile.destination_cells(tb.payroll_records(previous), model.PAYROLL), "cells", "query")
+    previous, current = _payroll_reports(spark, sf)
+    cells_ = _cells(spark, tb.payroll_records(previous), model.PAYROLL)
     earlier, changed, gone = tb.earlier_cells(cells_)
     store = record_store.RecordStore(Tables(spark, f"{shared_dir(spark)}/store-{uuid4().hex}"), model.PAYROLL)
     store.replace(earlier, 32)
@@ -667,7 +679,7 @@ def assignment_inserts(spark, sf):
 
 @query
 def action_batches(spark, sf):
-    updates = reconcile.dedupe_updates(_payroll_diff(spark, sf).updates)
+    updates = stage(spark, reconcile.dedupe_updates(_payroll_diff(spark, sf).updates), "updates_payroll", "query")
     batched = reconcile.batch_actions(updates.select("record_id"), "record_id")
     return batched.groupBy("batch").agg(
         F.count("*").alias("rows"), F.min("record_id").alias("first_id"), F.max("record_id").alias("last_id")
